@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from refinery.functions.columns import column, known
 from refinery.functions.expressions import coverage_band, percent
 
-N = F.count(F.lit(1))
+
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def dataset_summary(
@@ -18,7 +20,7 @@ def dataset_summary(
 ) -> DataFrame:
     """One row: row count, exact distinct count per column, first and last date."""
     return df.agg(
-        N.alias(total),
+        rows().alias(total),
         *[F.count_distinct(column(c)).alias(f"{c}_cnt") for c in distinct],
         F.min(column(date)).alias("earliest"),
         F.max(column(date)).alias("latest"),
@@ -31,7 +33,7 @@ def count_by(
     """Rows per key, ordered by ``key``, by ``count`` (descending) or not at all (None)."""
     names = [keys] if isinstance(keys, str) else list(keys)
     columns = [column(k) for k in names]
-    counts = df.groupBy(*columns).agg(N.alias(name))
+    counts = df.groupBy(*columns).agg(rows().alias(name))
     if order is None:
         return counts
     return counts.orderBy(*([F.desc(name)] if order == "count" else []), *columns)
@@ -46,7 +48,7 @@ def crosstab(
     find them, and it refuses more than ``spark.sql.pivotMaxValues``.
     """
     complete = df.where(column(row).isNotNull() & column(col).isNotNull())
-    counts = complete.groupBy(column(row), column(col)).agg(N.alias("n"))
+    counts = complete.groupBy(column(row), column(col)).agg(rows().alias("n"))
     wide = counts.groupBy(column(row)).pivot(col, list(values) if values is not None else None)
     return wide.agg(F.sum("n")).fillna(0)
 
@@ -58,10 +60,10 @@ def shares(df: DataFrame, key: str, within: str | None = None) -> DataFrame:
     so that no window has to gather all groups in one task.
     """
     if within is None:
-        counts = df.groupBy(column(key)).agg(N.alias("count"))
+        counts = df.groupBy(column(key)).agg(rows().alias("count"))
         total = counts.agg(F.sum("count").alias("total")).scalar()
         return counts.withColumn("share", percent(F.col("count"), total))
-    counts = df.groupBy(column(within), column(key)).agg(N.alias("count"))
+    counts = df.groupBy(column(within), column(key)).agg(rows().alias("count"))
     totals = counts.groupBy(column(within).alias("__group")).agg(F.sum("count").alias("__total"))
     return (
         counts.join(totals, column(within).eqNullSafe(F.col("__group")), "inner")
@@ -72,7 +74,7 @@ def shares(df: DataFrame, key: str, within: str | None = None) -> DataFrame:
 
 def monthly_trend(df: DataFrame, date: str) -> DataFrame:
     month = F.date_trunc("month", column(date)).alias("month")
-    return df.groupBy(month).agg(N.alias("count")).orderBy("month")
+    return df.groupBy(month).agg(rows().alias("count")).orderBy("month")
 
 
 def top_k(df: DataFrame, key: str, k: int, *, skip_null: bool = True) -> DataFrame:
@@ -80,8 +82,8 @@ def top_k(df: DataFrame, key: str, k: int, *, skip_null: bool = True) -> DataFra
 
     Spark turns order and limit into a per-task top-k, so no full sort takes place.
     """
-    rows = df.where(column(key).isNotNull()) if skip_null else df
-    counts = rows.groupBy(column(key)).agg(N.alias("count"))
+    chosen = df.where(column(key).isNotNull()) if skip_null else df
+    counts = chosen.groupBy(column(key)).agg(rows().alias("count"))
     return counts.orderBy(F.desc("count"), column(key)).limit(k)
 
 
@@ -96,7 +98,7 @@ def _filled(df: DataFrame, name: str, empty_is_missing: bool) -> Column:
 
 
 def _rate(df: DataFrame, name: str, empty_is_missing: bool = False) -> Column:
-    return percent(F.count_if(_filled(df, name, empty_is_missing)), N, 1)
+    return percent(F.count_if(_filled(df, name, empty_is_missing)), rows(), 1)
 
 
 def completeness(df: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -119,7 +121,7 @@ def quality_by_group(
     return (
         df.groupBy(column(group))
         .agg(
-            N.alias(total),
+            rows().alias(total),
             *[_rate(df, c).alias(f"{c}_%") for c in fields],
             F.min(column(date)).alias("earliest_ticket"),
             F.max(column(date)).alias("latest_ticket"),
@@ -192,6 +194,6 @@ def field_states(df: DataFrame, name: str) -> DataFrame:
 
 def counted_ratio(df: DataFrame, condition: Column) -> DataFrame:
     """One row: rows that meet the condition, all rows, and the ratio in percent."""
-    return df.agg(F.count_if(condition).alias("matching"), N.alias("total")).withColumn(
+    return df.agg(F.count_if(condition).alias("matching"), rows().alias("total")).withColumn(
         "ratio", percent(F.col("matching"), F.col("total"), 1)
     )

@@ -273,8 +273,8 @@ def land_dataset(
         )
         if mark is not None:
             # A record without the field cannot be placed in time, so it is kept.
-            records = newer_than(records, "__changed", mark).unionByName(
-                records.where(F.col("__changed").isNull())
+            records = records.where(
+                (F.col("__changed") > F.lit(mark)) | F.col("__changed").isNull()
             )
     with staging(spark) as stage:
         batch = stage(records, "landed")

@@ -122,7 +122,12 @@ DASHBOARD = {
 
 
 def dashboard_datasets(kpis: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: kpis[table].select(*shown) for name, (table, shown) in DASHBOARD.items()}
+    """The dashboard datasets whose KPI table is given."""
+    return {
+        name: kpis[table].select(*shown)
+        for name, (table, shown) in DASHBOARD.items()
+        if table in kpis
+    }
 
 
 def profit_counter(company: DataFrame) -> DataFrame:
