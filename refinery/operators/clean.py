@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.functions.columns import column, known, known_map
+from refinery.functions.columns import column, find, known, known_map
 from refinery.functions.expressions import to_boolean, to_utc
 from refinery.operators.dedup import drop_exact_copies, latest_version
 
@@ -72,6 +72,27 @@ def split_metadata(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Data
     return df.drop(*present), df.select(*[column(c) for c in present])
 
 
+def _without_duplicates(
+    df: DataFrame, config: Mapping, tie_break: Sequence[str] | None
+) -> DataFrame:
+    """Exact copies go, then all but the latest version of a key.
+
+    Copies share their key and time, so where versions are ranked by a compared column the
+    ranking removes copies too (the first ingested stays), and one shuffle does for both.
+    """
+    ignored = known(df, config.get("dedup_exclude_columns") or [], used_by="structural_clean")
+    keys, timestamp = config.get("key_columns") or [], config.get("timestamp_column")
+    if not keys or not timestamp or find(df, timestamp) is None:
+        return drop_exact_copies(df, ignored)
+    ranked_by = {find(df, c) for c in (*keys, timestamp)}
+    if ranked_by & set(ignored):
+        return latest_version(drop_exact_copies(df, ignored), keys, timestamp, tie_break)
+    compared = [c for c in sorted(df.columns) if c not in ranked_by and c not in ignored]
+    first = list(tie_break or [])
+    order = first + [c for c in compared if c not in first]
+    return latest_version(df, keys, timestamp, order, ignored)
+
+
 def structural_clean(
     df: DataFrame, config: Mapping | None, tie_break: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -90,8 +111,7 @@ def structural_clean(
         upper=setting("upper_columns", []),
     )
     df = require(df, setting("required_columns", []))
-    df = drop_exact_copies(df, setting("dedup_exclude_columns", []))
-    df = latest_version(df, setting("key_columns", []), config.get("timestamp_column"), tie_break)
+    df = _without_duplicates(df, config, tie_break)
     df = within_ranges(df, setting("range_rules", {}))
     df = columns_to_utc(df, setting("timestamp_columns", []))
     df = columns_to_boolean(df, setting("boolean_map", {}))

@@ -53,4 +53,4 @@ def lookup(
     current = latest_per_key(dimension, [dimension_key], order)
     drop = [newest_by] if isinstance(newest_by, str) else list(newest_by or [])
     current = current.drop(*drop).withColumnRenamed(dimension_key, fact_key)
-    return lookup_join(facts, current, fact_key, "left", **join_options)
+    return lookup_join(facts, current, fact_key, "left", bound=dimension, **join_options)

@@ -49,17 +49,23 @@ def newer_than(
     *,
     upto: datetime | None = None,
     overlap: timedelta = timedelta(0),
+    date_partition: str | None = None,
 ) -> DataFrame:
     """Rows with ``field`` strictly after the mark (all rows without one) and not after ``upto``.
 
     ``overlap`` reads again a little before the mark, for rows that arrive late with an
     equal or older time; that is safe where the load is an upsert by key. The comparison
-    is with a literal, so it reaches the Parquet reader.
+    is with a literal, so it reaches the Parquet reader. ``date_partition`` names a
+    partition column that holds the date of ``field``: older partitions are not even listed.
     """
     if mark is not None:
         df = df.where(column(field) > F.lit(mark - overlap))
+        if date_partition:
+            df = df.where(column(date_partition) >= F.to_date(F.lit(mark - overlap)))
     if upto is not None:
         df = df.where(column(field) <= F.lit(upto))
+        if date_partition:
+            df = df.where(column(date_partition) <= F.to_date(F.lit(upto)))
     return df
 
 

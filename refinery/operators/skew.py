@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from refinery.functions.columns import column
 
@@ -21,17 +22,26 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _width(name: str, kind: T.DataType) -> Column:
+    """Bytes of one value: measured where it varies, else the width of the type."""
+    value = column(name)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.lit(8) + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure ``df``: True when it has at most ``max_rows`` rows and ``max_bytes`` of text.
+    """Measure ``df``: True when it holds at most ``max_rows`` rows and ``max_bytes`` bytes.
 
-    Reads at most ``max_rows + 1`` rows, whatever the size of the frame.
+    Rows and bytes are added up where the rows are; only the two sums travel.
     """
-    head = df.limit(max_rows + 1)
-    size = head.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
+    width = reduce(add, [_width(f.name, f.dataType) for f in df.schema])
+    size = df.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
     return size["rows"] <= max_rows and size["bytes"] <= max_bytes
 
@@ -133,14 +143,18 @@ def lookup_join(
     how: str = "left",
     *,
     null_safe: bool = False,
+    bound: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     **spread,
 ) -> DataFrame:
     """Join to a key-unique right side: broadcast when it measures small, else spread.
 
-    ``how`` is any of left, inner, left_semi, left_anti. Measuring runs a bounded job.
+    ``how`` is any of left, inner, left_semi, left_anti. Measuring runs one aggregate.
+    ``bound`` is a frame that ``right`` is a part of and that is cheaper to measure, such
+    as the table it was deduplicated from; ``right`` is measured only if that is too large.
     """
-    if fits_broadcast(right, max_rows, max_bytes):
+    frames = [right] if bound is None else [bound, right]
+    if any(fits_broadcast(f, max_rows, max_bytes) for f in frames):
         return broadcast_join(left, right, on, how, null_safe=null_safe)
     return spread_join(left, right, on, how, null_safe=null_safe, **spread)

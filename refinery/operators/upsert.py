@@ -30,6 +30,25 @@ def newest_updates(
     return updates.join(stale, list(keys), "left_anti")
 
 
+def newest_per_key(
+    updates: DataFrame, keys: Sequence[str], version: str | None = None
+) -> DataFrame:
+    """One update per key: the latest by ``version``, else by the other columns."""
+    order = version or next((c for c in updates.columns if c not in keys), keys[0])
+    return latest_per_key(updates, keys, order)
+
+
+def replace_by_key(
+    target: DataFrame, updates: DataFrame, keys: Sequence[str], version: str | None = None
+) -> DataFrame:
+    """``merge_rows`` for updates that already hold each key once."""
+    keys = list(keys)
+    if version:
+        updates = newest_updates(target, updates, keys, version)
+    untouched = target.join(updates.select(*keys), keys, "left_anti")
+    return untouched.unionByName(updates, allowMissingColumns=True)
+
+
 def merge_rows(
     target: DataFrame,
     updates: DataFrame,
@@ -42,10 +61,4 @@ def merge_rows(
     columns). With ``version`` an older update never replaces a newer row. Columns only
     one side has are filled with null. Applying the same updates twice changes nothing.
     """
-    keys = list(keys)
-    order = version or next((c for c in updates.columns if c not in keys), keys[0])
-    updates = latest_per_key(updates, keys, order)
-    if version:
-        updates = newest_updates(target, updates, keys, version)
-    untouched = target.join(updates.select(*keys), keys, "left_anti")
-    return untouched.unionByName(updates, allowMissingColumns=True)
+    return replace_by_key(target, newest_per_key(updates, keys, version), keys, version)

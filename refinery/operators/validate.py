@@ -205,8 +205,9 @@ def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> Data
     """Rows whose key is not null and does not occur in the parent table."""
     (name,) = known(df, [key], used_by="references", strict=True)
     (theirs,) = known(parent, [parent_key], used_by="references", strict=True)
-    parents = parent.select(column(theirs).alias(name)).where(column(name).isNotNull()).distinct()
-    return lookup_join(df.where(column(name).isNotNull()), parents, name, "left_anti")
+    parents = parent.select(column(theirs).alias(name)).where(column(name).isNotNull())
+    children = df.where(column(name).isNotNull())
+    return lookup_join(children, parents.distinct(), name, "left_anti", bound=parents)
 
 
 def check_references(

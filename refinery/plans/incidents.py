@@ -13,6 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from refinery.functions.columns import find
 from refinery.functions.expressions import blank_to_null, parse_iso
 from refinery.operators.dedup import latest_per_key
 from refinery.operators.enrich import (
@@ -108,6 +109,8 @@ GOLD_COLUMNS = (
     "subcategory",
     "job_title",
 )
+# Bronze is partitioned by this column, so that an incremental read lists new days only.
+INGESTION_DATE = "ingestion_date"
 CATEGORY_OUTPUTS = ("OC", "business", "domain")
 
 
@@ -281,11 +284,15 @@ def land_dataset(
         facts = batch.agg(
             F.count(F.lit(1)).alias("rows"), F.max("__changed").alias("mark")
         ).first()
-        rows = batch.select(RAW, F.current_timestamp().alias("ingestion_time"))
+        now = F.current_timestamp()
+        rows = batch.select(
+            RAW, now.alias("ingestion_time"), F.to_date(now).alias(INGESTION_DATE)
+        )
+        layout = {"partition_by": [INGESTION_DATE]}
         if full_load and facts["rows"]:
-            replace_table(rows, dataset.bronze_table)
+            replace_table(rows, dataset.bronze_table, **layout)
         elif facts["rows"]:
-            append(rows, dataset.bronze_table, rows_per_file=rows_per_file)
+            append(rows, dataset.bronze_table, rows_per_file=rows_per_file, **layout)
         advance_mark(state_table, dataset.pipeline, dataset.name, facts["mark"], batch)
     return facts["rows"], facts["mark"]
 
@@ -309,11 +316,12 @@ def load_silver(
     ensure_table(spark, tables.state, STATE_DDL, "High-water marks")
     bronze = spark.table(tables.incidents)
     mark = last_mark(spark.table(tables.state), pipeline, endpoint, full_load=full_load)
-    fresh = newer_than(bronze, "ingestion_time", mark)
+    prune = {"date_partition": find(bronze, INGESTION_DATE)}
+    fresh = newer_than(bronze, "ingestion_time", mark, **prune)
     upto = high_water_mark(fresh, "ingestion_time").first()["last_run"]
     if upto is None:
         return None
-    fresh = newer_than(bronze, "ingestion_time", mark, upto=upto)
+    fresh = newer_than(bronze, "ingestion_time", mark, upto=upto, **prune)
     tickets = silver_tickets(
         fresh,
         _or_empty(spark, tables.persons),

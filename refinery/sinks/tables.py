@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import column, known, quoted
-from refinery.operators.upsert import merge_rows
+from refinery.operators.upsert import newest_per_key, replace_by_key
 from refinery.sinks.staging import new_folder, staging
 
 LAYERS = ("bronze", "silver", "gold", "meta")
@@ -49,9 +49,15 @@ def table_exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 
 
-def append(df: DataFrame, table: str, *, rows_per_file: int | None = None) -> None:
+def append(
+    df: DataFrame,
+    table: str,
+    *,
+    rows_per_file: int | None = None,
+    partition_by: Sequence[str] = (),
+) -> None:
     """One distributed append; ``rows_per_file`` bounds the size of the files."""
-    writer = df.write.format("parquet").mode("append")
+    writer = df.write.format("parquet").mode("append").partitionBy(*partition_by)
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     writer.saveAsTable(table)
@@ -102,23 +108,50 @@ def _shape(df: DataFrame) -> list:
     return [(f.name, f.dataType) for f in df.schema]
 
 
-def replace_table(df: DataFrame, table: str, comment: str = "") -> str:
+def replace_table(
+    df: DataFrame, table: str, comment: str = "", *, partition_by: Sequence[str] = ()
+) -> str:
     """Full refresh: write a new version, then point the table to it. Returns its folder.
 
-    ``df`` may read the table itself. The former files stay for readers still using them.
+    ``df`` may read the table itself. The former files stay for readers still using them;
+    ``delete_folder`` removes a version nobody reads any more. A table whose columns
+    change, or that is partitioned, is dropped and created over the new files.
     """
     spark = df.sparkSession
-    folder = _write_version(df, table)
-    if table_exists(spark, table) and _shape(spark.table(table)) == _shape(df):
+    folder = _write_version(df, table, partition_by)
+    if (
+        not partition_by
+        and table_exists(spark, table)
+        and _shape(spark.table(table)) == _shape(df)
+    ):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
         return folder
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     note = f" COMMENT '{comment}'" if comment else ""
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'{note}")
+    if not partition_by:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'{note}")
+        return folder
+    last = [df.schema[c] for c in partition_by]
+    fields = [f for f in df.schema if f.name not in partition_by] + last
+    spark.sql(
+        f"CREATE TABLE {table} ({_columns_ddl(fields)}) USING parquet "
+        f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) LOCATION '{folder}'{note}"
+    )
+    spark.sql(f"MSCK REPAIR TABLE {table}")
     return folder
 
 
+def _columns_ddl(fields) -> str:
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> bool:
+    """Delete a retired version through Spark's own file system client."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_table(df: DataFrame, table: str, comment: str = "") -> DataFrame:
     """Create or replace a table from a query and return it."""
     replace_table(df, table, comment)
@@ -174,16 +207,19 @@ def upsert_table(
     after a crash half-way the same upsert is simply run again.
     """
     spark, keys = updates.sparkSession, list(keys)
+    newest = newest_per_key(updates, keys, version)
     if not table_exists(spark, table):
-        _create_keyed(merge_rows(updates.limit(0), updates, keys, version), table, keys, buckets)
+        _create_keyed(newest, table, keys, buckets)
         return
     buckets = _bucket_count(spark, table)
-    if buckets is None:
-        replace_table(merge_rows(spark.table(table), updates, keys, version), table)
-        return
+    # The updates are used several times below, so they are computed once.
     with staging(spark) as stage:
-        placed = stage(updates.withColumn(BUCKET, _bucket_of(keys, buckets)), "updates")
-        _merge_buckets(placed, table, keys, version)
+        if buckets is None:
+            fresh = stage(newest, "updates")
+            replace_table(replace_by_key(spark.table(table), fresh, keys, version), table)
+        else:
+            fresh = stage(newest.withColumn(BUCKET, _bucket_of(keys, buckets)), "updates")
+            _merge_buckets(fresh, table, keys, version)
 
 
 def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | None) -> None:
@@ -193,9 +229,8 @@ def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | N
     spark = rows.sparkSession
     placed = rows.withColumn(BUCKET, _bucket_of(keys, buckets)).repartition(BUCKET)
     folder = _write_version(placed, table, [BUCKET])
-    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in rows.schema)
     spark.sql(
-        f"CREATE TABLE {table} ({columns}, {BUCKET} INT) USING parquet "
+        f"CREATE TABLE {table} ({_columns_ddl(placed.schema)}) USING parquet "
         f"PARTITIONED BY ({BUCKET}) LOCATION '{folder}' "
         f"TBLPROPERTIES ('{BUCKET_PROPERTY}' = '{buckets}')"
     )
@@ -210,7 +245,7 @@ def _merge_buckets(placed: DataFrame, table: str, keys: list[str], version: str
         return
     target = spark.table(table)
     affected = target.where(F.col(BUCKET).isin(touched))
-    merged = merge_rows(affected, placed, keys, version).select(*target.columns)
+    merged = replace_by_key(affected, placed, keys, version).select(*target.columns)
     folder = _write_version(merged.repartition(BUCKET), table, [BUCKET])
     present = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     new = [b for b in touched if f"{BUCKET}={b}" not in present]
