@@ -258,7 +258,8 @@ def land_dataset(
 ) -> tuple[int, datetime | None]:
     """Landed files of one dataset -> its bronze table, then its mark.
 
-    A full load replaces the table, anything else appends records after the mark.
+    A full load replaces the table, anything else appends records after the mark; once
+    there is a mark, records without the incremental field come with a full load only.
     Returns (records written, new mark or None).
     """
     ensure_table(spark, state_table, STATE_DDL, "High-water marks")
@@ -274,11 +275,7 @@ def land_dataset(
         mark = last_mark(
             spark.table(state_table), dataset.pipeline, dataset.name, full_load=full_load
         )
-        if mark is not None:
-            # A record without the field cannot be placed in time, so it is kept.
-            records = records.where(
-                (F.col("__changed") > F.lit(mark)) | F.col("__changed").isNull()
-            )
+        records = newer_than(records, "__changed", mark)
     with staging(spark) as stage:
         batch = stage(records, "landed")
         facts = batch.agg(
