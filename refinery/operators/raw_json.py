@@ -42,9 +42,12 @@ def parse_raw(
 ) -> DataFrame:
     """The fields of the JSON object as columns, next to the ``keep`` columns.
 
-    Give the schema where it is known: Spark then reads only the fields a query uses.
-    Without one it is inferred from all rows. Text that is not a JSON object gives null
-    fields; ``unparsed`` adds a column with that text. No rows give an empty frame.
+    Give the schema, with just the fields that are needed, where it is known. Without one
+    it is inferred from all rows. Text that is not a JSON object gives null fields;
+    ``unparsed`` adds a column with that text. No rows give an empty frame.
+
+    The text is parsed in a generator, which Spark evaluates once per row: a later filter on
+    a field stays above it instead of parsing the text again for itself.
     """
     kept = [column(c) for c in keep]
     if schema is None:
@@ -60,10 +63,11 @@ def parse_raw(
     if unparsed:
         struct = struct.add(T.StructField(CORRUPT, T.StringType()))
         options["columnNameOfCorruptRecord"] = CORRUPT
-    data = F.from_json(column(raw), struct, options).alias("data")
-    fields = [F.col("data")[f].alias(f) for f in struct.fieldNames() if f != CORRUPT]
-    extra = [F.col("data")[CORRUPT].alias(unparsed)] if unparsed else []
-    return df.select(data, *kept).select(*fields, *extra, *kept)
+    names = [f"__f{i}" for i in range(len(struct))]
+    parsed = F.inline(F.array(F.from_json(column(raw), struct, options))).alias(*names)
+    shown = [unparsed if f == CORRUPT else f for f in struct.fieldNames()]
+    fields = [F.col(n).alias(s) for n, s in zip(names, shown, strict=True)]
+    return df.select(parsed, *kept).select(*fields, *kept)
 
 
 def to_raw(df: DataFrame, ingested_at=None) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.columns import column, known
 from refinery.operators.skew import lookup_join
+from refinery.sinks.staging import stage
 
 VERSION = "1.0.0"
 
@@ -119,25 +120,53 @@ def _dependencies(df: DataFrame, rules: Mapping) -> list[tuple[list[str], str]]:
     return checked
 
 
-def _conflicts(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
-    """Distinct (determinant, dependent) pairs of the determinants with several dependents.
+def _keys(determinant: Sequence[str]) -> list[str]:
+    return [f"__d{i}" for i in range(len(determinant))]
 
-    Pairs are made distinct before anything is counted per determinant, so neither a
-    frequent determinant nor a frequent pair gathers rows in one task.
+
+def _pairs(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
+    """The distinct (determinant, dependent value) pairs; a null is no value.
+
+    Everything is counted on pairs, so neither a frequent determinant nor a frequent pair
+    gathers rows in one task.
     """
-    keys = [column(d).alias(f"__d{i}") for i, d in enumerate(determinant)]
-    names = [f"__d{i}" for i in range(len(determinant))]
-    pairs = df.select(*keys, column(dependent).alias("__value")).distinct()
-    several = (
-        pairs.groupBy(*names)
-        .agg(F.count("__value").alias("__values"))
-        .where(F.col("__values") > 1)
+    keys = [column(d).alias(k) for d, k in zip(determinant, _keys(determinant), strict=True)]
+    value = column(dependent)
+    return df.where(value.isNotNull()).select(*keys, value.alias("__value")).distinct()
+
+
+def _violating(pairs: DataFrame, determinant: Sequence[str]) -> DataFrame:
+    """The determinants with several values, and how many."""
+    counts = pairs.groupBy(*_keys(determinant)).agg(F.count(F.lit(1)).alias("__values"))
+    return counts.where(F.col("__values") > 1)
+
+
+def _listed(
+    df: DataFrame, determinant: Sequence[str], dependent: str, violating: DataFrame, per_row: int
+) -> DataFrame:
+    names = _keys(determinant)
+    conflicts = lookup_join(
+        _pairs(df, determinant, dependent), violating, names, "inner", null_safe=True
+    )
+    part = F.pmod(F.xxhash64("__value"), F.ceil(F.col("__values") / per_row)).cast("int")
+    key = F.struct(*[F.col(k).alias(d) for k, d in zip(names, determinant, strict=True)])
+    return (
+        conflicts.groupBy(*names, "__values", part.alias("part"))
+        .agg(F.sort_array(F.collect_list(F.col("__value").cast("string"))).alias("listed"))
+        .select(
+            F.to_json(key, {"ignoreNullFields": "false"}).alias("determinant"),
+            F.lit(", ".join(determinant)).alias("column"),
+            F.lit(dependent).alias("dependent_column"),
+            F.col("listed").alias("conflicting_values"),
+            F.col("__values").alias("distinct_count"),
+            "part",
+            F.lit("FUNCTIONAL_DEPENDENCY_VIOLATION").alias("rule"),
+        )
     )
-    return lookup_join(pairs.where(F.col("__value").isNotNull()), several, names, "inner", null_safe=True)
 
 
 def dependency_violations(
-    df: DataFrame, rules: Mapping, values_per_row: int = VALUES_PER_ROW
+    df: DataFrame, rules: Mapping, values_per_row: int = VALUES_PER_ROW, *, keys_table=stage
 ) -> DataFrame:
     """Determinants that occur with more than one dependent value.
 
@@ -145,34 +174,19 @@ def dependency_violations(
     conflicting_values (sorted), distinct_count, part, rule. A determinant with more
     than ``values_per_row`` values continues on further rows (part 1, 2, ...), so no
     list grows without bound and none is cut off. Nulls do not count as a value.
+    ``keys_table`` writes the violating determinants down once, so that they can be measured
+    before they are joined.
     """
-    parts = []
-    for determinant, dependent in _dependencies(df, rules):
-        conflicts = _conflicts(df, determinant, dependent)
-        key = F.to_json(
-            F.struct(*[F.col(f"__d{i}").alias(d) for i, d in enumerate(determinant)]),
-            {"ignoreNullFields": "false"},
-        )
-        pieces = F.ceil(F.col("__values") / values_per_row)
-        parts.append(
-            conflicts.select(
-                key.alias("determinant"),
-                F.col("__values").alias("distinct_count"),
-                F.pmod(F.xxhash64("__value"), pieces).cast("int").alias("part"),
-                F.col("__value").cast("string").alias("__value"),
-            )
-            .groupBy("determinant", "distinct_count", "part")
-            .agg(F.sort_array(F.collect_list("__value")).alias("conflicting_values"))
-            .select(
-                "determinant",
-                F.lit(", ".join(determinant)).alias("column"),
-                F.lit(dependent).alias("dependent_column"),
-                "conflicting_values",
-                "distinct_count",
-                "part",
-                F.lit("FUNCTIONAL_DEPENDENCY_VIOLATION").alias("rule"),
-            )
+    parts = [
+        _listed(
+            df,
+            determinant,
+            dependent,
+            keys_table(_violating(_pairs(df, determinant, dependent), determinant)),
+            values_per_row,
         )
+        for determinant, dependent in _dependencies(df, rules)
+    ]
     if not parts:
         return df.sparkSession.createDataFrame(
             [],
@@ -186,16 +200,19 @@ def check_dependencies(df: DataFrame, rules: Mapping) -> dict:
     """Status PASS or FAIL, the number of violating determinants, and the violations."""
     row_count = df.count()
     violating = 0
+    issues = []
     for determinant, dependent in _dependencies(df, rules):
-        pairs = df.select(*[column(c) for c in (*determinant, dependent)]).distinct()
-        violating += (
-            pairs.groupBy(*[column(d) for d in determinant])
-            .agg(F.count(column(dependent)).alias("__values"))
-            .agg(F.count_if(F.col("__values") > 1).alias("n"))
-            .first()["n"]
-        )
-    issues = dependency_violations(df, rules) if violating else None
-    return _result("functional_dependency_validation", row_count, violating, issues)
+        keys = stage(_violating(_pairs(df, determinant, dependent), determinant))
+        found = keys.count()
+        violating += found
+        if found:
+            issues.append(_listed(df, determinant, dependent, keys, VALUES_PER_ROW))
+    return _result(
+        "functional_dependency_validation",
+        row_count,
+        violating,
+        reduce(DataFrame.unionByName, issues) if issues else None,
+    )
 
 
 # --- references ------------------------------------------------------------------------

@@ -43,9 +43,25 @@ def _new_name(label: str) -> str:
     return f"{STAGE_SCHEMA}.{label}_{uuid.uuid4().hex}"
 
 
+_kept: set[str] = set()
+
+
 def stage(df: DataFrame, label: str = "rows") -> DataFrame:
-    """Write ``df`` to a new staging table and return that table."""
-    return _stage_as(df, _new_name(label))
+    """Write ``df`` to a new staging table and return that table.
+
+    It stays for as long as frames may read it; ``clear_stage`` drops it.
+    """
+    name = _new_name(label)
+    _kept.add(name)
+    return _stage_as(df, name)
+
+
+def clear_stage(spark: SparkSession) -> int:
+    """Drop the tables that ``stage`` wrote in this program; returns their number."""
+    dropped = len(_kept)
+    while _kept:
+        spark.sql(f"DROP TABLE IF EXISTS {_kept.pop()}")
+    return dropped
 
 
 @contextmanager

@@ -15,7 +15,7 @@ from refinery.operators.incremental import (
 from refinery.operators.rules import Run, failed_records, summarise
 from refinery.plans.quality import QualityGateClosed, require_passed, run_quality
 from refinery.sinks import quality
-from refinery.sinks.staging import shared_folder, stage, staging
+from refinery.sinks.staging import clear_stage, shared_folder, stage, staging
 from refinery.sinks.tables import (
     CONFLICTS,
     append,
@@ -64,8 +64,10 @@ def test_staged_rows_go_away_on_failure(spark):
 
 def test_the_session_names_the_folder(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    name = stage(spark.range(1)).inputFiles()[0]
+    name = stage(spark.range(1), "lasting").inputFiles()[0]
     assert shared_folder(spark) in name
+    assert clear_stage(spark) >= 1
+    assert spark.sql("SHOW TABLES IN refinery_stage LIKE 'lasting*'").count() == 0
 
 
 # --- tables ----------------------------------------------------------------------------
