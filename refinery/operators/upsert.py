@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from refinery.functions.columns import column
 from refinery.operators.dedup import latest_per_key
+from refinery.sinks.staging import stage
 
 
 def newest_updates(
@@ -54,11 +55,16 @@ def merge_rows(
     updates: DataFrame,
     keys: Sequence[str],
     version: str | None = None,
+    *,
+    updates_table=stage,
 ) -> DataFrame:
     """``target`` with the rows of ``updates`` replaced by key, and new keys added.
 
     Several updates of one key count as their latest (by ``version``, else by the other
     columns). With ``version`` an older update never replaces a newer row. Columns only
     one side has are filled with null. Applying the same updates twice changes nothing.
+
+    The updates are needed several times, so ``updates_table`` writes them down once.
     """
-    return replace_by_key(target, newest_per_key(updates, keys, version), keys, version)
+    newest = updates_table(newest_per_key(updates, keys, version))
+    return replace_by_key(target, newest, keys, version)

@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import find
@@ -276,21 +276,21 @@ def land_dataset(
             spark.table(state_table), dataset.pipeline, dataset.name, full_load=full_load
         )
         records = newer_than(records, "__changed", mark)
-    with staging(spark) as stage:
-        batch = stage(records, "landed")
-        facts = batch.agg(
-            F.count(F.lit(1)).alias("rows"), F.max("__changed").alias("mark")
-        ).first()
-        now = F.current_timestamp()
-        rows = batch.select(
-            RAW, now.alias("ingestion_time"), F.to_date(now).alias(INGESTION_DATE)
-        )
-        layout = {"partition_by": [INGESTION_DATE]}
-        if full_load and facts["rows"]:
-            replace_table(rows, dataset.bronze_table, **layout)
-        elif facts["rows"]:
-            append(rows, dataset.bronze_table, rows_per_file=rows_per_file, **layout)
-        advance_mark(state_table, dataset.pipeline, dataset.name, facts["mark"], batch)
+    if records.isEmpty():
+        return 0, None
+    # Count and mark are observed while the records are written, so files are read once.
+    landed = Observation("landed")
+    now = F.current_timestamp()
+    rows = records.observe(
+        landed, F.count(F.lit(1)).alias("rows"), F.max("__changed").alias("mark")
+    ).select(RAW, now.alias("ingestion_time"), F.to_date(now).alias(INGESTION_DATE))
+    layout = {"partition_by": [INGESTION_DATE]}
+    if full_load:
+        replace_table(rows, dataset.bronze_table, **layout)
+    else:
+        append(rows, dataset.bronze_table, rows_per_file=rows_per_file, **layout)
+    facts = landed.get
+    advance_mark(state_table, dataset.pipeline, dataset.name, facts["mark"], rows)
     return facts["rows"], facts["mark"]
 
 
