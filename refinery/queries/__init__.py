@@ -5,14 +5,28 @@ A query is registered with ``@query(sql=...)``; its name is the function's name.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from refinery.sinks.staging import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-MODULES = ("rules", "cleaning", "enrichment", "loading", "profiling", "validation", "reporting")
+MODULES = (
+    "rules",
+    "cleaning",
+    "enrichment",
+    "loading",
+    "profiling",
+    "validation",
+    "reporting",
+    "flows",
+)
+SCHEMA = "refinery_queries"
 
 
 def query(sql: str | None = None):
@@ -27,8 +41,26 @@ def query(sql: str | None = None):
     return register
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its schema is read from the files once per program."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def new_schema(spark: SparkSession, name: str = SCHEMA) -> str:
+    """A schema whose tables lie below the shared folder."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name} LOCATION '{shared_folder(spark)}/{name}'")
+    return name
+
+
+def new_table(spark: SparkSession, label: str) -> str:
+    """The name of a table nobody has used yet."""
+    return f"{new_schema(spark)}.{label}_{uuid.uuid4().hex}"
 
 
 def load_all() -> None:

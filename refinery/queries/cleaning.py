@@ -11,7 +11,7 @@ from refinery.operators.clean import (
     require,
     split_metadata,
     standardise_text,
-    structural_clean,
+    structural_clean as clean_structure,
     within_ranges,
 )
 from refinery.operators.dedup import drop_exact_copies, latest_per_key, latest_version
@@ -195,7 +195,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax, l
        l_returnflag, l_linestatus = 'F' AS l_linestatus
 FROM latest WHERE rn = 1 AND l_extendedprice >= 20000
 """)
-def structural_clean_lines(spark, folder):
+def structural_clean(spark, folder):
     """The configured chain: cast, text, required, copies, latest, range, boolean, split."""
     rows = table(spark, folder, "lineitem").select(
         "l_orderkey",
@@ -221,5 +221,5 @@ def structural_clean_lines(spark, folder):
         "boolean_map": {"l_linestatus": {"F": True, "O": False}},
         "metadata_columns": ["_env"],
     }
-    data, _ = structural_clean(rows, config, tie_break=["l_suppkey", "l_extendedprice"])
+    data, _ = clean_structure(rows, config, tie_break=["l_suppkey", "l_extendedprice"])
     return data

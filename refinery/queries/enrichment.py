@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import column
-from refinery.functions.expressions import blank_to_null, format_iso, map_values, parse_iso
+from refinery.functions.expressions import (
+    blank_to_null as nullify_blank,
+    format_iso,
+    map_values,
+    parse_iso,
+)
 from refinery.operators.enrich import (
     add_first_extract,
     add_mapped,
@@ -97,10 +102,10 @@ def regex_extract_fallback(spark, folder):
 @query("""
 SELECT conv_id, turn, NULLIF(trim(replace(role, 'user', '  ')), '') AS role FROM conversations
 """)
-def blank_text_to_null(spark, folder):
+def blank_to_null(spark, folder):
     blanked = F.replace(F.col("role"), F.lit("user"), F.lit("  "))
     return table(spark, folder, "conversations").select(
-        "conv_id", "turn", blank_to_null(blanked).alias("role")
+        "conv_id", "turn", nullify_blank(blanked).alias("role")
     )
 
 
@@ -260,7 +265,7 @@ silver AS (
          c_name AS caller_name,
          CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS job_title,
          CASE WHEN c_acctbal > 5000 THEN 'Land'
-              WHEN c_custkey % 10 = 5 THEN CAST(c_custkey AS VARCHAR)
+              WHEN suffix(CAST(c_custkey AS VARCHAR), '5') THEN CAST(c_custkey AS VARCHAR)
               ELSE 'north' END AS country_program_extract,
          o_orderdate + INTERVAL 1 DAY AS modification_ts
   FROM v WHERE rn = 1)

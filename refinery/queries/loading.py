@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -10,27 +9,18 @@ from pyspark.sql import functions as F
 from refinery.operators.incremental import current_marks, high_water_mark as highest, newer_than
 from refinery.operators.raw_json import parse_raw, to_raw
 from refinery.operators.upsert import merge_rows
-from refinery.queries import query, table
+from refinery.queries import new_table, query, table
 from refinery.sinks.quality import with_resolutions
-from refinery.sinks.staging import new_folder, shared_folder
+from refinery.sinks.staging import new_folder
 from refinery.sinks.tables import append, append_evolving, keyed_rows, replace_table, upsert_table
 from refinery.sources.files import clean_headers, csv_to_bronze, csv_to_raw, page_records
 
-SCHEMA = "refinery_queries"
 ORDER_FIELDS = (
     "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
     "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
 )
 
 
-def new_table(spark, label):
-    """The name of a table nobody has used, in a schema below the shared folder."""
-    spark.sql(
-        f"CREATE SCHEMA IF NOT EXISTS {SCHEMA} LOCATION '{shared_folder(spark)}/{SCHEMA}'"
-    )
-    return f"{SCHEMA}.{label}_{uuid.uuid4().hex}"
-
-
 @query("""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        NULLIF(o_orderpriority, '5-LOW') AS o_orderpriority

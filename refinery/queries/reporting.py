@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from refinery.functions.expressions import coverage_band, percent
+from refinery.functions.expressions import coverage_band as band_of, percent
 from refinery.operators.aggregate import (
     completeness,
     count_by,
@@ -224,10 +224,10 @@ SELECT r.band, COUNT(*) AS groups FROM (
         FROM tickets GROUP BY ALL)) r
 GROUP BY ALL
 """)
-def coverage_bands(spark, folder):
+def coverage_band(spark, folder):
     """Groups per coverage band of one field."""
     rate = percent(F.count("ticket_status"), F.count(F.lit(1)))
-    rates = tickets(spark, folder).groupBy("subcategory").agg(coverage_band(rate).alias("band"))
+    rates = tickets(spark, folder).groupBy("subcategory").agg(band_of(rate).alias("band"))
     return rates.groupBy("band").agg(F.count(F.lit(1)).alias("groups"))
 
 

@@ -13,7 +13,8 @@ from refinery.operators.rules import (
     rules_for_columns,
     summarise,
 )
-from refinery.queries import query, table
+from refinery.plans.quality import run_quality
+from refinery.queries import new_table, query, table
 
 RUN = Run("orders_check", "orders", "run-1", "2024-01-01T00:00:00")
 LABELS = ["rule_id", "column", "rule_type", "severity"]
@@ -233,3 +234,33 @@ def dq_gate_warnings_only(spark, folder):
         if r["severity"] == "warning" or r["rule_id"] == "o_orderkey_not_null"
     ]
     return gate(summarise(orders(spark, folder), chosen, RUN))
+
+
+def _written(spark, folder):
+    """A quality run over orders into new tables; returns the names (report, quarantine)."""
+    report, quarantine = new_table(spark, "report"), new_table(spark, "quarantine")
+    run_quality(spark, ORDER_RULES, RUN, report, quarantine, orders(spark, folder))
+    return report, quarantine
+
+
+@query(f"""
+WITH {ORDERS_SQL}, s AS ({summary_sql(ORDER_RULES_SQL, 'o')})
+SELECT 'run-1' AS run_id, '2024-01-01T00:00:00' AS run_timestamp, 'orders_check' AS pipeline_name,
+       'orders' AS source_table, s.*, 'checks ' || "column" AS description FROM s
+""")
+def dq_report_table(spark, folder):
+    """The report as written to its table."""
+    report, _ = _written(spark, folder)
+    return spark.table(report)
+
+
+@query(f"""
+WITH {ORDERS_SQL}, q AS ({QUARANTINE_SQL})
+SELECT rule_id, "column", severity, failure_reason, FALSE AS resolved, o_orderkey, o_totalprice FROM q
+""")
+def dq_quarantine_table(spark, folder):
+    """The quarantine as written to its table, with the source columns added to it."""
+    _, quarantine = _written(spark, folder)
+    return spark.table(quarantine).select(
+        "rule_id", "column", "severity", "failure_reason", "resolved", "o_orderkey", "o_totalprice"
+    )

@@ -17,12 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 STAGE_SCHEMA = "refinery_stage"
 
 
+# Folders of applications that name none, by application id.
+_own_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; only where it is unset (local runs) a new temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="refinery-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = tempfile.mkdtemp(prefix="refinery-")
+        folder = _own_folders[application]
     return folder.rstrip("/")
 
 

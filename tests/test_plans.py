@@ -40,7 +40,7 @@ def test_latest_is_limited_before_the_shuffle(spark):
 
 
 def test_cleaning_shuffles_once(spark):
-    plan = plan_of(entry.queries()["structural_clean_lines"](spark, FOLDER))
+    plan = plan_of(entry.queries()["structural_clean"](spark, FOLDER))
     assert plan.count("Exchange hashpartitioning") == 1
 
 

@@ -240,3 +240,16 @@ def test_quarantine_counts(frame, new_table):
     assert rows(counted) == [("u", "error", 2), ("v", "error", 1)]
     nothing = failed_records(frame.where("k = 1"), RULES, Run())
     assert quality.write_quarantine(nothing, new_table("q")) is None
+
+
+def test_folder_where_the_session_names_none(spark):
+    class Unnamed:
+        sparkContext = spark.sparkContext
+
+        class conf:
+            @staticmethod
+            def get(_key, default):
+                return default
+
+    own = shared_folder(Unnamed)
+    assert own and own == shared_folder(Unnamed) != shared_folder(spark)
