@@ -14,13 +14,15 @@ RAW = "raw_json"
 CORRUPT = "_unparsed"
 
 
-def infer_schema(df: DataFrame, raw: str = RAW) -> str | None:
+def infer_schema(df: DataFrame, raw: str = RAW, fraction: float | None = None) -> str | None:
     """DDL of the struct that fits every object in ``raw``; None when there is none.
 
-    The types are merged by an aggregate on the executors over all rows, so a field that
+    ``fraction`` looks at a repeatable sample only, which may miss rare fields. The types are merged by an aggregate on the executors over all rows, so a field that
     appears late is not missed and only the merged schema reaches the driver. Fields with
     conflicting types come back as VARIANT.
     """
+    if fraction is not None:
+        df = df.sample(fraction, seed=1)
     parsed = F.try_parse_json(column(raw))
     merged = (
         df.where(F.schema_of_variant(parsed).startswith("OBJECT<"))

@@ -304,6 +304,7 @@ def load_silver(
     endpoint: str = "incidents",
     full_load: bool = False,
     buckets: int | None = None,
+    drop_previous: bool = False,
 ) -> dict | None:
     """New bronze records -> quality gate -> silver upsert -> mark. None when nothing is new.
 
@@ -332,7 +333,14 @@ def load_silver(
             spark, rules or ticket_rules(), run, tables.report, tables.quarantine, batch
         )
         require_passed(verdict)
-        upsert_table(batch, tables.silver, ["ticket_id"], "modification_ts", buckets=buckets)
+        upsert_table(
+            batch,
+            tables.silver,
+            ["ticket_id"],
+            "modification_ts",
+            buckets=buckets,
+            drop_previous=drop_previous,
+        )
     advance_mark(tables.state, pipeline, endpoint, upto, bronze)
     return verdict
 

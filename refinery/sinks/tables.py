@@ -108,17 +108,44 @@ def _shape(df: DataFrame) -> list:
     return [(f.name, f.dataType) for f in df.schema]
 
 
+def data_folders(df: DataFrame) -> set[str]:
+    """The folders of the files a table frame reads (from Spark's file listing)."""
+    return {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+
+
 def replace_table(
-    df: DataFrame, table: str, comment: str = "", *, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    comment: str = "",
+    *,
+    partition_by: Sequence[str] = (),
+    drop_previous: bool = False,
 ) -> str:
     """Full refresh: write a new version, then point the table to it. Returns its folder.
 
-    ``df`` may read the table itself. The former files stay for readers still using them;
-    ``delete_folder`` removes a version nobody reads any more. A table whose columns
-    change, or that is partitioned, is dropped and created over the new files.
+    ``df`` may read the table itself. The former files stay for readers still using them
+    unless ``drop_previous``. A table whose columns change, or that is partitioned, is
+    dropped and created over the new files.
     """
     spark = df.sparkSession
+    former = set()
+    if drop_previous and table_exists(spark, table):
+        former = data_folders(spark.table(table))
     folder = _write_version(df, table, partition_by)
+    _point_to(spark, table, folder, df, comment, partition_by)
+    for old in former:
+        delete_folder(spark, old)
+    return folder
+
+
+def _point_to(
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    df: DataFrame,
+    comment: str,
+    partition_by: Sequence[str],
+) -> None:
     if (
         not partition_by
         and table_exists(spark, table)
@@ -126,12 +153,12 @@ def replace_table(
     ):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
-        return folder
+        return
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     note = f" COMMENT '{comment}'" if comment else ""
     if not partition_by:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'{note}")
-        return folder
+        return
     last = [df.schema[c] for c in partition_by]
     fields = [f for f in df.schema if f.name not in partition_by] + last
     spark.sql(
@@ -139,7 +166,6 @@ def replace_table(
         f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) LOCATION '{folder}'{note}"
     )
     spark.sql(f"MSCK REPAIR TABLE {table}")
-    return folder
 
 
 def _columns_ddl(fields) -> str:
@@ -198,13 +224,15 @@ def upsert_table(
     version: str | None = None,
     *,
     buckets: int | None = None,
+    drop_previous: bool = False,
 ) -> None:
     """Upsert into a table; the first call creates it.
 
     A plain table is rewritten as a whole into a new version. A table created with
     ``buckets`` is partitioned by a hash of the key, and an upsert reads, merges and
     re-points only the partitions that an update falls into. Re-pointing is per partition;
-    after a crash half-way the same upsert is simply run again.
+    after a crash half-way the same upsert is simply run again. ``drop_previous`` deletes
+    the files that were replaced; readers that still use them would fail.
     """
     spark, keys = updates.sparkSession, list(keys)
     newest = newest_per_key(updates, keys, version)
@@ -216,10 +244,11 @@ def upsert_table(
     with staging(spark) as stage:
         if buckets is None:
             fresh = stage(newest, "updates")
-            replace_table(replace_by_key(spark.table(table), fresh, keys, version), table)
+            merged = replace_by_key(spark.table(table), fresh, keys, version)
+            replace_table(merged, table, drop_previous=drop_previous)
         else:
             fresh = stage(newest.withColumn(BUCKET, _bucket_of(keys, buckets)), "updates")
-            _merge_buckets(fresh, table, keys, version)
+            _merge_buckets(fresh, table, keys, version, drop_previous)
 
 
 def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | None) -> None:
@@ -237,7 +266,9 @@ def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | N
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-def _merge_buckets(placed: DataFrame, table: str, keys: list[str], version: str | None) -> None:
+def _merge_buckets(
+    placed: DataFrame, table: str, keys: list[str], version: str | None, drop_previous: bool
+) -> None:
     spark = placed.sparkSession
     # One value per bucket at most, so this list is bounded by the bucket count.
     touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
@@ -245,6 +276,7 @@ def _merge_buckets(placed: DataFrame, table: str, keys: list[str], version: str
         return
     target = spark.table(table)
     affected = target.where(F.col(BUCKET).isin(touched))
+    former = data_folders(affected) if drop_previous else set()
     merged = replace_by_key(affected, placed, keys, version).select(*target.columns)
     folder = _write_version(merged.repartition(BUCKET), table, [BUCKET])
     present = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
@@ -257,6 +289,8 @@ def _merge_buckets(placed: DataFrame, table: str, keys: list[str], version: str
             f"ALTER TABLE {table} PARTITION ({BUCKET}={b}) SET LOCATION '{folder}/{BUCKET}={b}'"
         )
     spark.catalog.refreshTable(table)
+    for old in former:
+        delete_folder(spark, old)
 
 
 def keyed_rows(spark: SparkSession, table: str) -> DataFrame:

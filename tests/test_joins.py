@@ -1,6 +1,7 @@
 """Lookup joins and upserts: both ways of a join give the same rows, whatever the skew."""
 
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -119,6 +120,18 @@ def test_upsert_through_a_table(spark, new_table, buckets):
     assert spark.sql("SHOW TABLES IN refinery_stage LIKE 'updates*'").count() == 0
 
 
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_replaced_files_can_be_dropped(spark, new_table, buckets):
+    name = new_table("dropped")
+    upsert_table(spark.range(50).withColumn("v", F.lit(0)), name, ["id"], buckets=buckets)
+    before = set(spark.table(name).inputFiles())
+    change = spark.range(40, 60).withColumn("v", F.lit(1))
+    upsert_table(change, name, ["id"], drop_previous=True)
+    assert rows(spark.table(name).groupBy("v").count()) == [(0, 40), (1, 20)]
+    kept = before & set(spark.table(name).inputFiles())
+    assert {f for f in before if Path(f.removeprefix("file:")).exists()} == kept
+
+
 def test_untouched_buckets_keep_their_files(spark, new_table):
     name = new_table("bucketed")
     start = spark.range(200).select("id", F.lit("old").alias("v"))
