@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,18 +63,30 @@ def csv_to_raw(spark: SparkSession, path: str | list[str], schema=None, **option
     return to_raw(scan_csv(spark, path, schema, **options))
 
 
-def page_records(pages: DataFrame, record_paths: Sequence[str], text: str = "value") -> DataFrame:
+def page_records(
+    pages: DataFrame,
+    record_paths: Sequence[str],
+    text: str = "value",
+    fields: Mapping[str, str] | None = None,
+) -> DataFrame:
     """The records wrapped in page envelopes, one JSON text per row.
 
     A page is parsed once into a variant, so every field of a record survives, known or
-    not. A page without records, or one that is not JSON, yields no rows.
+    not. A page without records, or one that is not JSON, yields no rows. ``fields`` (column
+    name -> JSON path) takes single fields along as text, without parsing a record again.
     """
     page = F.try_parse_json(column(text))
     lists = [F.try_variant_get(F.col("__page"), p, "array<variant>") for p in record_paths]
     return (
         pages.select(page.alias("__page"))
         .select(F.explode(F.coalesce(*lists)).alias("__record"))
-        .select(F.to_json("__record").alias(RAW))
+        .select(
+            F.to_json("__record").alias(RAW),
+            *[
+                F.try_variant_get("__record", path, "string").alias(name)
+                for name, path in (fields or {}).items()
+            ],
+        )
     )
 
 
@@ -84,10 +96,11 @@ def scan_pages(
     record_paths: Sequence[str],
     *,
     page_per_line: bool = False,
+    fields: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Records of landed page files: one page per file, or one per line."""
     pages = spark.read.text(path, wholetext=not page_per_line)
-    return page_records(pages, record_paths)
+    return page_records(pages, record_paths, fields=fields)
 
 
 def variant_text(record: Column, path: str) -> Column:
