@@ -2,11 +2,14 @@
 
 State is append-only: each successful run adds a row, and the newest row per
 (pipeline, endpoint) is the current mark.
+
+On the driver a mark is a datetime in UTC, made from microseconds, so that neither the
+driver's own time zone nor a change of clocks can move it.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +24,16 @@ STATE_DDL = (
 )
 
 
+def utc_datetime(micros: int | None) -> datetime | None:
+    if micros is None:
+        return None
+    return datetime(1970, 1, 1, tzinfo=UTC) + timedelta(microseconds=micros)
+
+
+def micros(ts: Column) -> Column:
+    return F.unix_micros(ts.cast("timestamp"))
+
+
 def current_marks(state: DataFrame) -> DataFrame:
     """The newest mark per (pipeline, endpoint)."""
     newest = F.max(F.struct("updated_at", "last_run"))
@@ -38,8 +51,8 @@ def last_mark(
     if full_load:
         return None
     mine = state.where((F.col("pipeline") == pipeline) & (F.col("endpoint") == endpoint))
-    row = current_marks(mine).select("last_run").first()
-    return row["last_run"] if row else None
+    row = current_marks(mine).select(micros(F.col("last_run")).alias("mark")).first()
+    return utc_datetime(row["mark"]) if row else None
 
 
 def newer_than(
@@ -75,6 +88,12 @@ def high_water_mark(df: DataFrame, field: str | Column) -> DataFrame:
     return df.agg(F.max(source).alias("last_run"))
 
 
+def highest(df: DataFrame, field: str | Column) -> datetime | None:
+    """The value of ``high_water_mark`` on the driver."""
+    row = high_water_mark(df, field).select(micros(F.col("last_run")).alias("mark")).first()
+    return utc_datetime(row["mark"])
+
+
 def advance_mark(
     state_table: str, pipeline: str, endpoint: str, mark: datetime | None, df: DataFrame
 ) -> bool:

@@ -26,9 +26,11 @@ from refinery.operators.enrich import (
 from refinery.operators.incremental import (
     STATE_DDL,
     advance_mark,
-    high_water_mark,
+    highest,
     last_mark,
+    micros,
     newer_than,
+    utc_datetime,
 )
 from refinery.operators.raw_json import RAW, parse_raw
 from refinery.operators.rules import Run, rules_for_columns
@@ -291,16 +293,18 @@ def land_dataset(
     landed = Observation("landed")
     now = F.current_timestamp()
     rows = records.observe(
-        landed, F.count(F.lit(1)).alias("rows"), F.max("__changed").alias("mark")
+        landed,
+        F.count(F.lit(1)).alias("rows"),
+        F.max(micros(F.col("__changed"))).alias("mark"),
     ).select(RAW, now.alias("ingestion_time"), F.to_date(now).alias(INGESTION_DATE))
     layout = {"partition_by": [INGESTION_DATE]}
     if full_load:
         replace_table(rows, dataset.bronze_table, **layout)
     else:
         append(rows, dataset.bronze_table, rows_per_file=rows_per_file, **layout)
-    facts = landed.get
-    advance_mark(state_table, dataset.pipeline, dataset.name, facts["mark"], rows)
-    return facts["rows"], facts["mark"]
+    reached = utc_datetime(landed.get["mark"])
+    advance_mark(state_table, dataset.pipeline, dataset.name, reached, rows)
+    return landed.get["rows"], reached
 
 
 def load_silver(
@@ -325,7 +329,7 @@ def load_silver(
     mark = last_mark(spark.table(tables.state), pipeline, endpoint, full_load=full_load)
     prune = {"date_partition": find(bronze, INGESTION_DATE)}
     fresh = newer_than(bronze, "ingestion_time", mark, **prune)
-    upto = high_water_mark(fresh, "ingestion_time").first()["last_run"]
+    upto = highest(fresh, "ingestion_time")
     if upto is None:
         return None
     fresh = newer_than(bronze, "ingestion_time", mark, upto=upto, **prune)

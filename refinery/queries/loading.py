@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from refinery.operators.incremental import current_marks, high_water_mark as highest, newer_than
+from refinery.operators.incremental import current_marks, high_water_mark as mark_of, newer_than
 from refinery.operators.raw_json import parse_raw, to_raw
 from refinery.operators.upsert import merge_rows
 from refinery.queries import new_table, query, table
@@ -145,7 +145,7 @@ def incremental_filter(spark, folder):
 
 @query("SELECT MAX(ts) AS last_run FROM events")
 def high_water_mark(spark, folder):
-    return highest(table(spark, folder, "events"), "ts")
+    return mark_of(table(spark, folder, "events"), "ts")
 
 
 @query("""

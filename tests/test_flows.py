@@ -1,7 +1,7 @@
 """Both flows from landed files to gold, with re-runs, closed gates and streams."""
 
 import json
-from datetime import datetime
+from datetime import UTC, datetime
 
 import pytest
 from conftest import rows
@@ -82,7 +82,7 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, buckets):
     landing.put({"id": "p1", "jobTitle": " "}, name="persons")
     landing.put({"id": "p1", "jobTitle": "cook"}, {"id": "p2", "jobTitle": "x"}, name="persons")
     landing.put({"id": "o1", "name": "svc"}, {"id": "o1", "name": "svc again"}, name="services")
-    assert landing.land() == (5, datetime(2024, 1, 3))
+    assert landing.land() == (5, datetime(2024, 1, 3, tzinfo=UTC))
     assert landing.land("persons", None) == (3, None)
     assert landing.land("services", None) == (2, None)
 
@@ -96,7 +96,7 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, buckets):
 
     # The source corrects the record; only new records are landed.
     landing.put(incident("2", "2024-02-01T00:00:00Z", "In Progress", "SOUTH SUP"))
-    assert landing.land() == (1, datetime(2024, 2, 1))
+    assert landing.land() == (1, datetime(2024, 2, 1, tzinfo=UTC))
     assert landing.silver(buckets=buckets)["passed"]
     assert landing.rows("ticket_id", "OC", "ticket_status", "country_program_extract") == [
         ("1", "N", "Closed", "Oz"),

@@ -1,4 +1,5 @@
-from datetime import datetime, timedelta
+import time
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from conftest import rows
@@ -9,6 +10,7 @@ from refinery.operators.incremental import (
     advance_mark,
     current_marks,
     high_water_mark,
+    highest,
     last_mark,
     newer_than,
 )
@@ -135,7 +137,7 @@ def test_published_tables_and_views(spark, new_table):
 def test_marks(spark, new_table):
     state = new_table("state")
     ensure_table(spark, state, STATE_DDL)
-    t1, t2 = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    t1, t2 = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 2, 1, tzinfo=UTC)
     assert last_mark(spark.table(state), "p", "e") is None
     assert not advance_mark(state, "p", "e", None, spark.table(state))
     assert advance_mark(state, "p", "e", t2, spark.table(state))
@@ -160,6 +162,25 @@ def test_newer_rows(spark):
     assert newer_than(df, "t", times[0], upto=times[1], date_partition="day").count() == 1
     assert high_water_mark(df, "t").first()["last_run"] == times[2]
     assert high_water_mark(df.where("false"), "t").first()["last_run"] is None
+    assert highest(df.where("false"), "t") is None
+    assert newer_than(df, "t", highest(df.where("day < '2024-01-03'"), "t")).count() == 1
+
+
+def test_marks_survive_the_end_of_summer_time(spark, new_table, monkeypatch):
+    """02:30 happens twice on that day in Berlin; the mark stays on the right one."""
+    state = new_table("state")
+    ensure_table(spark, state, STATE_DDL)
+    monkeypatch.setenv("TZ", "Europe/Berlin")
+    time.tzset()
+    try:
+        for hour in (0, 1):
+            mark = datetime(2024, 10, 27, hour, 30, tzinfo=UTC)
+            advance_mark(state, "p", "e", mark, spark.table(state))
+            assert last_mark(spark.table(state), "p", "e") == mark
+            assert highest(spark.table(state), "last_run") == mark
+    finally:
+        monkeypatch.undo()
+        time.tzset()
 
 
 # --- quality tables --------------------------------------------------------------------
