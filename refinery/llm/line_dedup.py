@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, partitions, stored, text_column
+from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, partitions, stored, text_column, unused_name
 
 #: Lists of lines with one token up to this length are paired in the task that reads them.
 SHORT = 32
@@ -312,25 +312,32 @@ def repeated_lines(
     return removed.groupBy(F.col("doc").alias(id_column)).agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8, **settings) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_column: str = "doc_id", text: str = "text", threshold: float = 0.8, others: tuple[str, ...] = (), **settings
+) -> DataFrame:
     """``docs`` with the later ones of matching lines taken out of ``text``.
 
-    Returns the id column, the text, ``n_lines`` and ``n_removed`` (long) of every row. Lines
-    end with a line feed; words are lower-cased in A-Z and end at ASCII white space. Lines
-    without words never match and stay. Null texts stay null (no line), empty ones empty.
-    Rows with a null id are returned as they are, uncompared. Rows with the same id are one
-    document: a line number removed in one of them is removed in all. Other columns are
-    ignored, an empty table stays empty.
+    Returns the id column, the text, the columns ``others``, ``n_lines`` and ``n_removed``
+    (long) of every row. Lines end with a line feed; words are lower-cased in A-Z and end at
+    ASCII white space. Lines without words never match and stay. Null texts stay null (no
+    line), empty ones empty. Rows with a null id are returned as they are, uncompared. Rows
+    with the same id are one document: a line number removed in one of them is removed in
+    all. An empty table stays empty; ``others`` may have any names but those of the result.
     """
-    removed = repeated_lines(docs, id_column, text, threshold, **settings).withColumnRenamed(id_column, "__doc")
-    source = docs.select(column_named(docs, id_column).alias(id_column), column_named(docs, text).cast("string").alias(text))
-    joined = source.join(removed, F.col(f"`{id_column}`").cast("long") == F.col("__doc"), "left")
-    lines, out = F.split(F.col(f"`{text}`"), "\n"), F.col("removed")
+    removed = repeated_lines(docs, id_column, text, threshold, **settings)
+    doc, gone = unused_name(docs, "removed_doc"), unused_name(docs, "removed_lines")
+    removed = removed.select(F.col(id_column).alias(doc), F.col("removed").alias(gone))
+    source = docs.select(
+        column_named(docs, id_column).alias(id_column), column_named(docs, text).cast("string").alias(text), *[column_named(docs, c).alias(c) for c in others]
+    )
+    own, out = F.col(f"`{text}`"), F.col(gone)
+    joined = source.join(removed, F.col(f"`{id_column}`").cast("long") == F.col(doc), "left")
+    lines = F.split(own, "\n")
     kept = F.filter(lines, lambda _, i: ~F.array_contains(out, i))
-    n_lines = F.when(F.col(f"`{text}`").isNull(), 0).otherwise(F.size(lines)).cast("long")
     return joined.select(
         id_column,
-        F.when(out.isNull(), F.col(f"`{text}`")).otherwise(F.array_join(kept, "\n")).alias(text),
-        n_lines.alias("n_lines"),
+        F.when(out.isNull(), own).otherwise(F.array_join(kept, "\n")).alias(text),
+        *[f"`{c}`" for c in others],
+        F.when(own.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.coalesce(F.size(out), F.lit(0)).cast("long").alias("n_removed"),
     )
