@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import difference, open_oracle
+from refinery.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-NAMES = sorted(entry.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -43,7 +44,7 @@ def test_plan_stays_in_spark(name, frames):
 
 
 def test_sql_without_query_is_a_mistake():
-    assert set(entry.oracle_sql()) <= set(NAMES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry(spark):
