@@ -17,16 +17,16 @@ without a match so far are compared with the rest of it.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, partitions, stored, text_column, unused_name
+from refinery.llm.common import REMEMBERED, column_named, partitions, stored, text_column, unused_name
 
 #: Lists of lines with one token up to this length are paired in the task that reads them.
 SHORT = 32
@@ -34,15 +34,22 @@ SHORT = 32
 HOT = 4_096
 _ALL = (1 << 56) - 1
 #: Bits of the map of lines that are to be verified.
-_MAP_BITS = 1 << 20
+_MAP_BITS = 1 << 23
+#: Documents whose words are numbered at once.
+_BLOCK = 1_024
 _LINE_FIELDS = "doc long, line int, n int, sig long, k1 long, k2 long, prefix array<int>, hot array<int>"
 
 
-def _words(line: bytes) -> list[bytes]:
-    return line.split()
+def _split_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """For every line of a column of texts: its text, its number in it, and its words."""
+    lines = pc.split_pattern(pc.ascii_lower(texts), "\n")
+    counts = np.diff(np.asarray(lines.offsets))
+    text = np.repeat(np.arange(len(texts)), counts)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    return text, number, pc.ascii_split_whitespace(lines.flatten())
 
 
-def frequent_tokens(source: DataFrame, size: int, error: float) -> dict[bytes, int]:
+def frequent_tokens(source: DataFrame, size: int, error: float) -> dict[str, int]:
     """The most frequent words with the binary logarithm of their counts.
 
     Lossy counting over all texts: a count is too low by the share ``error`` at most. Only the
@@ -50,94 +57,105 @@ def frequent_tokens(source: DataFrame, size: int, error: float) -> dict[bytes, i
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, total = Counter(), 0
+        counts: dict[str, int] = {}
+        total = 0
         for batch in batches:
-            for value in batch.column(0):
-                words = value.as_py().encode().lower().split()
-                counts.update(words)
+            for at in range(0, batch.num_rows, _BLOCK):
+                words = _split_lines(batch.column(0).slice(at, _BLOCK))[2].flatten()
                 total += len(words)
-            if len(counts) > 3 * REMEMBERED:
-                counts = Counter({w: n for w, n in counts.items() if n > max(1, error * total)})
-        often = [(w, n) for w, n in counts.items() if n > error * total]
+                found = pc.value_counts(words)
+                for word, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                    counts[word] = counts.get(word, 0) + n
+                if len(counts) > 2 * REMEMBERED:
+                    counts = {w: n for w, n in counts.items() if n > max(1, error * total)}
+        often = [(w, n) for w, n in counts.items() if n > error * total and w]
         for at in range(0, len(often), 20_000):
             part = often[at : at + 20_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], ["word", "n"]
+                [pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], ["word", "n"]
             )
 
-    counted = source.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {bytes(w): n.bit_length() for w, n in counted.orderBy(F.desc("n"), "word").limit(size).collect()}
+    counted = source.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return {w: n.bit_length() for w, n in counted.orderBy(F.desc("n"), "word").limit(size).collect()}
 
 
-def line_sets(source: DataFrame, classes: dict[bytes, int], threshold: float) -> DataFrame:
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """A 64-bit hash of numbers."""
+    x = (x ^ np.uint64(salt)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def line_sets(source: DataFrame, classes: dict[str, int], threshold: float) -> DataFrame:
     """Every line with words: size, parity bitmap, 128-bit digest of its set of words, and the
     prefix of its rarest tokens, hot ones apart. A set that its task has met in an earlier line
     has none, nor has one too small to match another set."""
-    spark = source.sparkSession
-    shared = spark.sparkContext.broadcast(classes)
+    shared = source.sparkSession.sparkContext.broadcast(classes)
     smallest = threshold / (1 - threshold) - 1e-9 if threshold < 1 else math.inf
     hot_class = HOT.bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = shared.value
-        known: dict[bytes, int] = {}
-        met: dict[bytes, tuple[int, int]] = {}  # the earliest line of a set so far
+        level = shared.value.get
         digest = xxhash.xxh64_intdigest
-
-        def order(word: bytes) -> int:
-            found = level.get(word, 0) << 56 | (digest(word) & _ALL)
-            known[word] = found
-            return found
+        met: dict[tuple[int, int], tuple[int, int]] = {}  # the earliest line of a set so far
+
+        def block(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch | None:
+            of_text, number, words = _split_lines(texts)
+            coded = words.flatten().dictionary_encode()
+            unique = coded.dictionary.to_pylist()
+            if not unique:
+                return None
+            # A word's order: how frequent it is, then its hash, which also stands for it.
+            order = np.array([level(w, 0) << 56 | (digest(w) & _ALL) for w in unique], np.int64)
+            ordered = np.sort(order)
+            rank = np.searchsorted(ordered, order)
+            lengths = np.diff(np.asarray(words.offsets))
+            code = np.asarray(coded.indices)
+            key = np.repeat(np.arange(len(lengths)), lengths) << 32 | rank[code]
+            key = key[(np.array([bool(w) for w in unique]))[code]]
+            key.sort()
+            key = key[np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))]
+            if not len(key):
+                return None
+            line, token = key >> 32, ordered[key & 0xFFFFFFFF]
+            starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
+            n = np.diff(np.append(starts, len(line)))
+            own = line[starts]
+            docs = np.asarray(ids)[of_text[own]]
+            number = number[own]
+            plain = token.view(np.uint64)
+            sig = np.bitwise_xor.reduceat(np.uint64(1) << (plain & np.uint64(63)), starts).view(np.int64)
+            k1, k2 = (np.add.reduceat(_mixed(plain, salt), starts).view(np.int64) for salt in (0x9E37, 0x85EB))
+            new = np.zeros(len(n), bool)
+            large = np.flatnonzero(n >= smallest)
+            for i, k, place in zip(large.tolist(), zip(k1[large].tolist(), k2[large].tolist()), zip(docs[large].tolist(), number[large].tolist())):
+                if met.get(k, place) >= place:
+                    met[k] = place
+                    new[i] = True
+            if len(met) > REMEMBERED:
+                met.clear()
+            head = np.where(new, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+            pos = np.arange(len(token)) - np.repeat(starts, n)
+            taken = pos < np.repeat(head, n)
+            hot = (token >> 56) >= hot_class  # these come last in a line
+
+            def tokens(mask: np.ndarray) -> pa.Array:
+                counts = np.add.reduceat(mask, starts, dtype=np.int32)
+                offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+                return pa.ListArray.from_arrays(pa.array(offsets), pa.array(token[mask].astype(np.uint32).view(np.int32)))
+
+            columns = [
+                pa.array(docs, pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig),
+                pa.array(k1), pa.array(k2), tokens(taken & ~hot), tokens(taken & hot),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "k1", "k2", "prefix", "hot"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                docs, lines, sizes, sets = [], [], [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    for number, line in enumerate(text.encode().lower().split(b"\n")):
-                        words = set(_words(line))
-                        if words:
-                            docs.append(doc)
-                            lines.append(number)
-                            sizes.append(len(words))
-                            sets.append(sorted([known[w] if w in known else order(w) for w in words]))
-                if len(known) > REMEMBERED:
-                    known = earliest(known)
-                if not docs:
-                    continue
-                flat = np.array([t for s in sets for t in s], np.int64)
-                starts = np.cumsum(sizes) - sizes
-                sig = np.bitwise_xor.reduceat(np.uint64(1) << (flat & 63).astype(np.uint64), starts).view(np.int64)
-                raw = flat.tobytes()
-                keys, prefixes, hots = [], [], []
-                for first, n, tokens, place in zip(starts.tolist(), sizes, sets, zip(docs, lines)):
-                    key = xxhash.xxh3_128_digest(raw[8 * first : 8 * (first + n)])
-                    keys.append(key)
-                    if n < smallest or met.get(key, place) < place:
-                        prefixes.append(None)
-                        hots.append(None)
-                        continue
-                    met[key] = place
-                    head = tokens[: n - math.ceil(threshold * n - 1e-9) + 1]
-                    cold = [t for t in head if t >> 56 < hot_class]  # hot ones come last
-                    prefixes.append(cold)
-                    hots.append(head[len(cold) :])
-                if len(met) > REMEMBERED:
-                    met.clear()
-                halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
-
-                def tokens32(heads) -> pa.Array:
-                    lengths = [0 if h is None else len(h) for h in heads]
-                    flat32 = np.array([t for h in heads if h for t in h], np.int64).astype(np.uint32).view(np.int32)
-                    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))), pa.int32()), pa.array(flat32, pa.int32()))
-
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(docs, pa.int64()), pa.array(lines, pa.int32()), pa.array(sizes, pa.int32()), pa.array(sig),
-                        pa.array(halves[:, 0].copy()), pa.array(halves[:, 1].copy()), tokens32(prefixes), tokens32(hots),
-                    ],
-                    ["doc", "line", "n", "sig", "k1", "k2", "prefix", "hot"],
-                )
+            for at in range(0, batch.num_rows, _BLOCK):
+                part = batch.slice(at, _BLOCK)
+                found = block(part.column(0), part.column(1))
+                if found is not None:
+                    yield found
 
     return source.mapInArrow(run, _LINE_FIELDS)
 
@@ -242,7 +260,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
 
 
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The sets of words of the lines ``wanted`` (doc, line), and of a few others.
+    """The texts of the lines ``wanted`` (doc, line), and of a few others.
 
     A bitmap of fixed size says which lines may be wanted, so texts are not shuffled.
     """
@@ -252,19 +270,26 @@ def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
     lines = source.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line", "raw"))
     # The bitmap has _MAP_BITS / 32 rows at most, whatever the input.
     chosen = lines.join(F.broadcast(bitmap), word == F.col("w")).where(F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1)
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    plain = F.array_remove(F.split(F.translate("raw", upper, lower), r"[ \t-\r]+"), "")
-    return chosen.select("doc", "line", F.array_distinct(plain).alias("words"))
+    return chosen.select("doc", "line", "raw")
+
+
+def _line_words(line: str) -> Column:
+    """The set of words of a line."""
+    lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.array_distinct(F.array_remove(F.split(lower, r"[ \t-\r]+"), ""))
 
 
 def _verified(pairs: DataFrame, source: DataFrame, threshold: float) -> DataFrame:
     """Of the pairs (doc, line, doc2, line2) the lines (doc, line) that match their partner."""
     wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct()
     texts = stored(_texts_of(source, wanted), "line-texts")
-    other = texts.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("words").alias("words2"))
-    both = F.size(F.array_intersect("words", "words2"))
-    matched = pairs.join(texts, ["doc", "line"]).join(other, ["doc2", "line2"])
-    return matched.where(both / (F.size("words") + F.size("words2") - both) >= threshold).select("doc", "line").distinct()
+    other = texts.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("raw").alias("raw2"))
+    both = pairs.join(texts, ["doc", "line"]).join(other, ["doc2", "line2"])
+    sets = F.array(F.struct(_line_words("raw").alias("x"), _line_words("raw2").alias("y")))
+    # Bound to a variable, the sets of a pair are made once.
+    sets = F.transform(sets, lambda s: F.struct(F.size(s["x"]).alias("x"), F.size(s["y"]).alias("y"), F.size(F.array_intersect(s["x"], s["y"])).alias("n")))
+    similar = F.exists(sets, lambda s: s["n"] / (s["x"] + s["y"] - s["n"]) >= threshold)
+    return both.where(similar).select("doc", "line").distinct()
 
 
 def repeated_lines(
