@@ -9,6 +9,7 @@ speed only, never about ids.
 from __future__ import annotations
 
 import sys
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -73,10 +74,13 @@ class Encoder:
 
     def _ids(self, unit: str) -> bytes:
         out: list[int] = []
-        for piece in self.vocab.split(unit):
+        word = unit[1:]
+        # One word of plain letters after a space is one piece.
+        pieces = [unit.encode()] if unit[:1] == " " and word.isascii() and word.isalpha() else self.vocab.split(unit)
+        for piece in pieces:
             found = self.lexicon.get(piece)
             out += self.vocab.merge(piece) if found is None else found
-        return np.array(out, "<u4").tobytes()
+        return array("I", out).tobytes()
 
     def _ordinary(self, text: str) -> bytes:
         if len(self.after_space) > REMEMBERED:

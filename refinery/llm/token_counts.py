@@ -55,6 +55,9 @@ class Counter:
         return counts
 
     def unit(self, unit: str) -> int:
+        word = unit[1:]
+        if unit[:1] == " " and word.isascii() and word.isalpha():  # one piece
+            return self.prefixes(unit.encode())[-1]
         return sum(self.prefixes(p)[-1] for p in self.vocab.split(unit))
 
     def _ordinary(self, text: str) -> int:
