@@ -24,6 +24,10 @@ from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, text_c
 from refinery.llm.transducer import Lexicon, compile_lexicon
 
 
+#: Characters of a word that the lexicon may have; longer ones are always merged.
+LONGEST = 48
+
+
 def frequent_words(docs: DataFrame, text: str, data, size: int, error: float) -> list[bytes]:
     """The ``size`` most frequent pieces of the split pattern over all documents.
 
@@ -45,7 +49,7 @@ def frequent_words(docs: DataFrame, text: str, data, size: int, error: float) ->
         least = error * total
         vocab, pieces = vocabulary.load(data.value), Counter()
         for unit, n in counts.items():
-            if n > least and vocabulary.safe_piece(unit):
+            if n > least and len(unit) <= LONGEST and vocabulary.safe_piece(unit):
                 for piece in vocab.split(" " + unit):
                     pieces[piece] += n
         names = list(pieces)
