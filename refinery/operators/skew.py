@@ -8,6 +8,7 @@ spreads the heaviest left keys over several tasks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 from operator import add, and_
@@ -80,7 +81,7 @@ def spread_join(
     """Join ``left`` to the key-unique ``right`` with the hot keys of ``left`` salted.
 
     The ``hot_keys`` most frequent keys that have at least ``hot_rows`` rows are split
-    into ``copies`` salted groups, and only their right rows are repeated. That list is
+    into ``copies`` salted groups, or as many as keep a group at ``hot_rows`` rows, and only their right rows are repeated. That list is
     the one thing broadcast here and never exceeds ``hot_keys`` rows. Null keys count as
     a key too: in an outer or anti join they would otherwise all meet in one task.
     """
@@ -92,18 +93,19 @@ def spread_join(
         .where(F.col("__rows") >= hot_rows)
         .orderBy(F.desc("__rows"), *[column(h) for h in hot_names])
         .limit(hot_keys)
+        # As many groups as keep each of them at ``hot_rows`` rows.
+        .withColumn("__copies", F.greatest(F.lit(copies), F.ceil(F.col("__rows") / hot_rows)).cast("int"))
         .drop("__rows")
         .withColumn("__is_hot", F.lit(True))
     )
     # The salt depends only on the row and its input split, so a retried task repeats it;
     # the split number separates rows that are full copies of each other.
-    salt = F.pmod(
-        F.xxhash64(*[column(c) for c in left.columns], F.spark_partition_id()), F.lit(copies)
-    ).cast("int")
+    hashable = [column(f.name) for f in left.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    salt = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.col("__copies")).cast("int")
     salted = (
         left.join(F.broadcast(hot), _same(keys, hot_names, True), "left")
         .withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(F.lit(0)))
-        .drop(*hot_names, "__is_hot")
+        .drop(*hot_names, "__is_hot", "__copies")
     )
     private = [f"__key_{k}" for k in keys]
     repeated = (
@@ -112,12 +114,12 @@ def spread_join(
         .withColumn(
             "__right_salt",
             F.explode(
-                F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(
+                F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.col("__copies") - 1)).otherwise(
                     F.array(F.lit(0))
                 )
             ),
         )
-        .drop(*hot_names, "__is_hot")
+        .drop(*hot_names, "__is_hot", "__copies")
     )
     matched = salted.join(
         repeated,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,25 +14,6 @@ from refinery.operators.dedup import latest_per_key
 from refinery.sinks.staging import stage
 
 
-def newest_updates(
-    target: DataFrame, updates: DataFrame, keys: Sequence[str], version: str
-) -> DataFrame:
-    """Updates that are not older than the target row of the same key.
-
-    Only the keys and versions of the target are read. The inner join lets Spark build
-    on the small update side and stream the target past it.
-    """
-    theirs = target.select(
-        *[column(k) for k in keys], column(version).alias("__target_version")
-    )
-    stale = (
-        theirs.join(updates.select(*keys, version), list(keys), "inner")
-        .where(F.col("__target_version") > column(version))
-        .select(*keys)
-    )
-    return updates.join(stale, list(keys), "left_anti")
-
-
 def newest_per_key(
     updates: DataFrame, keys: Sequence[str], version: str | None = None
 ) -> DataFrame:
@@ -42,12 +25,37 @@ def newest_per_key(
 def replace_by_key(
     target: DataFrame, updates: DataFrame, keys: Sequence[str], version: str | None = None
 ) -> DataFrame:
-    """``merge_rows`` for updates that already hold each key once."""
-    keys = list(keys)
-    if version:
-        updates = newest_updates(target, updates, keys, version)
-    untouched = target.join(updates.select(*keys), keys, "left_anti")
-    return untouched.unionByName(updates, allowMissingColumns=True)
+    """``merge_rows`` for updates that already hold each key once.
+
+    One full outer join reads both sides once. Keys match null-safely; a null version is the
+    oldest, on either side.
+    """
+    ours = {c.lower(): f"__target_{i}" for i, c in enumerate(target.columns)}
+    theirs = {c.lower(): f"__update_{i}" for i, c in enumerate(updates.columns)}
+    left = target.select(
+        *[column(c).alias(ours[c.lower()]) for c in target.columns], F.lit(True).alias("__in_target")
+    )
+    right = updates.select(
+        *[column(c).alias(theirs[c.lower()]) for c in updates.columns], F.lit(True).alias("__in_updates")
+    )
+    same = reduce(
+        and_, [F.col(ours[k.lower()]).eqNullSafe(F.col(theirs[k.lower()])) for k in keys]
+    )
+    take = F.col("__in_updates").isNotNull()
+    if version and version.lower() in ours and version.lower() in theirs:
+        held, new = F.col(ours[version.lower()]), F.col(theirs[version.lower()])
+        stale = F.coalesce(held > new, held.isNotNull() & new.isNull())
+        take = take & ~(F.col("__in_target").isNotNull() & stale)
+    names = [*target.columns, *[c for c in updates.columns if c.lower() not in ours]]
+    empty = F.lit(None)
+    return left.join(right, same, "full").select(
+        *[
+            F.when(take, F.col(theirs[c.lower()]) if c.lower() in theirs else empty)
+            .otherwise(F.col(ours[c.lower()]) if c.lower() in ours else empty)
+            .alias(c)
+            for c in names
+        ]
+    )
 
 
 def merge_rows(
@@ -61,8 +69,9 @@ def merge_rows(
     """``target`` with the rows of ``updates`` replaced by key, and new keys added.
 
     Several updates of one key count as their latest (by ``version``, else by the other
-    columns). With ``version`` an older update never replaces a newer row. Columns only
-    one side has are filled with null. Applying the same updates twice changes nothing.
+    columns). With ``version`` an older update never replaces a newer row; a null version is
+    the oldest. Null keys are equal to each other. ``target`` holds each key once. Columns
+    only one side has are filled with null. Applying the same updates twice changes nothing.
 
     The updates are needed several times, so ``updates_table`` writes them down once.
     """

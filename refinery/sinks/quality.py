@@ -11,42 +11,42 @@ from refinery.operators.skew import lookup_join
 from refinery.sinks.tables import append_evolving, ensure_table
 
 REPORT_DDL = """
-    run_id STRING COMMENT 'Run that produced the row',
-    run_timestamp STRING COMMENT 'Start of the run, UTC',
-    pipeline_name STRING COMMENT 'Pipeline that ran the rules',
-    source_table STRING COMMENT 'Table the records came from',
-    rule_id STRING COMMENT 'Rule',
-    column STRING COMMENT 'Column the rule looks at',
-    rule_type STRING COMMENT 'Kind of rule',
-    severity STRING COMMENT 'error or warning',
-    description STRING COMMENT 'What the rule demands',
-    total_records BIGINT COMMENT 'Records evaluated',
-    passed_records BIGINT COMMENT 'Records that passed',
-    failed_records BIGINT COMMENT 'Records that failed',
-    pass_rate DOUBLE COMMENT 'Passed records in percent'
+    run_id STRING,
+    run_timestamp STRING,
+    pipeline_name STRING,
+    source_table STRING,
+    rule_id STRING,
+    column STRING,
+    rule_type STRING,
+    severity STRING,
+    description STRING,
+    total_records BIGINT,
+    passed_records BIGINT,
+    failed_records BIGINT,
+    pass_rate DOUBLE
 """
 QUARANTINE_DDL = """
-    run_id STRING COMMENT 'Run that produced the row',
-    run_timestamp STRING COMMENT 'Start of the run, UTC',
-    pipeline_name STRING COMMENT 'Pipeline that ran the rules',
-    source_table STRING COMMENT 'Table the record came from',
-    rule_id STRING COMMENT 'Rule the record failed',
-    column STRING COMMENT 'Column the rule looks at',
-    rule_type STRING COMMENT 'Kind of rule',
-    severity STRING COMMENT 'error',
-    description STRING COMMENT 'What the rule demands',
-    column_value STRING COMMENT 'Value that failed',
-    failure_reason STRING COMMENT 'Rule, column and value in one text',
-    quarantined_at TIMESTAMP COMMENT 'When the record was set aside',
-    resolved BOOLEAN COMMENT 'Whether the failure is resolved',
-    resolved_at TIMESTAMP COMMENT 'When it was resolved',
-    resolved_note STRING COMMENT 'How it was resolved'
+    run_id STRING,
+    run_timestamp STRING,
+    pipeline_name STRING,
+    source_table STRING,
+    rule_id STRING,
+    column STRING,
+    rule_type STRING,
+    severity STRING,
+    description STRING,
+    column_value STRING,
+    failure_reason STRING,
+    quarantined_at TIMESTAMP,
+    resolved BOOLEAN,
+    resolved_at TIMESTAMP,
+    resolved_note STRING
 """
 RESOLUTION_DDL = """
-    run_id STRING COMMENT 'Run of the resolved failures',
-    rule_id STRING COMMENT 'Rule of the resolved failures',
-    resolved_at TIMESTAMP COMMENT 'When they were resolved',
-    resolved_note STRING COMMENT 'How they were resolved'
+    run_id STRING,
+    rule_id STRING,
+    resolved_at TIMESTAMP,
+    resolved_note STRING
 """
 
 

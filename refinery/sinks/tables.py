@@ -7,14 +7,16 @@ never a mixture. One writer per table at a time.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType
 
 from refinery.functions.columns import column, known, quoted
 from refinery.operators.upsert import newest_per_key, replace_by_key
-from refinery.sinks.staging import new_folder, staging
+from refinery.sinks.staging import staging
 
 LAYERS = ("bronze", "silver", "gold", "meta")
 CONFLICTS = "_type_conflicts"
@@ -63,10 +65,36 @@ def append(
     writer.saveAsTable(table)
 
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+# Decimal digits that hold every value of a whole type; whole types that a double holds.
+_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+_IN_DOUBLE = ("tinyint", "smallint", "int", "float")
+
+
+def fits_losslessly(given: DataType, wanted: DataType) -> bool:
+    """Whether every value of one type is one of the other; nullability does not count."""
+    a, b = given.simpleString(), wanted.simpleString()
+    if a == b or a == "void":
+        return True
+    if a in _WHOLE and b in _WHOLE:
+        return _WHOLE.index(a) <= _WHOLE.index(b)
+    if b == "double":
+        return a in _IN_DOUBLE
+    if b == "float":
+        return a in _IN_DOUBLE[:2]
+    if isinstance(wanted, DecimalType):
+        room = wanted.precision - wanted.scale
+        if isinstance(given, DecimalType):
+            return given.scale <= wanted.scale and given.precision - given.scale <= room
+        return _DIGITS.get(a, 99) <= room
+    return False
+
+
 def append_evolving(df: DataFrame, table: str) -> None:
     """Append by name; new columns are added to the table, missing ones are null.
 
-    A value whose type does not fit the table's column is not lost: it goes as JSON into
+    Types that fit without loss are widened to the table's. A value whose type does not fit
+    the table's column is not lost: it goes as JSON into
     the text column ``_type_conflicts`` and the typed column stays null.
     """
     spark = df.sparkSession
@@ -74,11 +102,10 @@ def append_evolving(df: DataFrame, table: str) -> None:
         append(df, table)
         return
     existing = {f.name.lower(): f for f in spark.table(table).schema}
-    conflicting = [
-        f.name
-        for f in df.schema
-        if f.name.lower() in existing and existing[f.name.lower()].dataType != f.dataType
-    ]
+    present = {f.name: existing[f.name.lower()].dataType for f in df.schema if f.name.lower() in existing}
+    fitting = {f.name for f in df.schema if f.name in present and fits_losslessly(f.dataType, present[f.name])}
+    conflicting = [c for c in present if c not in fitting]
+    df = df.withColumns({c: column(c).cast(present[c]) for c in sorted(fitting)})
     if conflicting:
         kept = F.to_json(F.struct(*[column(c) for c in conflicting]))
         df = df.withColumn(CONFLICTS, F.when(kept != "{}", kept)).withColumns(
@@ -98,8 +125,14 @@ def append_evolving(df: DataFrame, table: str) -> None:
     ).write.insertInto(table)
 
 
+def _schema_folder(spark: SparkSession, table: str) -> str:
+    """Where the schema of ``table`` keeps its tables; not where checkpoints are."""
+    name = table.rsplit(".", 1)[0] if "." in table else spark.catalog.currentDatabase()
+    return spark.catalog.getDatabase(name).locationUri.rstrip("/")
+
+
 def _write_version(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> str:
-    folder = new_folder(df.sparkSession, f"tables/{label}")
+    folder = f"{_schema_folder(df.sparkSession, label)}/{label.rsplit('.', 1)[-1]}-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(folder)
     return folder
 
@@ -154,18 +187,27 @@ def _point_to(
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
         return
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    note = f" COMMENT '{comment}'" if comment else ""
+    # The new table is complete under another name before the old one gives up its own, and
+    # the old one is dropped last, so a crash never leaves less than one of them.
+    mark = uuid.uuid4().hex
+    fresh, former = f"{table}_next_{mark}", f"{table}_former_{mark}"
+    note = " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'" if comment else ""
     if not partition_by:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'{note}")
-        return
-    last = [df.schema[c] for c in partition_by]
-    fields = [f for f in df.schema if f.name not in partition_by] + last
-    spark.sql(
-        f"CREATE TABLE {table} ({_columns_ddl(fields)}) USING parquet "
-        f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) LOCATION '{folder}'{note}"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"CREATE TABLE {fresh} USING parquet LOCATION '{folder}'{note}")
+    else:
+        last = [df.schema[c] for c in partition_by]
+        fields = [f for f in df.schema if f.name not in partition_by] + last
+        spark.sql(
+            f"CREATE TABLE {fresh} ({_columns_ddl(fields)}) USING parquet "
+            f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) LOCATION '{folder}'{note}"
+        )
+        spark.sql(f"MSCK REPAIR TABLE {fresh}")
+    replaced = table_exists(spark, table)
+    if replaced:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {former}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    if replaced:
+        spark.sql(f"DROP TABLE {former}")
 
 
 def _columns_ddl(fields) -> str:
@@ -256,7 +298,7 @@ def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | N
         replace_table(rows, table)
         return
     spark = rows.sparkSession
-    placed = rows.withColumn(BUCKET, _bucket_of(keys, buckets)).repartition(BUCKET)
+    placed = rows.withColumn(BUCKET, _bucket_of(keys, buckets)).hint("rebalance", BUCKET)
     folder = _write_version(placed, table, [BUCKET])
     spark.sql(
         f"CREATE TABLE {table} ({_columns_ddl(placed.schema)}) USING parquet "
@@ -274,11 +316,15 @@ def _merge_buckets(
     touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
     if not touched:
         return
+    known_names = {c.lower() for c in spark.table(table).columns}
+    added = [f for f in placed.schema if f.name.lower() not in known_names]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns_ddl(added)})")
     target = spark.table(table)
     affected = target.where(F.col(BUCKET).isin(touched))
     former = data_folders(affected) if drop_previous else set()
     merged = replace_by_key(affected, placed, keys, version).select(*target.columns)
-    folder = _write_version(merged.repartition(BUCKET), table, [BUCKET])
+    folder = _write_version(merged.hint("rebalance", BUCKET), table, [BUCKET])
     present = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
     new = [b for b in touched if f"{BUCKET}={b}" not in present]
     if new:
