@@ -71,6 +71,22 @@ def unused_name(df: DataFrame, wanted: str, also: Iterable[str] = ()) -> str:
     return wanted
 
 
+def possibly_in(df: DataFrame, wanted: DataFrame, columns: list[str], bits: int = 1 << 23) -> DataFrame:
+    """Rows of ``df`` whose ``columns`` may have values that occur in ``wanted``; never too few.
+
+    What is broadcast is a bitmap of hashes, ``bits`` / 32 rows whatever the input, so a large
+    ``df`` need not be shuffled for a join that keeps little of it.
+    """
+    place = F.pmod(F.xxhash64(*columns), F.lit(bits)).cast("int")
+    word, bit = F.shiftright(place, 5), place.bitwiseAND(F.lit(31))
+    name, held = unused_name(df, "bitmap_word"), unused_name(df, "bitmap_held")
+    bitmap = wanted.groupBy(word.alias(name)).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias(held)
+    )
+    found = df.join(F.broadcast(bitmap), word == F.col(name))
+    return found.where(F.call_function("shiftright", F.col(held), bit).bitwiseAND(F.lit(1)) == 1).drop(name, held)
+
+
 def components(links: DataFrame, label: str = "components", rounds: int = 60) -> DataFrame:
     """Smallest id that each linked id reaches.
 

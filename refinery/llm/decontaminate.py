@@ -14,12 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import column_named, stored, text_column
+from refinery.llm.common import column_named, possibly_in, stored, text_column
 
 SHINGLE = 5
 #: Shingles of all items up to which they are broadcast; 16 bytes each.
 BROADCAST_ROWS = 2_000_000
-_MAP_BITS = 1 << 20
 _LANES = 16  # bit counters per fingerprint column; each counts four bits
 
 
@@ -85,18 +84,6 @@ def _prints(grams: DataFrame, keys: list[str]) -> DataFrame:
     return sums.select(*keys, _fingerprint("total").alias("bits"))
 
 
-def _documents_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts whose id may be among ``wanted`` (doc), by a bitmap of fixed size."""
-    place = F.pmod(F.xxhash64("doc"), F.lit(_MAP_BITS)).cast("int")
-    word, bit = F.shiftright(place, 5), place.bitwiseAND(F.lit(31))
-    bitmap = wanted.groupBy(word.alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("held")
-    )
-    # The bitmap has _MAP_BITS / 32 rows at most, whatever the input.
-    chosen = texts.join(F.broadcast(bitmap), word == F.col("word"))
-    return chosen.where(F.call_function("shiftright", F.col("held"), bit).bitwiseAND(F.lit(1)) == 1).select("doc", "text")
-
-
 def contaminated_windows(
     docs: DataFrame,
     items: DataFrame,
@@ -184,7 +171,7 @@ def contaminated_windows(
     windows = stored(starts.distinct(), "windows")
 
     # All shingles of those windows, from the documents that have some.
-    here = shingled(_documents_of(texts, windows)).distinct()
+    here = shingled(possibly_in(texts, windows, ["doc"])).distinct()
     parts = (
         here.join(windows, ["doc", "span"])
         .select("doc", "start", "n_words", F.expr("slice(grams, start + 1, n_grams)").alias("own"))

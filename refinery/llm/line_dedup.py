@@ -26,15 +26,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import REMEMBERED, column_named, partitions, stored, text_column, unused_name
+from refinery.llm.common import REMEMBERED, column_named, partitions, possibly_in, stored, text_column, unused_name
 
 #: Lists of lines with one token up to this length are paired in the task that reads them.
 SHORT = 32
 #: Tokens counted this often are not gathered by token at all; their lists may be hot.
 HOT = 4_096
 _ALL = (1 << 56) - 1
-#: Bits of the map of lines that are to be verified.
-_MAP_BITS = 1 << 23
 #: Documents whose words are numbered at once.
 _BLOCK = 1_024
 _LINE_FIELDS = "doc long, line int, n int, sig long, k1 long, k2 long, prefix array<int>, hot array<int>"
@@ -260,17 +258,9 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
 
 
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The texts of the lines ``wanted`` (doc, line), and of a few others.
-
-    A bitmap of fixed size says which lines may be wanted, so texts are not shuffled.
-    """
-    place = F.pmod(F.xxhash64("doc", "line"), F.lit(_MAP_BITS)).cast("int")
-    word, bit = F.shiftright(place, 5), place.bitwiseAND(F.lit(31))
-    bitmap = wanted.groupBy(word.alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    """The texts of the lines ``wanted`` (doc, line), and of a few others."""
     lines = source.select("doc", F.posexplode_outer(F.split("text", "\n")).alias("line", "raw"))
-    # The bitmap has _MAP_BITS / 32 rows at most, whatever the input.
-    chosen = lines.join(F.broadcast(bitmap), word == F.col("w")).where(F.call_function("shiftright", F.col("bits"), bit).bitwiseAND(F.lit(1)) == 1)
-    return chosen.select("doc", "line", "raw")
+    return possibly_in(lines, wanted, ["doc", "line"])
 
 
 def _line_words(line: str) -> Column:

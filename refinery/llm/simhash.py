@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import ROWS, column_named, components, stored, text_column
+from refinery.llm.common import ROWS, column_named, components, partitions, possibly_in, stored, text_column
 
 _BITS = 64
 #: Shingles whose bits are counted at once.
@@ -92,13 +92,16 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     ``prints`` has one column ``bits`` without repeats. Every link is a pair that differs in at
     most ``radius`` bits, and any such pair is connected by links.
     """
-    keyed = prints.select("bits", F.explode(_variants(F.col("bits"), radius)).alias("key")).select("bits", "key.*")
+    # The fingerprints are few bytes; dealt out anew, their many keys are made by all tasks.
+    dealt = prints.repartition(partitions(prints.sparkSession), "bits")
+    keyed = dealt.select("bits", F.explode(_variants(F.col("bits"), radius)).alias("key")).select("bits", "key.*")
     # Buckets of one are dropped before anything is joined; the counts are combined early.
     hubs = stored(
         keyed.groupBy("place", "left").agg(F.min("bits").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "simhash-buckets",
     )
-    member = stored(keyed.join(hubs, ["place", "left"]).where("bits <> hub"), "simhash-members")
+    shared = possibly_in(keyed, hubs, ["place", "left"])
+    member = stored(shared.join(hubs, ["place", "left"]).where("bits <> hub"), "simhash-members")
     near_hub = _distance(F.col("bits"), F.col("hub")) <= radius
     first = member.where(near_hub).select(F.col("bits").alias("a"), F.col("hub").alias("b"))
     far = member.where(~near_hub).select("place", "left", F.col("bits").alias("a"))
