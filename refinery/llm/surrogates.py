@@ -242,9 +242,12 @@ def replace_personal_data(docs: DataFrame, key: str, id_column: str = "doc_id",
     joined = shown.groupBy("id", "h", "pos").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("part", "piece"))), lambda p: p["piece"]), "").alias("piece"))
     lists = joined.groupBy("id", "h").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "piece"))), lambda p: p["piece"]).alias("pieces"))
     lists = lists.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "pieces")
-    together = found.join(lists, found["id"].eqNullSafe(lists["id2"]) & (found["h"] == lists["h2"]))
+    # The pattern is not searched again: rows without a list have no entity.
+    together = source.join(lists, source["id"].eqNullSafe(lists["id2"]) & (source["h"] == lists["h2"]), "left")
     between = F.split("text", PATTERN, -1)
     woven = F.array_join(F.transform(F.arrays_zip(between.alias("gap"), F.col("pieces")), lambda z: F.concat(z["gap"], F.coalesce(z["pieces"], F.lit("")))), "")
-    changed = together.select("id", woven.alias("text"), F.size("pieces").cast("long").alias("n_entities"))
-    clean = source.where(~F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))).select("id", "text", F.lit(0).cast("long").alias("n_entities"))
-    return changed.union(clean).select(F.col("id").alias(id_column), F.col("text").alias(text), "n_entities")
+    return together.select(
+        F.col("id").alias(id_column),
+        F.when(F.col("pieces").isNull(), F.col("text")).otherwise(woven).alias(text),
+        F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_entities"),
+    )
