@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.sinks.staging import shared_folder
+from refinery.sinks.tables import delete_folder
 
 #: Rows that a Python worker works on at once; bounds its memory.
 ROWS = 256
@@ -37,7 +38,15 @@ def stored(df: DataFrame, label: str = "rows") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    rows.stored_in = path
+    return rows
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stored`` has written for ``frames``, once nothing reads it any more."""
+    for df in frames:
+        delete_folder(df.sparkSession, df.stored_in)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

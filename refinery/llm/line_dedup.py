@@ -21,60 +21,123 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import REMEMBERED, column_named, partitions, possibly_in, stored, text_column, unused_name
+from refinery.llm.common import REMEMBERED, column_named, discard, partitions, possibly_in, stored, text_column, unused_name
 
 #: Lists of lines with one token up to this length are paired in the task that reads them.
 SHORT = 32
 #: Tokens counted this often are not gathered by token at all; their lists may be hot.
 HOT = 4_096
 _ALL = (1 << 56) - 1
-#: Documents whose words are numbered at once.
-_BLOCK = 1_024
+#: Bytes of text whose words are numbered at once, a single text apart.
+_BLOCK = 1 << 18
 _LINE_FIELDS = "doc long, line int, n int, sig long, k1 long, k2 long, prefix array<int>, hot array<int>"
+#: Base of the polynomial that stands for a word, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def _split_lines(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
-    """For every line of a column of texts: its text, its number in it, and its words."""
-    lines = pc.split_pattern(pc.ascii_lower(texts), "\n")
-    counts = np.diff(np.asarray(lines.offsets))
-    text = np.repeat(np.arange(len(texts)), counts)
-    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
-    return text, number, pc.ascii_split_whitespace(lines.flatten())
+class _Powers:
+    """The first powers of the base and of its inverse; as many as the longest block asks for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def reach(self, n: int) -> None:
+        if len(self.up) < n:
+            n = max(n, _BLOCK + 1)
+            self.up, self.down = (np.append(np.ones(1, np.uint64), np.cumprod(np.full(n - 1, x, np.uint64))) for x in (_BASE, _INVERSE))
 
 
-def frequent_tokens(source: DataFrame, size: int, error: float) -> dict[str, int]:
-    """The most frequent words with the binary logarithm of their counts.
+def _blocks(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``_BLOCK`` bytes."""
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + _BLOCK, "right")) - 1)
+        yield at, min(to, len(texts))
+        at = min(to, len(texts))
+
+
+def _words(texts: pa.StringArray, powers: _Powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every word of the texts: a 64-bit number that stands for it, its line among all lines;
+    and for every line: its text, and its number in it.
+
+    The number is a polynomial over the bytes, A-Z in lower case, so differences of running
+    sums give it for all words at once.
+    """
+    ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = texts.buffers()[2]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None else np.zeros(0, np.uint8)
+    ends = ends - ends[0]
+    feeds = np.flatnonzero(raw == 10)
+    of_feed = np.searchsorted(ends[1:], feeds, "right")
+    counts = np.bincount(of_feed, minlength=len(texts)) + 1
+    text = np.repeat(np.arange(len(texts)), counts)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
+    if not len(raw):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), text, number
+    apart = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    first = ~apart
+    first[1:] &= apart[:-1]
+    inside = ends[:-1][(ends[:-1] < len(raw)) & (np.diff(ends) > 0)]  # a text begins
+    first[inside] = ~apart[inside]
+    last = ~apart
+    last[:-1] &= apart[1:]
+    last[inside[1:] - 1] = ~apart[inside[1:] - 1]
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    lower = raw + (((raw >= 65) & (raw <= 90)).astype(np.uint8) << 5)
+    powers.reach(len(raw))
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * powers.up[: len(raw)], out=sums[1:])
+    word = _mixed((sums[end] - sums[begin]) * powers.down[begin], 0xC2B2)
+    # Lines before a word: those that line feeds have ended, and one for every text before it.
+    line = np.searchsorted(feeds, begin) + np.searchsorted(ends[1:], begin, "right")
+    return word, line, text, number
+
+
+def frequent_tokens(source: DataFrame, size: int, error: float) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words, as sorted numbers, with the binary logarithm of their counts.
 
     Lossy counting over all texts: a count is too low by the share ``error`` at most. Only the
     ``size`` best words reach the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, int] = {}
-        total = 0
+        powers, total, waiting, held = _Powers(), 0, [], 0
+        known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+        def merged() -> None:
+            nonlocal known, counts, waiting, held
+            new, n = np.unique(np.concatenate(waiting or [known[:0]]), return_counts=True)
+            both, at = np.unique(np.concatenate((known, new)), return_inverse=True)
+            sums = np.bincount(at, np.concatenate((counts, n)), len(both)).astype(np.int64)
+            keep = sums > (max(1, error * total) if len(both) > 2 * REMEMBERED else 0)
+            known, counts, waiting, held = both[keep], sums[keep], [], 0
+
         for batch in batches:
-            for at in range(0, batch.num_rows, _BLOCK):
-                words = _split_lines(batch.column(0).slice(at, _BLOCK))[2].flatten()
-                total += len(words)
-                found = pc.value_counts(words)
-                for word, n in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
-                    counts[word] = counts.get(word, 0) + n
-                if len(counts) > 2 * REMEMBERED:
-                    counts = {w: n for w, n in counts.items() if n > max(1, error * total)}
-        often = [(w, n) for w, n in counts.items() if n > error * total and w]
-        for at in range(0, len(often), 20_000):
-            part = often[at : at + 20_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], ["word", "n"]
-            )
-
-    counted = source.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {w: n.bit_length() for w, n in counted.orderBy(F.desc("n"), "word").limit(size).collect()}
+            texts = batch.column(0)
+            for at, to in _blocks(texts):
+                word = _words(texts.slice(at, to - at), powers)[0]
+                total, held = total + len(word), held + len(word)
+                waiting.append(word)
+                if held > 4 * REMEMBERED:
+                    merged()
+        merged()
+        often = counts > error * total
+        known, counts = known[often].view(np.int64), counts[often]
+        for at in range(0, len(known), 20_000):
+            part = slice(at, at + 20_000)
+            yield pa.RecordBatch.from_arrays([pa.array(known[part]), pa.array(counts[part])], ["word", "n"])
+
+    counted = source.select("text").mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    best = counted.orderBy(F.desc("n"), "word").limit(size).toArrow()
+    word = best.column("word").to_numpy().view(np.uint64)
+    level = np.frexp(best.column("n").to_numpy().astype(np.float64))[1].astype(np.int64)
+    order = np.argsort(word)
+    return word[order], level[order]
 
 
 def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
@@ -84,7 +147,7 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def line_sets(source: DataFrame, classes: dict[str, int], threshold: float) -> DataFrame:
+def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
     """Every line with words: size, parity bitmap, 128-bit digest of its set of words, and the
     prefix of its rarest tokens, hot ones apart. A set that its task has met in an earlier line
     has none, nor has one too small to match another set."""
@@ -93,28 +156,25 @@ def line_sets(source: DataFrame, classes: dict[str, int], threshold: float) -> D
     hot_class = HOT.bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level = shared.value.get
-        digest = xxhash.xxh64_intdigest
+        often, level = shared.value
+        powers = _Powers()
         met: dict[tuple[int, int], tuple[int, int]] = {}  # the earliest line of a set so far
 
         def block(ids: pa.Array, texts: pa.Array) -> pa.RecordBatch | None:
-            of_text, number, words = _split_lines(texts)
-            coded = words.flatten().dictionary_encode()
-            unique = coded.dictionary.to_pylist()
-            if not unique:
+            words, of_line, of_text, number = _words(texts, powers)
+            if not len(words):
                 return None
-            # A word's order: how frequent it is, then its hash, which also stands for it.
-            order = np.array([level(w, 0) << 56 | (digest(w) & _ALL) for w in unique], np.int64)
+            unique, code = np.unique(words, return_inverse=True)
+            # A word's order: how frequent it is, then its number, which also stands for it.
+            order = (unique & np.uint64(_ALL)).view(np.int64)
+            if len(often):
+                at = np.minimum(np.searchsorted(often, unique), len(often) - 1)
+                order |= np.where(often[at] == unique, level[at], 0) << 56
             ordered = np.sort(order)
             rank = np.searchsorted(ordered, order)
-            lengths = np.diff(np.asarray(words.offsets))
-            code = np.asarray(coded.indices)
-            key = np.repeat(np.arange(len(lengths)), lengths) << 32 | rank[code]
-            key = key[(np.array([bool(w) for w in unique]))[code]]
+            key = of_line << 32 | rank[code]
             key.sort()
-            key = key[np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1]))]
-            if not len(key):
-                return None
+            key = key[np.concatenate(([True], key[1:] != key[:-1]))]
             line, token = key >> 32, ordered[key & 0xFFFFFFFF]
             starts = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1])))
             n = np.diff(np.append(starts, len(line)))
@@ -149,8 +209,8 @@ def line_sets(source: DataFrame, classes: dict[str, int], threshold: float) -> D
             return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "k1", "k2", "prefix", "hot"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, _BLOCK):
-                part = batch.slice(at, _BLOCK)
+            for at, to in _blocks(batch.column(1)):
+                part = batch.slice(at, to - at)
                 found = block(part.column(0), part.column(1))
                 if found is not None:
                     yield found
@@ -182,38 +242,46 @@ def _earlier(y: str, x: str) -> Column:
     return (F.col(f"{y}.doc") < F.col(f"{x}.doc")) | ((F.col(f"{y}.doc") == F.col(f"{x}.doc")) & (F.col(f"{y}.line") < F.col(f"{x}.line")))
 
 
-_POSTING = ["token", "doc", "line", "n", "pos", "sig"]
+#: ``key`` holds the token and the place of it in the line, ``place`` the line and its size.
+_POSTING = ["key", "doc", "place", "sig"]
 
 
-def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of lines from lists of up to SHORT lines; longer lists row by row, without partner.
+def _packed(high: str, low: str) -> Column:
+    return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(F.col(low).cast("long"))
 
-    ``postings`` come ordered by token, document and line.
-    """
+
+def _unpacked(df: DataFrame) -> DataFrame:
+    """Postings with a column for every value."""
+    high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
+    return df.select(
+        high("key").alias("token"), "doc", high("place").alias("line"), low("place").alias("n"), low("key").alias("pos"), "sig"
+    )
+
+
+def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of lines from lists of up to SHORT lines, the later line first; longer lists row by
+    row, without partner. ``postings`` come ordered by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         open_token = None  # of a list that is known to be long while it goes on
 
-        def emit(rows: list[np.ndarray], partner: tuple | None) -> pa.RecordBatch:
-            token, doc, line, n, pos, sig = rows
-            kinds = (pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            columns = [pa.array(c, k) for c, k in zip((token, doc, line, n, pos, sig), kinds)]
-            if partner is None:
-                columns += [pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.int32())]
-            else:
-                columns += [pa.array(partner[0], pa.int64()), pa.array(partner[1], pa.int32())]
-            return pa.RecordBatch.from_arrays(columns, [*_POSTING, "doc2", "line2"])
+        def emit(rows: list[np.ndarray], doc2: np.ndarray | None = None, place2: np.ndarray | None = None) -> pa.RecordBatch:
+            columns = [pa.array(c) for c in rows]
+            columns.append(pa.nulls(len(rows[0]), pa.int64()) if doc2 is None else pa.array(doc2))
+            columns.append(pa.nulls(len(rows[0]), pa.int64()) if place2 is None else pa.array(place2))
+            return pa.RecordBatch.from_arrays(columns, [*_POSTING, "doc2", "place2"])
 
         def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            token, doc, line, n, pos, sig = rows
+            key, doc, place, sig = rows
+            token, pos, line, n = key >> 32, key & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             sizes = np.diff(np.append(starts, len(token)))
             size = np.repeat(sizes, sizes)
             rank = np.arange(len(token)) - np.repeat(starts, sizes)
             long = size > SHORT
             if long.any():
-                yield emit([c[long] for c in rows], None)
+                yield emit([c[long] for c in rows])
             x = np.flatnonzero(~long & (rank > 0))
             back = 1
             while len(x):
@@ -222,7 +290,9 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
                 fit &= (doc[x] != doc[y]) | (line[x] != line[y])
                 if fit.any():
                     a, b = x[fit], y[fit]
-                    yield emit([c[a] for c in rows], (doc[b], line[b]))
+                    later = (doc[a] > doc[b]) | ((doc[a] == doc[b]) & (line[a] > line[b]))
+                    a, b = np.where(later, a, b), np.where(later, b, a)
+                    yield emit([c[a] for c in rows], doc[b], place[b])
                 back += 1
                 x = x[rank[x] >= back]
 
@@ -232,20 +302,20 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             new = [np.asarray(c) for c in batch.columns]
             if held is not None:
                 new = [np.concatenate((a, b)) for a, b in zip(held, new)]
-            token = new[0]
+            token = new[0] >> 32
             if open_token is not None:
                 more = int(np.searchsorted(token, open_token, "right"))
                 if more:
-                    yield emit([c[:more] for c in new], None)
+                    yield emit([c[:more] for c in new])
                     new = [c[more:] for c in new]
-                    token = new[0]
+                    token = token[more:]
             if not len(token):
                 held = None
                 continue
             last = int(np.searchsorted(token, token[-1]))  # the last list may go on
             open_token = token[-1] if len(token) - last > SHORT else None
             if open_token is not None:
-                yield emit([c[last:] for c in new], None)
+                yield emit([c[last:] for c in new])
                 held = None
             else:
                 held = [c[last:] for c in new]
@@ -254,7 +324,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
         if held is not None and len(held[0]):
             yield from work(held)
 
-    return postings.mapInArrow(run, "token int, doc long, line int, n int, pos int, sig long, doc2 long, line2 int")
+    return postings.mapInArrow(run, "key long, doc long, place long, sig long, doc2 long, place2 long")
 
 
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -263,23 +333,30 @@ def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
     return possibly_in(lines, wanted, ["doc", "line"])
 
 
-def _line_words(line: str) -> Column:
-    """The set of words of a line."""
-    lower = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.array_distinct(F.array_remove(F.split(lower, r"[ \t-\r]+"), ""))
+def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
+    """Lines (doc, line) of pairs whose texts ``raw`` and ``raw2`` match as sets of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column(2).cast(pa.binary()), batch.column(3).cast(pa.binary())):
+                a, b = set(x.as_py().lower().split()), set(y.as_py().lower().split())
+                same = len(a & b)
+                kept.append(same / (len(a) + len(b) - same) >= threshold if a and b else False)
+            yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
+
+    return pairs.select("doc", "line", "raw", "raw2").mapInArrow(run, "doc long, line int").distinct()
 
 
 def _verified(pairs: DataFrame, source: DataFrame, threshold: float) -> DataFrame:
-    """Of the pairs (doc, line, doc2, line2) the lines (doc, line) that match their partner."""
+    """Of the stored pairs (doc, line, doc2, line2) the lines (doc, line) that match their partner."""
     wanted = pairs.select("doc", "line").union(pairs.select("doc2", "line2")).distinct()
     texts = stored(_texts_of(source, wanted), "line-texts")
     other = texts.select(F.col("doc").alias("doc2"), F.col("line").alias("line2"), F.col("raw").alias("raw2"))
     both = pairs.join(texts, ["doc", "line"]).join(other, ["doc2", "line2"])
-    sets = F.array(F.struct(_line_words("raw").alias("x"), _line_words("raw2").alias("y")))
-    # Bound to a variable, the sets of a pair are made once.
-    sets = F.transform(sets, lambda s: F.struct(F.size(s["x"]).alias("x"), F.size(s["y"]).alias("y"), F.size(F.array_intersect(s["x"], s["y"])).alias("n")))
-    similar = F.exists(sets, lambda s: s["n"] / (s["x"] + s["y"] - s["n"]) >= threshold)
-    return both.where(similar).select("doc", "line").distinct()
+    matched = stored(_similar(both, threshold), "line-matched")
+    discard(texts, pairs)
+    return matched
 
 
 def repeated_lines(
@@ -295,24 +372,32 @@ def repeated_lines(
     source = docs.select(column_named(docs, id_column).cast("long").alias("doc"), text_column(docs, text)).where("doc is not null")
     classes = frequent_tokens(source, lexicon_size, error)
     lines = stored(line_sets(source, classes, threshold), "lines")
-    cold = lines.select(F.posexplode("prefix").alias("pos", "token"), "doc", "line", "n", "sig").select(_POSTING)
     n_parts = partitions(docs.sparkSession)
-    found = stored(
-        _short_lists(cold.repartition(n_parts, "token").sortWithinPartitions("token", "doc", "line"), threshold), "line-pairs"
+    place = _packed("line", "n").alias("place")
+    cold = lines.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig").select(
+        _packed("token", "pos").alias("key"), "doc", "place", "sig"
     )
-    hot = lines.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", "line", "n", "sig").select(
-        "token", "doc", "line", "n", (F.col("pos") + F.col("before")).alias("pos"), "sig"
+    dealt = cold.repartition(n_parts, F.shiftright("key", 32)).sortWithinPartitions("key")
+    found = stored(_short_lists(dealt, threshold), "line-pairs")
+    hot = (
+        lines.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig")
+        .withColumn("pos", F.col("pos") + F.col("before"))
+        .select(_packed("token", "pos").alias("key"), "doc", "place", "sig")
     )
-    long = stored(found.where("doc2 is null").select(_POSTING).union(hot), "line-lists")
+    long = stored(_unpacked(found.where("doc2 is null").select(_POSTING).union(hot)), "line-lists")
     member = ["doc", "line", "n", "pos", "sig"]
     hubs = long.groupBy("token").agg(F.min(F.struct(*member)).alias("y")).select("token", "y.*")
     condition = (F.col("x.token") == F.col("y.token")) & _earlier("y", "x") & _may_match_sql("x", "y", threshold)
     pair = [F.col("x.doc"), F.col("x.line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")]
     to_hub = long.alias("x").join(hubs.alias("y"), condition).select(*pair)
-    first = stored(found.where("doc2 is not null").select("doc", "line", "doc2", "line2").union(to_hub).distinct(), "line-first")
-    matched = stored(_verified(first, source, threshold), "line-matched")
-    open_lines = long.join(matched, ["doc", "line"], "left_anti").select(_POSTING)
+    line_of = lambda c: F.shiftright(c, 32).cast("int")
+    close = found.where("doc2 is not null").select("doc", line_of("place").alias("line"), "doc2", line_of("place2").alias("line2"))
+    first = stored(close.union(to_hub).distinct(), "line-first")
+    discard(found)
+    matched = _verified(first, source, threshold)
+    open_lines = long.join(matched, ["doc", "line"], "left_anti")
     rest = stored(open_lines.alias("x").join(long.alias("y"), condition).select(*pair).distinct(), "line-rest")
+    discard(long)
     more = _verified(rest, source, threshold)
     gone = matched.union(more).distinct().withColumn("gone", F.lit(True))
     # A class is removed whole if its first line is, else all of it but that line.
