@@ -51,8 +51,9 @@ def op6_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counted = token_counts.token_counts(read_table(spark, sf_dir, "documents"))
-    return counted.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+    counted = token_counts.token_counts(read_table(spark, sf_dir, "documents"), prefixes=True)
+    kept = token_counts.fitting_prefix(counted, CONTEXT)
+    return kept.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT).alias("over_limit"), "n_chars_kept", "prefix_tokens")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

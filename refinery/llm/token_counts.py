@@ -8,7 +8,9 @@ compatible with it, and the count of the prefix is one more than that of the sho
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,13 @@ from pyspark.sql import functions as F
 from refinery.llm import vocabulary
 from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, text_column, tokenizer_path
 
+#: White space of the split pattern, to which the separators do not belong.
+_SPACES = re.compile(r"[^\S\x1c-\x1f]+")
+#: Characters of the longest unit whose prefix counts are remembered.
+_LONG = 40
+#: Characters of texts whose prefix counts are handed on at once, about.
+_AT_ONCE = 1 << 21
+
 
 class Counter:
     """Counts tokens inside one worker; remembers counts of words and pairs of pieces."""
@@ -26,6 +35,7 @@ class Counter:
         self.vocab = vocab
         self.fits: dict[tuple[int, int], bool] = {}
         self.after_space: dict[str, int | None] = {}
+        self.of_unit: dict[str, bytes] = {}
 
     def _compatible(self, a: int, b: int) -> bool:
         pieces = self.vocab.pieces
@@ -83,38 +93,60 @@ class Counter:
     def _unit_prefixes(self, unit: str) -> list[int]:
         """Counts of every prefix of a unit, in characters, the empty one left out."""
         out, base = [], 0  # base: tokens before the white space that ends what is complete
-        space = ""  # complete white space that a cut may join to what follows
+        space, spaces = "", 0  # complete white space that a cut may join to what follows; its tokens
         for piece in (p.decode() for p in self.vocab.split(unit)):
-            for n in range(1, len(piece) + 1):
-                tail = space + piece[:n]
-                if tail.isspace():
-                    out.append(base + self.prefixes(tail.encode())[-1])
-                else:
-                    out.append(base + sum(self.prefixes(p)[-1] for p in self.vocab.split(tail)))
-            if piece.isspace():
+            if _SPACES.fullmatch(piece):  # at the end of a cut, white space is one piece
+                out += [base + n for n in self._at_characters(space + piece)[len(space) :]]
                 space += piece
-            else:
-                base = out[-1]
-                space = ""
+                spaces += self.prefixes(piece.encode())[-1]
+                continue
+            if piece[0] == "'" and piece[1:].isalpha():  # a cut ending of a word is no ending
+                for n in range(1, len(piece) + 1):
+                    out.append(base + spaces + sum(self.prefixes(p)[-1] for p in self.vocab.split(piece[:n])))
+            else:  # a run of one kind, cut or not
+                own = [base + spaces + n for n in self._at_characters(piece)]
+                if space and piece[0] == " ":
+                    own[0] = base + self._at_characters(space + piece[0])[-1]
+                out += own
+            base = out[-1]
+            space, spaces = "", 0
         return out
 
+    def _at_characters(self, word: str) -> list[int]:
+        """Token counts of ``word[:i]`` for every i from 1 on, if each is one piece."""
+        counts = self.prefixes(word.encode())
+        if word.isascii():
+            return counts[1:]
+        return [counts[n] for n in accumulate(len(c.encode()) for c in word)]
+
+    def _remembered_prefixes(self, unit: str) -> bytes:
+        """Counts of every prefix of a unit, as 32-bit integers."""
+        row = np.array(self._unit_prefixes(unit), "<i4").tobytes()
+        if len(unit) <= _LONG:
+            if len(self.of_unit) > REMEMBERED // 2:
+                self.of_unit = earliest(self.of_unit)
+            self.of_unit[unit] = row
+        return row
+
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for every i from 0 to its length."""
-        total, out = 0, [0]
+        total, start, out = 0, 0, [np.zeros(1, np.int32)]
         for section, i in self.vocab.sections(text):
             if i is not None:
                 # A cut inside the string of an added token leaves ordinary text.
-                start = len(out) - 1
-                for n in range(1, len(section)):
-                    out.append(self.count(text[: start + n]))
+                inside = [self.count(text[: start + n]) for n in range(1, len(section))]
                 total += 1
-                out.append(total)
-                continue
-            for unit in vocabulary.units(section):
-                counts = self._unit_prefixes(unit)
-                out += [total + c for c in counts]
-                total += counts[-1] if counts else 0
-        return np.array(out, np.int32)
+                out.append(np.array([*inside, total], np.int32))
+            else:
+                of = self.of_unit.get
+                rows = [of(u) or self._remembered_prefixes(u) for u in vocabulary.units(section)]
+                sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+                counts = np.frombuffer(b"".join(rows), "<i4")
+                ends = np.cumsum(counts[np.cumsum(sizes) - 1])
+                out.append(counts + np.repeat(np.concatenate([[0], ends[:-1]]) + total, sizes).astype(np.int32))
+                total += int(ends[-1])
+            start += len(section)
+        return np.concatenate(out).astype("<i4")
 
 
 _counters: dict[int, Counter] = {}
@@ -147,19 +179,26 @@ def token_counts(
     source = docs.select(column_named(docs, id_column).alias(id_column), text_column(docs, text).alias("__text"))
     names = [id_column, "n_bytes", "n_tokens"] + ["prefix_tokens"] * prefixes
 
+    def handed_on(ids: pa.Array, texts: list[str], columns: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, pa.array([len(t.encode()) for t in texts], pa.int64()), *columns], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(data.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 texts = part.column(1).to_pylist()
-                columns = [part.column(0), pa.array([len(t.encode()) for t in texts], pa.int64())]
-                if prefixes:
-                    stored = [counter.prefix_counts(t) for t in texts]
-                    columns += [pa.array([int(s[-1]) for s in stored], pa.int64()), pa.array([s.tobytes() for s in stored], pa.binary())]
-                else:
-                    columns.append(pa.array([counter.count(t) for t in texts], pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, names)
+                if not prefixes:
+                    yield handed_on(part.column(0), texts, [pa.array([counter.count(t) for t in texts], pa.int64())])
+                    continue
+                first, stored = 0, []
+                for n, t in enumerate(texts, 1):
+                    stored.append(counter.prefix_counts(t))
+                    if n == len(texts) or sum(map(len, stored)) > _AT_ONCE:
+                        totals = pa.array([int(s[-1]) for s in stored], pa.int64())
+                        tables = pa.array([s.tobytes() for s in stored], pa.binary())
+                        yield handed_on(part.column(0).slice(first, n - first), texts[first:n], [totals, tables])
+                        first, stored = n, []
 
     kind = source.schema[0].dataType.simpleString()
     return source.mapInArrow(run, f"`{id_column}` {kind}, n_bytes long, n_tokens long" + ", prefix_tokens binary" * prefixes)
