@@ -27,8 +27,3 @@ def database(spark):
 def new_table(database):
     """Names of tables that nothing has used yet."""
     return lambda label="t": f"{database}.{label}_{uuid.uuid4().hex[:12]}"
-
-
-def rows(df, *order):
-    """Rows as sorted tuples, for comparison."""
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((v is None, str(v)) for v in r))

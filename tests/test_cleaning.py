@@ -2,7 +2,7 @@ import warnings
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import UnknownColumnWarning, find, known

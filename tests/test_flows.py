@@ -4,7 +4,7 @@ import json
 from datetime import UTC, datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from refinery.operators.incremental import last_mark

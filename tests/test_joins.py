@@ -4,7 +4,7 @@ import random
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from refinery.operators.enrich import lookup

@@ -2,7 +2,7 @@ import time
 from datetime import UTC, datetime, timedelta
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from refinery.operators.incremental import (

@@ -2,7 +2,7 @@ import json
 from datetime import datetime
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from refinery.operators.raw_json import infer_schema, parse_raw, to_raw
