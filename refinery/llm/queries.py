@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, decontaminate, itq, line_dedup, preferences, quality, simhash, surrogates, token_counts, token_files
+from refinery.llm import (
+    bpe, decontaminate, itq, line_dedup, preferences, prefix_trie, quality, simhash, surrogates, token_counts, token_files,
+)
 from refinery.llm.common import read_table, stored
 from refinery.sinks.staging import new_folder
 
@@ -71,11 +73,16 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, labels, held_out)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_itq_near_vectors, op2_simhash_near_documents, op3_preference_pairs, op4_bpe_round_trip, op5_surrogates,
         op6_benchmark_windows, op7_token_counts, op8_line_dedup, op9_token_files, op10_quality,
+        op12_prefix_trie,
     )
 }
 
@@ -130,6 +137,52 @@ ORACLE_SQL = {
                 FILTER (side = 'r' AND pos > n AND role = 'assistant'), '') AS rejected_spans
         FROM placed GROUP BY conv_id, n
     """,
+    "op12_prefix_trie": """
+        WITH RECURSIVE crc_steps(n, k, c) AS (
+            SELECT n, 0, n FROM range(256) AS r(n)
+            UNION ALL
+            SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8
+        ),
+        crc AS (SELECT list(c ORDER BY n) AS tab FROM crc_steps WHERE k = 8),
+        t AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ),
+        own AS (SELECT conv_id, list(struct_pack(r := role, x := text) ORDER BY pos) AS turns FROM t GROUP BY conv_id),
+        cut AS (
+            SELECT conv_id, turns, xor(list_reduce(
+                list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+                lambda a, b: xor(a >> 8, tab[CAST((xor(a, b) & 255) + 1 AS BIGINT)])), 4294967295) % 6 AS h
+            FROM own, crc
+        ),
+        rebuilt AS (
+            SELECT c.conv_id, list_concat(coalesce(b.turns[1:h], []), c.turns[h + 1:]) AS turns
+            FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100
+        ),
+        members AS (
+            SELECT conv_id, depth, turns[1:depth] AS node, len(turns) = depth AS ends
+            FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)
+        ),
+        nodes AS (
+            SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs,
+                sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+                CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * length(node[depth].x) END AS saved
+            FROM members GROUP BY depth, node
+        ),
+        linked AS (
+            SELECT n.*, p.conv_id AS parent_conv_id, p.node AS above
+            FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]
+        ),
+        kids AS (SELECT above, depth - 1 AS depth, count(*) AS n FROM linked WHERE depth > 0 GROUP BY ALL),
+        counted AS (
+            SELECT l.*, coalesce(k.n, 0) AS n_children FROM linked l LEFT JOIN kids k ON k.depth = l.depth AND k.above = l.node
+        )
+        SELECT a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children,
+            count(*) FILTER (b.n_children = 0) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens, a.ends_sha256
+        FROM counted a JOIN counted b ON b.depth >= a.depth AND b.node[1:a.depth] = a.node
+        GROUP BY a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256
+    """,
 }
 
 
