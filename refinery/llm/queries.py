@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.llm import (
-    bpe, decontaminate, itq, line_dedup, preferences, prefix_trie, quality, simhash, surrogates, token_counts, token_files,
+    bpe, decontaminate, itq, line_dedup, preferences, prefix_trie, quality, simhash, surrogates, token_counts, token_files, warc,
 )
 from refinery.llm.common import read_table, stored
 from refinery.sinks.staging import new_folder
@@ -77,12 +77,21 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archive(read_table(spark, sf_dir, "pages"), path)
+    return warc.archived_pages(spark, path).select(
+        F.col("page").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_itq_near_vectors, op2_simhash_near_documents, op3_preference_pairs, op4_bpe_round_trip, op5_surrogates,
         op6_benchmark_windows, op7_token_counts, op8_line_dedup, op9_token_files, op10_quality,
-        op12_prefix_trie,
+        op12_prefix_trie, op13_warc,
     )
 }
 
@@ -183,6 +192,19 @@ ORACLE_SQL = {
         FROM counted a JOIN counted b ON b.depth >= a.depth AND b.node[1:a.depth] = a.node
         GROUP BY a.conv_id, a.depth, a.parent_conv_id, a.n_convs, a.n_children, a.ends_sha256
     """,
+    # Five hexadecimal digits are four of base 32.
+    "op13_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS kept FROM pages
+        )
+        SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+            list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST(((CAST('0x' || substr(sha1(html), CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)),
+                'string_agg', '') AS payload_digest,
+            CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> kept THEN kept END AS refers_to
+        FROM p
+    """,
 }
 
 
