@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from refinery.llm import (
-    bpe, decontaminate, itq, line_dedup, preferences, prefix_trie, quality, simhash, surrogates, token_counts, token_files, warc,
+    alignment, bpe, decontaminate, itq, line_dedup, preferences, prefix_trie, quality, simhash, surrogates, token_counts, token_files, warc,
 )
 from refinery.llm.common import read_table, stored
 from refinery.sinks.staging import new_folder
@@ -73,6 +73,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, labels, held_out)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(read_table(spark, sf_dir, "documents"))[0]
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
 
@@ -91,7 +95,7 @@ QUERIES = {
     for f in (
         op1_itq_near_vectors, op2_simhash_near_documents, op3_preference_pairs, op4_bpe_round_trip, op5_surrogates,
         op6_benchmark_windows, op7_token_counts, op8_line_dedup, op9_token_files, op10_quality,
-        op12_prefix_trie, op13_warc,
+        op11_tokenizer_alignment, op12_prefix_trie, op13_warc,
     )
 }
 
