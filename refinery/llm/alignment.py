@@ -16,6 +16,7 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,8 @@ from refinery.llm.common import ROWS, column_named, discard, stored, text_column
 from refinery.llm.spread import spread_lookup
 from refinery.llm.vocabulary import byte_of_char, units
 
-#: Units that a worker remembers at most; then it starts anew.
-UNITS = 250_000
+#: Units that a worker remembers at most; then it forgets the later half, where rare ones are.
+UNITS = 500_000
 #: Characters of the longest unit that is remembered.
 _LONG = 64
 #: Characters of texts that are put together at once, about.
@@ -49,7 +50,8 @@ class Sides:
         self.a.no_padding()
         of_char = byte_of_char()
         described = json.loads(byte_level)
-        self.a_bytes = {i: bytes(of_char[c] for c in p) for p, i in described["model"]["vocab"].items() if all(c in of_char for c in p)}
+        vocab = {i: bytes(of_char[c] for c in p) for p, i in described["model"]["vocab"].items() if all(c in of_char for c in p)}
+        self.a_bytes = [vocab.get(i, b"") for i in range(max(vocab) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         self.size_b = self.b.get_piece_size()
         names = [self.b.id_to_piece(i) for i in range(self.size_b)]
@@ -57,36 +59,44 @@ class Sides:
         across = any(n[k] == _SPACE and n[k - 1] != _SPACE for n in names for k in range(1, len(n)))
         if across or (described.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or described.get("normalizer"):
             raise ValueError("a piece of these tokenizers may reach across the space between two words")
+        self.a_length, self.b_length = [len(p) for p in self.a_bytes], [len(p) for p in self.b_bytes]
+        self.name = [str(i) for i in range(max(len(self.a_bytes), self.size_b))]
 
     def encode(self, spaced: list[str]) -> list[tuple[list[int], list[int], bool]]:
         """For texts that begin with a space: ids of both sides, and whether both give its bytes."""
         left = [e.ids for e in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
         right = self.b.encode([s[1:] for s in spaced], num_threads=1)
-        out = []
-        for text, a, b in zip(spaced, left, right):
-            raw = text.encode()
-            same = b"".join([self.a_bytes.get(i, b"") for i in a]) == raw == b"".join([self.b_bytes[i] for i in b])
-            out.append((a, b, same))
-        return out
+        of_a, of_b, joined = self.a_bytes.__getitem__, self.b_bytes.__getitem__, b"".join
+        return [(a, b, joined(map(of_a, a)) == t.encode() == joined(map(of_b, b))) for t, a, b in zip(spaced, left, right)]
 
     def align(self, a: list[int], b: list[int]) -> tuple[bytes, int, list[int]]:
         """Groups as text, their number, and the pair ``a * size_b + b`` of every link."""
-        groups, links = [], []
-        i = j = end_a = end_b = 0
-        first_a = first_b = 0
-        size = self.size_b
-        while i < len(a):
+        size, name = self.size_b, self.name
+        if len(b) == 1 or len(a) == 1:  # one group, in which all meet
+            text = ",".join([name[x] for x in a]) + "|" + ",".join([name[y] for y in b])
+            return text.encode(), 1, [x * size + y for x in a for y in b]
+        a_length, b_length = self.a_length, self.b_length
+        text, links = [], []
+        own, other, ahead = [name[a[0]]], [name[b[0]]], a_length[a[0]] - b_length[b[0]]
+        i = j = 0
+        last = len(a) - 1
+        while True:
             # One more link for the two tokens at hand, then whichever ends first gives way.
             links.append(a[i] * size + b[j])
-            next_a, next_b = end_a + len(self.a_bytes[a[i]]), end_b + len(self.b_bytes[b[j]])
-            if next_a <= next_b:
-                i, end_a = i + 1, next_a
-            if next_b <= next_a:
-                j, end_b = j + 1, next_b
-            if next_a == next_b:
-                groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
-                first_a, first_b = i, j
-        return ";".join(groups).encode(), len(groups), links
+            if ahead == 0:
+                text.append(",".join(own) + "|" + ",".join(other))
+                if i == last:
+                    return ";".join(text).encode(), len(text), links
+                i, j = i + 1, j + 1
+                own, other, ahead = [name[a[i]]], [name[b[j]]], a_length[a[i]] - b_length[b[j]]
+            elif ahead > 0:
+                j += 1
+                other.append(name[b[j]])
+                ahead -= b_length[b[j]]
+            else:
+                i += 1
+                own.append(name[a[i]])
+                ahead += a_length[a[i]]
 
 
 class Aligner:
@@ -94,15 +104,20 @@ class Aligner:
 
     def __init__(self, sides: Sides):
         self.sides = sides
-        self._clear()
-
-    def _clear(self) -> None:
         self.row: dict[str, int] = {}
         self.counts = np.zeros((0, 4), np.int64)  # n_a, n_b, n_groups, whether the bytes are kept
         self.ends = np.zeros(0, np.int64)
         self.pairs = np.zeros(0, np.int64)
         self.groups: list[bytes] = []
 
+    def _forget(self) -> None:
+        """Keep the units that were learned first, where the frequent ones are."""
+        kept = len(self.groups) // 2
+        self.row = dict(takewhile(lambda item: item[1] < kept, self.row.items()))
+        self.counts, self.ends = self.counts[:kept].copy(), self.ends[:kept].copy()
+        self.pairs = self.pairs[: self.ends[-1] if kept else 0].copy()
+        del self.groups[kept:]
+
     def _learn(self, wanted: list[str]) -> None:
         counts, pairs, ends, total = [], [], [], len(self.pairs)
         for at in range(0, len(wanted), 4_096):
@@ -121,8 +136,8 @@ class Aligner:
 
     def texts(self, texts: list[str]) -> list[tuple]:
         """Per text: n_a, n_b, n_groups, n_links, digest of the groups, its pairs, their links."""
-        if len(self.row) > UNITS:
-            self._clear()
+        if len(self.groups) > UNITS or len(self.pairs) > 16 * UNITS:
+            self._forget()
         split = [units(" " + t) if t else [] for t in texts]
         known = self.row
         new = dict.fromkeys(u for us in split for u in us if u not in known)
@@ -131,11 +146,8 @@ class Aligner:
             self._learn(list(new))
         found = [np.array([known[u] for u in us], np.int64) for us in split]
         out = [self._joined(t, rows) for t, rows in zip(texts, found)]
-        if long:  # they are not kept: the rows stay until the next clearing, the names go
-            for u in long:
-                del known[u]
-            if len(self.pairs) > 16 * UNITS:
-                self._clear()
+        for u in long:  # their names take the most; their rows go when rows are forgotten
+            del known[u]
         return out
 
     def _joined(self, text: str, rows: np.ndarray) -> tuple:
