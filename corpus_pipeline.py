@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from refinery.llm import bpe, decontaminate, line_dedup, near_copies, quality
+from refinery.llm import bpe, decontaminate, line_dedup, quality, simhash
 from refinery.llm.common import column_named, read_table, unused_name
 from refinery.llm.queries import held_out, run_stages
 
@@ -43,8 +43,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents linked by a 5-word similarity of 0.8 the one with the smallest id."""
-    groups = near_copies.near_copy_groups(docs)
+    """Of each group of documents whose fingerprints are linked the one with the smallest id.
+
+    The words, shingle length and radius are those of the operator's own query.
+    """
+    groups = simhash.simhash_groups(docs)
     return _without(docs, groups.where("doc_id <> component_id").select("doc_id"))
 
 
