@@ -145,6 +145,11 @@ def test_simhash_links_connect_a_ball(spark):
     assert got == roots([s[0] for s in signed], near)
 
 
+def test_simhash_keys_are_made_by_all_tasks(spark):
+    links = simhash.fingerprint_links(spark.range(5).selectExpr("id AS bits").distinct())
+    assert "REPARTITION_BY_NUM" in links._jdf.queryExecution().executedPlan().toString()
+
+
 def test_simhash_odd(odd, none):
     got = simhash.simhash_groups(odd).collect()
     assert len(got) == odd.count()

@@ -7,9 +7,8 @@ from collections import defaultdict
 
 import pytest
 
-from compare import difference, open_oracle
 from refinery.llm import prefix_trie as trie
-from refinery.llm import queries, spread
+from refinery.llm import spread
 from support import rows
 
 SCHEMA = "conv_id long, turn long, role string, text string"
@@ -98,12 +97,6 @@ def test_empty_table_and_clashing_columns(spark):
     assert rows(trie.prefix_trie(more)) == brute(made)
 
 
-def test_sql(spark):
-    folder = "/root/testdata/sf0.001"
-    frame = queries.op12_prefix_trie(spark, folder)
-    assert difference(frame, open_oracle(folder), queries.ORACLE_SQL["op12_prefix_trie"]) is None
-
-
 def test_running_sums_and_spread_lookup(spark):
     df = spark.range(5_000).selectExpr("CASE WHEN id % 3 = 0 THEN 1L ELSE id END AS k", "id AS o")
     from pyspark.sql import functions as F

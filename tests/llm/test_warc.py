@@ -10,8 +10,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from compare import difference, open_oracle
-from refinery.llm import queries, spread, warc
+from refinery.llm import spread, warc
 from support import rows
 
 SCHEMA = "page_id long, url string, html string"
@@ -163,8 +162,3 @@ def test_empty_table_and_clashing_columns(spark):
     path = new_path()
     warc.write_archive(spark.createDataFrame([("a b>", "u", "x"), ("é", "u", "x")], "page_id string, url string, html string"), path)
     assert rows(warc.archived_pages(spark, path).select("page", "refers_to")) == [("a b>", "é"), ("é", None)]
-
-
-def test_sql(spark):
-    folder = "/root/testdata/sf0.001"
-    assert difference(queries.op13_warc(spark, folder), open_oracle(folder), queries.ORACLE_SQL["op13_warc"]) is None
