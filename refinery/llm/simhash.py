@@ -82,6 +82,16 @@ def _variants(bits: Column, radius: int) -> Column:
     return F.array(*keys)
 
 
+def _keyed(prints: DataFrame, radius: int) -> DataFrame:
+    """Every fingerprint with each of its keys.
+
+    The fingerprints are few bytes; dealt out anew, their many keys are made by all tasks. By
+    ``bits`` itself Spark would drop the step after a ``distinct`` and join small partitions.
+    """
+    dealt = prints.repartition(partitions(prints.sparkSession), F.xxhash64("bits"))
+    return dealt.select("bits", F.explode(_variants(F.col("bits"), radius)).alias("key")).select("bits", "key.*")
+
+
 def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
@@ -92,10 +102,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     ``prints`` has one column ``bits`` without repeats. Every link is a pair that differs in at
     most ``radius`` bits, and any such pair is connected by links.
     """
-    # The fingerprints are few bytes; dealt out anew, their many keys are made by all tasks. By
-    # ``bits`` itself Spark would drop the step after a ``distinct`` and join small partitions.
-    dealt = prints.repartition(partitions(prints.sparkSession), F.xxhash64("bits"))
-    keyed = dealt.select("bits", F.explode(_variants(F.col("bits"), radius)).alias("key")).select("bits", "key.*")
+    keyed = _keyed(prints, radius)
     # Buckets of one are dropped before anything is joined; the counts are combined early.
     hubs = stored(
         keyed.groupBy("place", "left").agg(F.min("bits").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n"),

@@ -146,8 +146,8 @@ def test_simhash_links_connect_a_ball(spark):
 
 
 def test_simhash_keys_are_made_by_all_tasks(spark):
-    links = simhash.fingerprint_links(spark.range(5).selectExpr("id AS bits").distinct())
-    assert "REPARTITION_BY_NUM" in links._jdf.queryExecution().executedPlan().toString()
+    keyed = simhash._keyed(spark.range(5).selectExpr("id AS bits").distinct(), 3)
+    assert "REPARTITION_BY_NUM" in keyed._jdf.queryExecution().executedPlan().toString()
 
 
 def test_simhash_odd(odd, none):
