@@ -316,7 +316,7 @@ def load_silver(
     pipeline: str = "silver_incidents",
     endpoint: str = "incidents",
     full_load: bool = False,
-    buckets: int | None = None,
+    partition_by: Sequence[str] = (),
     drop_previous: bool = False,
 ) -> dict | None:
     """New bronze records -> quality gate -> silver upsert -> mark. None when nothing is new.
@@ -351,7 +351,7 @@ def load_silver(
             tables.silver,
             ["ticket_id"],
             "modification_ts",
-            buckets=buckets,
+            partition_by=partition_by,
             drop_previous=drop_previous,
         )
     advance_mark(tables.state, pipeline, endpoint, upto, bronze)

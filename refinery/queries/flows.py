@@ -109,7 +109,7 @@ def gold_view(spark, folder):
         SETTINGS,
     )
     name = new_table(spark, "silver")
-    upsert_table(tickets, name, ["ticket_id"], "modification_ts", buckets=4)
+    upsert_table(tickets, name, ["ticket_id"], "modification_ts", partition_by=["OC"])
     view = publish_view(
         spark.table(name), incidents.GOLD_COLUMNS, f"gold_{uuid.uuid4().hex}"
     )

@@ -12,7 +12,7 @@ from refinery.operators.upsert import merge_rows
 from refinery.queries import new_table, query, table
 from refinery.sinks.quality import with_resolutions
 from refinery.sinks.staging import new_folder
-from refinery.sinks.tables import append, append_evolving, keyed_rows, replace_table, upsert_table
+from refinery.sinks.tables import BUCKET, append, append_evolving, keyed_rows, replace_table, upsert_table, with_bucket
 from refinery.sources.files import clean_headers, csv_to_bronze, csv_to_raw, page_records
 
 ORDER_FIELDS = (
@@ -203,10 +203,58 @@ def upsert_table_bucketed(spark, folder):
     pages, labels = pages_and_labels(spark, folder)
     name = new_table(spark, "bucketed")
     for rows in (pages, labels):
-        upsert_table(rows, name, ["id"], buckets=4)
+        upsert_table(with_bucket(rows, ["id"], 4), name, ["id", BUCKET], partition_by=[BUCKET])
     return keyed_rows(spark, name)
 
 
+@query("""
+SELECT o_orderkey AS id, o_orderpriority AS place, CAST(o_custkey AS BIGINT) AS amount, NULL AS note FROM orders
+WHERE o_orderkey % 3 <> 0 AND NOT (o_orderpriority = '1-URGENT')
+UNION ALL
+SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN '2-HIGH' ELSE o_orderpriority END,
+       CAST(o_custkey AS BIGINT) + 1, o_orderstatus FROM orders
+WHERE o_orderkey % 3 = 0 OR o_orderpriority = '1-URGENT'
+""")
+def upsert_partitioned(spark, folder):
+    """A table partitioned by a plain column: rows change, move to another partition and empty one."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("place"),
+        F.col("o_custkey").cast("long").alias("amount"), "o_orderstatus",
+    )
+    name = new_table(spark, "partitioned")
+    upsert_table(orders.drop("o_orderstatus"), name, ["id"], partition_by=["place"])
+    changed = orders.where("id % 3 = 0 or place = '1-URGENT'").select(
+        "id", F.when(F.col("place") == "1-URGENT", F.lit("2-HIGH")).otherwise(F.col("place")).alias("place"),
+        (F.col("amount") + 1).alias("amount"), F.col("o_orderstatus").alias("note"),
+    )
+    upsert_table(changed, name, ["id"])
+    return spark.table(name)
+
+
+@query("""
+SELECT s_suppkey AS id, s_nationkey % 4 AS place,
+       CASE WHEN s_suppkey % 5 = 0 THEN 3000000000 + s_suppkey ELSE CAST(s_nationkey AS BIGINT) END AS amount,
+       'partitioned' AS layout FROM supplier
+UNION ALL
+SELECT s_suppkey, s_nationkey % 4,
+       CASE WHEN s_suppkey % 5 = 0 THEN 3000000000 + s_suppkey ELSE CAST(s_nationkey AS BIGINT) END,
+       'plain' FROM supplier
+""")
+def upsert_wider_type(spark, folder):
+    """Updates of a wider type than the table's, in both layouts."""
+    start = table(spark, folder, "supplier").select(
+        F.col("s_suppkey").alias("id"), F.pmod("s_nationkey", F.lit(4)).alias("place"), F.col("s_nationkey").cast("int").alias("amount")
+    )
+    wide = start.where("id % 5 = 0").withColumn("amount", F.lit(3_000_000_000) + F.col("id"))
+    found = []
+    for layout, parts in (("plain", []), ("partitioned", ["place"])):
+        name = new_table(spark, "wider")
+        upsert_table(start, name, ["id"], partition_by=parts)
+        upsert_table(wide, name, ["id"])
+        found.append(spark.table(name).select("id", "place", "amount", F.lit(layout).alias("layout")))
+    return found[0].unionByName(found[1])
+
+
 @query("""
 WITH u AS (SELECT l_orderkey AS id, MAX(l_shipdate) AS version, 'line' AS origin
            FROM lineitem GROUP BY l_orderkey)
@@ -253,6 +301,40 @@ def append_schema_evolution(spark, folder):
     return spark.table(name)
 
 
+@query("""
+SELECT c_custkey AS id, c_mktsegment AS segment, NULL::DOUBLE AS balance, NULL AS tag, c_nationkey AS code,
+       NULL AS label, NULL AS _type_conflicts FROM customer
+UNION ALL
+SELECT s_suppkey, NULL, s_acctbal, s_name, NULL, 'n' || s_nationkey,
+       '{"info":{"segment":' || s_suppkey || '},"places":[{"code":"x' || s_nationkey || '"}]}' FROM supplier
+""")
+def append_nested_field(spark, folder):
+    """New fields inside a struct and inside an array of structs; the one type that clashes is kept as JSON."""
+    name = new_table(spark, "nested")
+    append_evolving(
+        table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("id"),
+            F.struct(F.col("c_mktsegment").alias("segment")).alias("info"),
+            F.array(F.struct(F.col("c_nationkey").alias("code"))).alias("places"),
+        ),
+        name,
+    )
+    append_evolving(
+        table(spark, folder, "supplier").select(
+            F.col("s_suppkey").alias("id"),
+            F.struct(
+                F.col("s_acctbal").alias("balance"), F.array("s_name").alias("tags"), F.col("s_suppkey").alias("segment")
+            ).alias("info"),
+            F.array(F.struct(F.concat(F.lit("x"), "s_nationkey").alias("code"), F.concat(F.lit("n"), "s_nationkey").alias("label"))).alias("places"),
+        ),
+        name,
+    )
+    return spark.table(name).select(
+        "id", "info.segment", "info.balance", F.get("info.tags", F.lit(0)).alias("tag"),
+        F.col("places")[0]["code"].alias("code"), F.col("places")[0]["label"].alias("label"), "_type_conflicts",
+    )
+
+
 @query("SELECT s_suppkey, s_name, s_acctbal + 1 AS s_acctbal FROM supplier")
 def table_full_refresh(spark, folder):
     """A table is overwritten from a query that reads the table itself."""

@@ -8,14 +8,19 @@ never a mixture. One writer per table at a time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from refinery.functions.columns import column, known, quoted
-from refinery.operators.upsert import newest_per_key, replace_by_key
+from refinery.functions.types import as_type, merged_type, misfits, type_ddl
+from refinery.operators.skew import fits_broadcast
+from refinery.operators.upsert import in_common_types, newest_per_key, replace_by_key, replace_few
 from refinery.sinks.staging import staging
 
 LAYERS = ("bronze", "silver", "gold", "meta")
@@ -40,9 +45,9 @@ def ensure_table(
     spark: SparkSession, table: str, ddl: str, comment: str = "", properties: Mapping | None = None
 ) -> None:
     """Create the table with typed, commented columns unless it exists."""
-    extras = f" COMMENT '{comment}'" if comment else ""
+    extras = f" COMMENT {_text(comment)}" if comment else ""
     if properties:
-        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in properties.items())
+        pairs = ", ".join(f"{_text(k)} = {_text(str(v))}" for k, v in properties.items())
         extras += f" TBLPROPERTIES ({pairs})"
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet{extras}")
 
@@ -65,64 +70,62 @@ def append(
     writer.saveAsTable(table)
 
 
-_WHOLE = ("tinyint", "smallint", "int", "bigint")
-# Decimal digits that hold every value of a whole type; whole types that a double holds.
-_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
-_IN_DOUBLE = ("tinyint", "smallint", "int", "float")
-
-
-def fits_losslessly(given: DataType, wanted: DataType) -> bool:
-    """Whether every value of one type is one of the other; nullability does not count."""
-    a, b = given.simpleString(), wanted.simpleString()
-    if a == b or a == "void":
-        return True
-    if a in _WHOLE and b in _WHOLE:
-        return _WHOLE.index(a) <= _WHOLE.index(b)
-    if b == "double":
-        return a in _IN_DOUBLE
-    if b == "float":
-        return a in _IN_DOUBLE[:2]
-    if isinstance(wanted, DecimalType):
-        room = wanted.precision - wanted.scale
-        if isinstance(given, DecimalType):
-            return given.scale <= wanted.scale and given.precision - given.scale <= room
-        return _DIGITS.get(a, 99) <= room
-    return False
-
-
 def append_evolving(df: DataFrame, table: str) -> None:
-    """Append by name; new columns are added to the table, missing ones are null.
+    """Append by name; new columns and nested fields are added to the table, missing ones are null.
 
-    Types that fit without loss are widened to the table's. A value whose type does not fit
-    the table's column is not lost: it goes as JSON into
-    the text column ``_type_conflicts`` and the typed column stays null.
+    Structs grow at any depth, inside arrays and maps too. Types that fit without loss are
+    widened to the table's. What does not fit is not lost: the parts of the row in question go
+    as JSON, in their places, into the text column ``_type_conflicts``; there they are null.
+
+    A table that this function creates is a definition over a folder, so that added fields only
+    change the definition: files without them read as null. One that another way of writing
+    has created is rewritten once for that.
     """
     spark = df.sparkSession
     if not table_exists(spark, table):
-        append(df, table)
+        replace_table(df, table)
         return
-    existing = {f.name.lower(): f for f in spark.table(table).schema}
-    present = {f.name: existing[f.name.lower()].dataType for f in df.schema if f.name.lower() in existing}
-    fitting = {f.name for f in df.schema if f.name in present and fits_losslessly(f.dataType, present[f.name])}
-    conflicting = [c for c in present if c not in fitting]
-    df = df.withColumns({c: column(c).cast(present[c]) for c in sorted(fitting)})
-    if conflicting:
-        kept = F.to_json(F.struct(*[column(c) for c in conflicting]))
-        df = df.withColumn(CONFLICTS, F.when(kept != "{}", kept)).withColumns(
-            {c: F.lit(None).cast(existing[c.lower()].dataType) for c in conflicting}
+    held = spark.table(table).schema
+    shape = merged_type(held, df.schema)
+    lost = {f.name: misfits(column(f.name), f.dataType, shape[_name_in(shape, f.name)].dataType) for f in df.schema}
+    lost = {name: part for name, part in lost.items() if part is not None}
+    if lost:
+        kept = F.to_json(F.struct(*[part.alias(name) for name, part in lost.items()]))
+        df = df.withColumn("__conflicts", F.when(kept != "{}", kept))
+        if CONFLICTS not in shape.names:
+            shape = StructType([*shape, StructField(CONFLICTS, StringType())])
+    nested = any(type_ddl(f.dataType) != type_ddl(shape[f.name].dataType) for f in held)
+    added = [f for f in shape if f.name not in held.names]
+    if nested:
+        _redefine(spark, table, shape)
+    elif added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns_ddl(added)})")
+    given = {f.name.lower(): f for f in df.schema}
+    values = []
+    for f in spark.table(table).schema:
+        own = given.get(f.name.lower())
+        value = as_type(column(own.name), own.dataType, f.dataType) if own else F.lit(None).cast(f.dataType)
+        values.append((F.col("__conflicts") if f.name == CONFLICTS and lost else value).alias(f.name))
+    df.select(*values).write.insertInto(table)
+
+
+def _name_in(shape: StructType, name: str) -> str:
+    return next(f.name for f in shape if f.name.lower() == name.lower())
+
+
+def _redefine(spark: SparkSession, table: str, shape: StructType) -> None:
+    """Give ``table`` a schema that its own has grown into; its files stay as they are."""
+    parts = partition_columns(spark, table)
+    current = spark.table(table)
+    facts = _description(spark, table)
+    if facts.get("Type") != "EXTERNAL":
+        held = {f.name: f.dataType for f in current.schema}
+        grown = current.select(
+            *[(as_type(column(f.name), held[f.name], f.dataType) if f.name in held else F.lit(None).cast(f.dataType)).alias(f.name) for f in shape]
         )
-    new = [f for f in df.schema if f.name.lower() not in existing]
-    if new:
-        added = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
-    ours = {c.lower(): c for c in df.columns}
-    df.select(
-        *[
-            (column(ours[f.name.lower()]) if f.name.lower() in ours else F.lit(None).cast(f.dataType))
-            .alias(f.name)
-            for f in spark.table(table).schema
-        ]
-    ).write.insertInto(table)
+        replace_table(grown, table, facts.get("Comment", ""), partition_by=parts)
+        return
+    _swap_definition(spark, table, shape, facts["Location"], facts.get("Comment", ""), parts)
 
 
 def _schema_folder(spark: SparkSession, table: str) -> str:
@@ -141,9 +144,21 @@ def _shape(df: DataFrame) -> list:
     return [(f.name, f.dataType) for f in df.schema]
 
 
-def data_folders(df: DataFrame) -> set[str]:
-    """The folders of the files a table frame reads (from Spark's file listing)."""
-    return {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+def _description(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog tells of a table: Type, Location, Comment, ..."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    names = [r["col_name"] for r in rows]
+    begin = names.index("# Detailed Table Information") if "# Detailed Table Information" in names else 0
+    return {r["col_name"]: r["data_type"] for r in rows[begin:]}
+
+
+def table_folder(spark: SparkSession, table: str) -> str:
+    """The folder below which the files of a table lie."""
+    return _description(spark, table)["Location"]
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def replace_table(
@@ -161,13 +176,11 @@ def replace_table(
     dropped and created over the new files.
     """
     spark = df.sparkSession
-    former = set()
-    if drop_previous and table_exists(spark, table):
-        former = data_folders(spark.table(table))
+    former = table_folder(spark, table) if drop_previous and table_exists(spark, table) else None
     folder = _write_version(df, table, partition_by)
     _point_to(spark, table, folder, df, comment, partition_by)
-    for old in former:
-        delete_folder(spark, old)
+    if former:
+        delete_folder(spark, former)
     return folder
 
 
@@ -187,20 +200,28 @@ def _point_to(
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
         return
+    _swap_definition(spark, table, df.schema, folder, comment, partition_by)
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _swap_definition(
+    spark: SparkSession, table: str, shape: StructType, folder: str, comment: str, partition_by: Sequence[str]
+) -> None:
     # The new table is complete under another name before the old one gives up its own, and
     # the old one is dropped last, so a crash never leaves less than one of them.
     mark = uuid.uuid4().hex
     fresh, former = f"{table}_next_{mark}", f"{table}_former_{mark}"
-    note = " COMMENT '" + comment.replace("\\", "\\\\").replace("'", "\\'") + "'" if comment else ""
-    if not partition_by:
-        spark.sql(f"CREATE TABLE {fresh} USING parquet LOCATION '{folder}'{note}")
-    else:
-        last = [df.schema[c] for c in partition_by]
-        fields = [f for f in df.schema if f.name not in partition_by] + last
-        spark.sql(
-            f"CREATE TABLE {fresh} ({_columns_ddl(fields)}) USING parquet "
-            f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) LOCATION '{folder}'{note}"
-        )
+    last = [shape[c] for c in partition_by]
+    fields = [f for f in shape if f.name not in partition_by] + last
+    layout = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))}) " if partition_by else ""
+    note = f" COMMENT {_text(comment)}" if comment else ""
+    spark.sql(f"CREATE TABLE {fresh} ({_columns_ddl(fields)}) USING parquet {layout}LOCATION {_text(folder)}{note}")
+    if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {fresh}")
     replaced = table_exists(spark, table)
     if replaced:
@@ -211,7 +232,7 @@ def _point_to(
 
 
 def _columns_ddl(fields) -> str:
-    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+    return ", ".join(f"{quoted(f.name)} {type_ddl(f.dataType)}" for f in fields)
 
 
 def delete_folder(spark: SparkSession, folder: str) -> bool:
@@ -245,18 +266,16 @@ def publish_table_view(spark: SparkSession, table: str, fields: Sequence[str], v
 # --- upsert ----------------------------------------------------------------------------
 
 BUCKET = "_bucket"
-BUCKET_PROPERTY = "refinery.buckets"
-
 
-def _bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    """Bucket by key value; the text form makes 5 and 5L the same key."""
-    return F.pmod(F.xxhash64(*[column(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 
+def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` with a plain column to partition a table by that has no other: a hash of the key.
 
-def _bucket_count(spark: SparkSession, table: str) -> int | None:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == BUCKET_PROPERTY)
-    row = rows.first()
-    return int(row["value"]) if row else None
+    The text form of the key makes 5 and 5L the same. Upsert such a table by the key and the
+    bucket together, which says that a key never changes its partition.
+    """
+    place = F.pmod(F.xxhash64(*[column(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+    return df.withColumn(BUCKET, place)
 
 
 def upsert_table(
@@ -265,80 +284,102 @@ def upsert_table(
     keys: Sequence[str],
     version: str | None = None,
     *,
-    buckets: int | None = None,
+    partition_by: Sequence[str] = (),
     drop_previous: bool = False,
 ) -> None:
     """Upsert into a table; the first call creates it.
 
-    A plain table is rewritten as a whole into a new version. A table created with
-    ``buckets`` is partitioned by a hash of the key, and an upsert reads, merges and
-    re-points only the partitions that an update falls into. Re-pointing is per partition;
-    after a crash half-way the same upsert is simply run again. ``drop_previous`` deletes
-    the files that were replaced; readers that still use them would fail.
+    A plain table is rewritten as a whole into a new version; ``drop_previous`` deletes the
+    files of the former one, on which readers may still be. Of a table that was created with
+    ``partition_by`` only the partitions are read and overwritten, by Spark's dynamic partition
+    overwrite, that an update falls into or that hold a row to be replaced; for the latter the
+    keys of the table are read, unless the partition columns are part of the key. After a crash
+    half-way the same upsert is simply run again.
+
+    New columns are added. A type that does not hold the values of an update is widened, for
+    which a partitioned table is rewritten as a whole once.
     """
     spark, keys = updates.sparkSession, list(keys)
     newest = newest_per_key(updates, keys, version)
     if not table_exists(spark, table):
-        _create_keyed(newest, table, keys, buckets)
+        placed = newest.hint("rebalance", *partition_by) if partition_by else newest
+        replace_table(placed, table, partition_by=partition_by)
         return
-    buckets = _bucket_count(spark, table)
+    parts = partition_columns(spark, table)
     # The updates are used several times below, so they are computed once.
     with staging(spark) as stage:
-        if buckets is None:
-            fresh = stage(newest, "updates")
-            merged = replace_by_key(spark.table(table), fresh, keys, version)
-            replace_table(merged, table, drop_previous=drop_previous)
+        fresh = stage(newest, "updates")
+        target = spark.table(table)
+        merge = replace_few if fits_broadcast(fresh) else replace_by_key
+        if parts and in_common_types(target, fresh)[0].schema == target.schema:
+            _overwrite_partitions(target, fresh, table, keys, version, parts, merge)
         else:
-            fresh = stage(newest.withColumn(BUCKET, _bucket_of(keys, buckets)), "updates")
-            _merge_buckets(fresh, table, keys, version, drop_previous)
+            merged = merge(target, fresh, keys, version)
+            replace_table(merged, table, partition_by=parts, drop_previous=drop_previous)
 
 
-def _create_keyed(rows: DataFrame, table: str, keys: list[str], buckets: int | None) -> None:
-    if buckets is None:
-        replace_table(rows, table)
-        return
-    spark = rows.sparkSession
-    placed = rows.withColumn(BUCKET, _bucket_of(keys, buckets)).hint("rebalance", BUCKET)
-    folder = _write_version(placed, table, [BUCKET])
-    spark.sql(
-        f"CREATE TABLE {table} ({_columns_ddl(placed.schema)}) USING parquet "
-        f"PARTITIONED BY ({BUCKET}) LOCATION '{folder}' "
-        f"TBLPROPERTIES ('{BUCKET_PROPERTY}' = '{buckets}')"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+def _in_partitions(parts: Sequence[str], rows: Sequence[Row]) -> Column:
+    """Whether a row lies in one of the partitions; literals, so that others are not listed."""
+    if len(parts) == 1:
+        values = [r[0] for r in rows if r[0] is not None]
+        found = column(parts[0]).isin(values) if values else F.lit(False)
+        return found | column(parts[0]).isNull() if len(values) < len(rows) else found
+    each = [reduce(and_, [column(p).eqNullSafe(F.lit(v)) for p, v in zip(parts, r, strict=True)]) for r in rows]
+    return reduce(or_, each, F.lit(False))
 
 
-def _merge_buckets(
-    placed: DataFrame, table: str, keys: list[str], version: str | None, drop_previous: bool
+def _overwrite_partitions(
+    target: DataFrame, fresh: DataFrame, table: str, keys: list[str], version: str | None, parts: list[str], merge: Callable
 ) -> None:
-    spark = placed.sparkSession
-    # One value per bucket at most, so this list is bounded by the bucket count.
-    touched = [r[0] for r in placed.select(BUCKET).distinct().collect()]
-    if not touched:
-        return
-    known_names = {c.lower() for c in spark.table(table).columns}
-    added = [f for f in placed.schema if f.name.lower() not in known_names]
+    spark = target.sparkSession
+    held = {c.lower() for c in target.columns}
+    added = [f for f in fresh.schema if f.name.lower() not in held]
     if added:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns_ddl(added)})")
-    target = spark.table(table)
-    affected = target.where(F.col(BUCKET).isin(touched))
-    former = data_folders(affected) if drop_previous else set()
-    merged = replace_by_key(affected, placed, keys, version).select(*target.columns)
-    folder = _write_version(merged.hint("rebalance", BUCKET), table, [BUCKET])
-    present = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    new = [b for b in touched if f"{BUCKET}={b}" not in present]
-    if new:
-        specs = [f"PARTITION ({BUCKET}={b}) LOCATION '{folder}/{BUCKET}={b}'" for b in new]
-        spark.sql(f"ALTER TABLE {table} ADD {' '.join(specs)}")
-    for b in set(touched) - set(new):
-        spark.sql(
-            f"ALTER TABLE {table} PARTITION ({BUCKET}={b}) SET LOCATION '{folder}/{BUCKET}={b}'"
-        )
-    spark.catalog.refreshTable(table)
-    for old in former:
-        delete_folder(spark, old)
+        target = spark.table(table)
+    # One row per partition at most, so these lists are bounded by the table's layout.
+    reached = fresh.select(*[column(p) for p in parts]).distinct().collect()
+    left = []
+    if not {p.lower() for p in parts} <= {k.lower() for k in keys}:
+        left = _partitions_of_keys(target, fresh, keys, parts)
+    affected = {tuple(r): r for r in [*reached, *left]}
+    if not affected:
+        return
+    merged = merge(target.where(_in_partitions(parts, list(affected.values()))), fresh, keys, version)
+    merged = merged.select(*[column(c) for c in target.columns])
+    # A partition that all rows have left has nothing to overwrite it with.
+    gone = {tuple(r): r for r in left if tuple(r) not in {tuple(x) for x in reached}}
+    if gone:
+        stay = merged.where(_in_partitions(parts, list(gone.values()))).select(*[column(p) for p in parts]).distinct().collect()
+        gone = {k: r for k, r in gone.items() if k not in {tuple(x) for x in stay}}
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        merged.hint("rebalance", *parts).write.mode("overwrite").insertInto(table)
+    for row in gone.values():
+        spec = ", ".join(f"{quoted(p)} = {'null' if v is None else _text(str(v))}" for p, v in zip(parts, row, strict=True))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def _partitions_of_keys(target: DataFrame, fresh: DataFrame, keys: list[str], parts: list[str]) -> list[Row]:
+    """Partitions that hold a row of an updated key."""
+    names = [f"__key_{i}" for i in range(len(keys))]
+    wanted = fresh.select(*[column(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    if fits_broadcast(wanted):
+        wanted = F.broadcast(wanted)
+    same = reduce(and_, [column(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)])
+    return target.join(wanted, same, "left_semi").select(*[column(p) for p in parts]).distinct().collect()
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def keyed_rows(spark: SparkSession, table: str) -> DataFrame:
-    """The rows of an upserted table without the bucket column."""
+    """The rows of an upserted table without the bucket column, other sessions' upserts included."""
+    spark.catalog.refreshTable(table)  # a session remembers the files that it has listed
     return spark.table(table).drop(BUCKET)

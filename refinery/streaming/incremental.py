@@ -59,7 +59,7 @@ def upsert_new_rows(
     keys: Sequence[str],
     version: str | None = None,
     *,
-    buckets: int | None = None,
+    partition_by: Sequence[str] = (),
     files_per_batch: int = 10_000,
 ) -> None:
     """Bronze files that have not been seen before -> ``transform`` -> keyed upsert.
@@ -68,7 +68,7 @@ def upsert_new_rows(
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(transform(batch), table, keys, version, buckets=buckets)
+        upsert_table(transform(batch), table, keys, version, partition_by=partition_by)
 
     (
         spark.readStream.schema(RAW_SCHEMA)

@@ -70,8 +70,8 @@ def landing(spark, new_table, tmp_path):
     return Landing(spark, new_table, tmp_path)
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_incidents_from_pages_to_gold(spark, landing, new_table, buckets):
+@pytest.mark.parametrize("parts", [[], ["OC"]])
+def test_incidents_from_pages_to_gold(spark, landing, new_table, parts):
     landing.put(
         incident("1", "2024-01-02T00:00:00Z"),
         incident("1", "2024-01-03T00:00:00Z", "Closed"),
@@ -87,7 +87,7 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, buckets):
     assert landing.land("services", None) == (2, None)
 
     with pytest.raises(QualityGateClosed) as closed:
-        landing.silver(buckets=buckets)
+        landing.silver(partition_by=parts)
     assert closed.value.result["error_failures"] == 1  # the unmapped status has no ticket status
     assert not table_exists(spark, landing.tables.silver)
     assert last_mark(spark.table(landing.tables.state), "silver_incidents", "incidents") is None
@@ -97,26 +97,26 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, buckets):
     # The source corrects the record; only new records are landed.
     landing.put(incident("2", "2024-02-01T00:00:00Z", "In Progress", "SOUTH SUP"))
     assert landing.land() == (1, datetime(2024, 2, 1, tzinfo=UTC))
-    assert landing.silver(buckets=buckets)["passed"]
+    assert landing.silver(partition_by=parts)["passed"]
     assert landing.rows("ticket_id", "OC", "ticket_status", "country_program_extract") == [
         ("1", "N", "Closed", "Oz"),
         ("2", "S", "Open", "Oz"),
     ]
     assert landing.rows("job_title")[0][0] in ("cook", None)
     assert spark.table(landing.tables.report).count() == 18
-    assert keyed_rows(spark, landing.tables.silver).columns == list(incidents.SILVER_COLUMNS)
+    assert set(keyed_rows(spark, landing.tables.silver).columns) == set(incidents.SILVER_COLUMNS)
 
     # Nothing new: nothing happens.
-    assert landing.silver(buckets=buckets) is None
+    assert landing.silver(partition_by=parts) is None
 
     # A later version updates one ticket and leaves the other alone.
     landing.put(incident("1", "2024-03-01T00:00:00Z", "Reopened"))
     landing.land()
-    assert landing.silver(buckets=buckets)["passed"]
+    assert landing.silver(partition_by=parts)["passed"]
     assert landing.rows("ticket_id", "status") == [("1", "Reopened"), ("2", "In Progress")]
 
     # Reading all of bronze again arrives at the same table.
-    assert landing.silver(full_load=True, buckets=buckets)["passed"]
+    assert landing.silver(full_load=True, partition_by=parts)["passed"]
     assert landing.rows("ticket_id", "status") == [("1", "Reopened"), ("2", "In Progress")]
 
     view = incidents.publish_gold(spark, landing.tables.silver, new_table("gold"))
@@ -239,14 +239,14 @@ def test_streams_load_new_files_only(spark, new_table, tmp_path):
             silver,
             ["id"],
             "v",
-            buckets=2,
+            partition_by=["id"],
         )
 
     page("1.json", {"id": "a", "v": 1}, {"id": "b", "v": 1})
     run()
-    assert rows(keyed_rows(spark, silver)) == [("a", 1), ("b", 1)]
+    assert rows(keyed_rows(spark, silver).select("id", "v")) == [("a", 1), ("b", 1)]
     page("2.json", {"id": "a", "v": 5}, {"id": "c", "v": 2}, {"id": "b", "v": 0})
     run()
     run()
-    assert rows(keyed_rows(spark, silver)) == [("a", 5), ("b", 1), ("c", 2)]
+    assert rows(keyed_rows(spark, silver).select("id", "v")) == [("a", 5), ("b", 1), ("c", 2)]
     assert spark.read.parquet(str(bronze)).count() == 5

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from refinery.operators.enrich import lookup
 from refinery.operators.skew import fits_broadcast, lookup_join, spread_join
-from refinery.operators.upsert import merge_rows
-from refinery.sinks.tables import keyed_rows, upsert_table
+from refinery.operators.upsert import merge_rows, replace_few
+from refinery.sinks.tables import BUCKET, keyed_rows, upsert_table, with_bucket
 
 
 @pytest.fixture(scope="module")
@@ -98,14 +98,14 @@ def test_upsert_with_new_columns(spark):
     assert rows(merge_rows(target, updates, ["id"])) == [(1, "a", None), (2, None, 7)]
 
 
-@pytest.mark.parametrize("buckets", [None, 3])
-def test_upsert_through_a_table(spark, new_table, buckets):
+@pytest.mark.parametrize("parts", [[], ["v"]])
+def test_upsert_through_a_table(spark, new_table, parts):
     name = new_table("upsert")
     target = spark.createDataFrame(TARGET, "id int, v string, ver int")
     updates = spark.createDataFrame(UPDATES, "id int, v string, ver int")
-    upsert_table(target, name, ["id"], "ver", buckets=buckets)
+    upsert_table(target, name, ["id"], "ver", partition_by=parts)
     for _ in range(2):
-        upsert_table(updates, name, ["id"], "ver", buckets=buckets)
+        upsert_table(updates, name, ["id"], "ver")
     assert rows(keyed_rows(spark, name).select("id", "v", "ver")) == [
         (1, "a", 5),
         (2, "B", 6),
@@ -120,24 +120,60 @@ def test_upsert_through_a_table(spark, new_table, buckets):
     assert spark.sql("SHOW TABLES IN refinery_stage LIKE 'updates*'").count() == 0
 
 
-@pytest.mark.parametrize("buckets", [None, 4])
-def test_replaced_files_can_be_dropped(spark, new_table, buckets):
+def test_replaced_files_can_be_dropped(spark, new_table):
     name = new_table("dropped")
-    upsert_table(spark.range(50).withColumn("v", F.lit(0)), name, ["id"], buckets=buckets)
+    upsert_table(spark.range(50).withColumn("v", F.lit(0)), name, ["id"])
     before = set(spark.table(name).inputFiles())
     change = spark.range(40, 60).withColumn("v", F.lit(1))
     upsert_table(change, name, ["id"], drop_previous=True)
     assert rows(spark.table(name).groupBy("v").count()) == [(0, 40), (1, 20)]
-    kept = before & set(spark.table(name).inputFiles())
-    assert {f for f in before if Path(f.removeprefix("file:")).exists()} == kept
+    assert not any(Path(f.removeprefix("file:")).exists() for f in before)
 
 
-def test_untouched_buckets_keep_their_files(spark, new_table):
-    name = new_table("bucketed")
-    start = spark.range(200).select("id", F.lit("old").alias("v"))
-    upsert_table(start, name, ["id"], buckets=8)
+def test_untouched_partitions_keep_their_files(spark, new_table):
+    name, keys = new_table("bucketed"), ["id", BUCKET]
+    start = with_bucket(spark.range(200).select("id", F.lit("old").alias("v")), ["id"], 8)
+    upsert_table(start, name, keys, partition_by=[BUCKET])
     before = set(spark.table(name).inputFiles())
-    upsert_table(start.where("id = 5").withColumn("v", F.lit("new")), name, ["id"])
+    upsert_table(start.where("id = 5").withColumn("v", F.lit("new")), name, keys)
     after = set(spark.table(name).inputFiles())
     assert len(before & after) == 7 and len(after - before) == 1
     assert rows(spark.table(name).groupBy("v").count()) == [("new", 1), ("old", 199)]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_rows_move_between_partitions(spark, new_table, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr("refinery.sinks.tables.fits_broadcast", lambda df: False)
+    name = new_table("moved")
+    schema = "id int, v string, ver int, p string, q int"
+    upsert_table(spark.createDataFrame([(1, "a", 1, "x", 1), (2, "b", 1, "x", 2), (3, "c", 5, None, 1)], schema), name, ["id"], "ver", partition_by=["p", "q"])
+    moved = spark.createDataFrame([(1, "A", 2, "y", 1), (3, "old", 4, "y", 1), (4, "d", 1, None, 9), (None, "n", 1, "x", 2)], schema)
+    for _ in range(2):
+        upsert_table(moved, name, ["id"], "ver")
+        assert rows(spark.table(name).select("id", "v", "p", "q")) == [(1, "A", "y", 1), (2, "b", "x", 2), (3, "c", None, 1), (4, "d", None, 9), (None, "n", "x", 2)]
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 4  # x/1 is empty and gone
+    upsert_table(spark.createDataFrame([(3, "moves", 6, "y", 1)], schema), name, ["id"], "ver")
+    assert spark.sql(f"SHOW PARTITIONS {name}").count() == 3  # so is null/1
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+@pytest.mark.parametrize("parts", [[], ["p"]])
+def test_wider_and_other_types(spark, new_table, parts):
+    name = new_table("types")
+    upsert_table(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], "id int, v int, p string"), name, ["id"], partition_by=parts)
+    upsert_table(spark.createDataFrame([(2, 2**40, "a")], "id bigint, v bigint, p string"), name, ["id"])
+    assert rows(spark.table(name).select("id", "v", "p")) == [(1, 1, "a"), (2, 2**40, "a")]
+    upsert_table(spark.createDataFrame([(3, 7, "b")], "id int, V smallint, p string"), name, ["id"])
+    assert dict(spark.table(name).dtypes)["v"] == "bigint"
+    upsert_table(spark.createDataFrame([(3, "text", "b")], "id int, v string, p string"), name, ["id"])
+    assert rows(spark.table(name).select("v")) == [("1",), ("1099511627776",), ("text",)]
+
+
+def test_few_updates_leave_the_target_unshuffled(spark, new_table):
+    name = new_table("few")
+    upsert_table(spark.range(100).withColumn("v", F.lit(0)), name, ["id"])
+    merged = replace_few(spark.table(name), spark.range(5).withColumn("v", F.lit(1)), ["id"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and plan.count("FileScan") == 1
+    assert merged.where("v = 1").count() == 5 and merged.count() == 100

@@ -107,6 +107,40 @@ def test_evolving_append_keeps_everything(spark, new_table):
     ]
 
 
+def test_nested_fields_grow(spark, new_table):
+    name = new_table()
+    append_evolving(spark.sql("SELECT 1 AS id, named_struct('a', 1, 'in', named_struct('x', 'u')) AS s, map('k', named_struct('p', 1)) AS m, array(1) AS l"), name)
+    files = set(spark.table(name).inputFiles())
+    append_evolving(
+        spark.sql(
+            "SELECT 2 AS id, named_struct('A', 'text', 'in', named_struct('y', 2.5D), 'new', true) AS s, "
+            "map('k', named_struct('q', 7)) AS m, array('bad', null) AS l, named_struct('n', 1) AS other"
+        ),
+        name,
+    )
+    append_evolving(spark.sql("SELECT 3 AS id, CAST(null AS struct<a: tinyint>) AS s, map('k', CAST(null AS struct<p: int>)) AS m"), name)
+    assert files < set(spark.table(name).inputFiles())  # only the definition has changed
+    got = {r.id: r for r in spark.table(name).selectExpr("id", "to_json(s) s", "to_json(m) m", "l", "to_json(other) o", CONFLICTS).collect()}
+    assert (got[1].s, got[1].m, got[1].l, got[1].o, got[1][CONFLICTS]) == ('{"a":1,"in":{"x":"u"}}', '{"k":{"p":1}}', [1], None, None)
+    assert (got[2].s, got[2].m) == ('{"in":{"y":2.5},"new":true}', '{"k":{"q":7}}')
+    assert (got[2].l, got[2].o, got[2][CONFLICTS]) == ([None, None], '{"n":1}', '{"s":{"A":"text"},"l":["bad",null]}')
+    assert (got[3].s, got[3].l, got[3][CONFLICTS]) == (None, None, None)
+
+
+def test_nested_fields_grow_in_a_table_of_another_writer(spark, new_table):
+    name = new_table()
+    spark.sql("SELECT 1 AS id, named_struct('a', 1) AS s").write.format("parquet").saveAsTable(name)
+    for n in (2, 3):
+        append_evolving(spark.sql(f"SELECT {n} AS id, named_struct('b{n}', 'it''s') AS s"), name)
+    assert rows(spark.table(name).selectExpr("id", "s.a", "s.b2", "s.b3")) == [(1, 1, None, None), (2, None, "it's", None), (3, None, None, "it's")]
+
+
+def test_comments_are_escaped(spark, new_table):
+    name = new_table()
+    ensure_table(spark, name, "a int", "it's a \\ table", {"owner's": "a'b"})
+    assert table_exists(spark, name)
+
+
 def test_replace_while_reading_the_same_table(spark, new_table):
     name = new_table()
     first = replace_table(spark.range(3).toDF("n"), name)
