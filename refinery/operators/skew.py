@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from refinery.functions.columns import column
+from refinery.operators.membership import with_level
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Bits of the bitmap of hot keys.
+HOT_BITS = 1 << 20
 
 
 def _width(name: str, kind: T.DataType) -> Column:
@@ -74,54 +77,41 @@ def spread_join(
     how: str = "left",
     *,
     null_safe: bool = False,
-    hot_keys: int = 1_000,
     hot_rows: int = 100_000,
     copies: int = 64,
 ) -> DataFrame:
     """Join ``left`` to the key-unique ``right`` with the hot keys of ``left`` salted.
 
-    The ``hot_keys`` most frequent keys that have at least ``hot_rows`` rows are split
-    into ``copies`` salted groups, or as many as keep a group at ``hot_rows`` rows, and only their right rows are repeated. That list is
-    the one thing broadcast here and never exceeds ``hot_keys`` rows. Null keys count as
-    a key too: in an outer or anti join they would otherwise all meet in one task.
+    Keys with at least ``hot_rows`` rows are split into ``copies`` salted groups, those with
+    ``copies`` times as many into the square of that, and only their right rows are repeated.
+    However many hot keys there are, all that is broadcast is a bitmap of their hashes. Null keys
+    count as a key too: in an outer or anti join they would otherwise all meet in one task.
     """
     keys = _as_list(on)
-    hot_names = [f"__hot_{k}" for k in keys]
-    hot = (
-        left.groupBy(*[column(k).alias(h) for k, h in zip(keys, hot_names, strict=True)])
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(F.col("__rows") >= hot_rows)
-        .orderBy(F.desc("__rows"), *[column(h) for h in hot_names])
-        .limit(hot_keys)
-        # As many groups as keep each of them at ``hot_rows`` rows.
-        .withColumn("__copies", F.greatest(F.lit(copies), F.ceil(F.col("__rows") / hot_rows)).cast("int"))
-        .drop("__rows")
-        .withColumn("__is_hot", F.lit(True))
-    )
+    counted = left.groupBy(*[column(k).alias(f"__hot_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = counted.where(F.col("__rows") >= hot_rows)
+    level = F.when(F.col("__rows") >= hot_rows * copies, F.lit(2)).otherwise(F.lit(1))
+    hot_keys = [column(f"__hot_{k}") for k in keys]
+
+    def salted(df: DataFrame, values: Sequence[Column], many: Column, more: Column, few: Column, name: str) -> DataFrame:
+        marked = with_level(df, values, hot, hot_keys, level, "__level", HOT_BITS)
+        return marked.withColumn(name, F.when(F.col("__level") == 2, more).when(F.col("__level") == 1, many).otherwise(few)).drop("__level")
+
     # The salt depends only on the row and its input split, so a retried task repeats it;
     # the split number separates rows that are full copies of each other.
     hashable = [column(f.name) for f in left.schema if not re.search("map<|variant", f.dataType.simpleString())]
-    salt = F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.col("__copies")).cast("int")
-    salted = (
-        left.join(F.broadcast(hot), _same(keys, hot_names, True), "left")
-        .withColumn("__salt", F.when(F.col("__is_hot"), salt).otherwise(F.lit(0)))
-        .drop(*hot_names, "__is_hot", "__copies")
-    )
+    hashed = F.xxhash64(*hashable, F.spark_partition_id())
+    groups = lambda n: F.pmod(hashed, F.lit(n)).cast("int")
+    dealt = salted(left, [column(k) for k in keys], groups(copies), groups(copies * copies), F.lit(0), "__salt")
     private = [f"__key_{k}" for k in keys]
-    repeated = (
-        _with_private_keys(right, keys, left)
-        .join(F.broadcast(hot), _same(private, hot_names, True), "left")
-        .withColumn(
-            "__right_salt",
-            F.explode(
-                F.when(F.col("__is_hot"), F.sequence(F.lit(0), F.col("__copies") - 1)).otherwise(
-                    F.array(F.lit(0))
-                )
-            ),
-        )
-        .drop(*hot_names, "__is_hot", "__copies")
-    )
-    matched = salted.join(
+    # Equal values are marked alike only if they have one type.
+    kinds = [left.select(column(k)).schema[0].dataType for k in keys]
+    values = [column(p).try_cast(kind) for p, kind in zip(private, kinds, strict=True)]
+    places = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
+    repeated = salted(
+        _with_private_keys(right, keys, left), values, places(copies), places(copies * copies), F.array(F.lit(0)), "__right_salt"
+    ).withColumn("__right_salt", F.explode("__right_salt"))
+    matched = dealt.join(
         repeated,
         _same(keys, private, null_safe) & (F.col("__salt") == F.col("__right_salt")),
         how,

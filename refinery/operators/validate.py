@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import time
 import traceback
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from refinery.functions.columns import column, known
-from refinery.operators.skew import lookup_join
-from refinery.sinks.staging import stage
+from refinery.operators.membership import possible_rows
+from refinery.operators.skew import BROADCAST_ROWS, broadcast_join, fits_broadcast
 
 VERSION = "1.0.0"
 
@@ -107,9 +109,6 @@ def validate_strings(df: DataFrame, rules: Mapping, id_cols: Sequence[str] = ())
 
 # --- functional dependencies -----------------------------------------------------------
 
-VALUES_PER_ROW = 1_000
-
-
 def _dependencies(df: DataFrame, rules: Mapping) -> list[tuple[list[str], str]]:
     checked = []
     for determinant, dependent in rules.items():
@@ -124,74 +123,54 @@ def _keys(determinant: Sequence[str]) -> list[str]:
     return [f"__d{i}" for i in range(len(determinant))]
 
 
-def _pairs(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
-    """The distinct (determinant, dependent value) pairs; a null is no value.
-
-    Everything is counted on pairs, so neither a frequent determinant nor a frequent pair
-    gathers rows in one task.
-    """
+def _valued(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
     keys = [column(d).alias(k) for d, k in zip(determinant, _keys(determinant), strict=True)]
     value = column(dependent)
-    return df.where(value.isNotNull()).select(*keys, value.alias("__value")).distinct()
+    return df.where(value.isNotNull()).select(*keys, value.alias("__value"))
+
 
+def _violating(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
+    """Determinants of several values: their smallest and largest value differ.
 
-def _violating(pairs: DataFrame, determinant: Sequence[str]) -> DataFrame:
-    """The determinants with several values, and how many."""
-    counts = pairs.groupBy(*_keys(determinant)).agg(F.count(F.lit(1)).alias("__values"))
-    return counts.where(F.col("__values") > 1)
+    Two values per key and task are all that is shuffled, however many rows or values it has.
+    """
+    extremes = _valued(df, determinant, dependent).groupBy(*_keys(determinant)).agg(
+        F.min("__value").alias("__low"), F.max("__value").alias("__high")
+    )
+    return extremes.where("__low <> __high").drop("__low", "__high")
 
 
-def _listed(
-    df: DataFrame, determinant: Sequence[str], dependent: str, violating: DataFrame, per_row: int
-) -> DataFrame:
+def _listed(df: DataFrame, determinant: Sequence[str], dependent: str) -> DataFrame:
     names = _keys(determinant)
-    conflicts = lookup_join(
-        _pairs(df, determinant, dependent), violating, names, "inner", null_safe=True
-    )
-    part = F.pmod(F.xxhash64("__value"), F.ceil(F.col("__values") / per_row)).cast("int")
+    # Rows of the other determinants are left out before anything is made distinct.
+    rows = possible_rows(_valued(df, determinant, dependent), names, _violating(df, determinant, dependent), names)
+    pairs = rows.distinct()
+    several = pairs.groupBy(*[F.col(k).alias(f"{k}_of") for k in names]).agg(F.count(F.lit(1)).alias("distinct_count"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_of")) for k in names])
     key = F.struct(*[F.col(k).alias(d) for k, d in zip(names, determinant, strict=True)])
-    return (
-        conflicts.groupBy(*names, "__values", part.alias("part"))
-        .agg(F.sort_array(F.collect_list(F.col("__value").cast("string"))).alias("listed"))
-        .select(
-            F.to_json(key, {"ignoreNullFields": "false"}).alias("determinant"),
-            F.lit(", ".join(determinant)).alias("column"),
-            F.lit(dependent).alias("dependent_column"),
-            F.col("listed").alias("conflicting_values"),
-            F.col("__values").alias("distinct_count"),
-            "part",
-            F.lit("FUNCTIONAL_DEPENDENCY_VIOLATION").alias("rule"),
-        )
+    return pairs.join(several.where("distinct_count > 1"), same).select(
+        F.to_json(key, {"ignoreNullFields": "false"}).alias("determinant"),
+        F.lit(", ".join(determinant)).alias("column"),
+        F.lit(dependent).alias("dependent_column"),
+        F.col("__value").cast("string").alias("conflicting_value"),
+        "distinct_count",
+        F.lit("FUNCTIONAL_DEPENDENCY_VIOLATION").alias("rule"),
     )
 
 
-def dependency_violations(
-    df: DataFrame, rules: Mapping, values_per_row: int = VALUES_PER_ROW, *, keys_table=stage
-) -> DataFrame:
-    """Determinants that occur with more than one dependent value.
+def dependency_violations(df: DataFrame, rules: Mapping) -> DataFrame:
+    """Determinants that occur with more than one dependent value, one row per value.
 
     Columns: determinant (JSON of the determinant columns), column, dependent_column,
-    conflicting_values (sorted), distinct_count, part, rule. A determinant with more
-    than ``values_per_row`` values continues on further rows (part 1, 2, ...), so no
-    list grows without bound and none is cut off. Nulls do not count as a value.
-    ``keys_table`` writes the violating determinants down once, so that they can be measured
-    before they are joined.
+    conflicting_value, distinct_count (values of the determinant), rule. Nulls do not count as a
+    value; a null in a determinant is a value of it.
     """
-    parts = [
-        _listed(
-            df,
-            determinant,
-            dependent,
-            keys_table(_violating(_pairs(df, determinant, dependent), determinant)),
-            values_per_row,
-        )
-        for determinant, dependent in _dependencies(df, rules)
-    ]
+    parts = [_listed(df, determinant, dependent) for determinant, dependent in _dependencies(df, rules)]
     if not parts:
         return df.sparkSession.createDataFrame(
             [],
             "determinant string, column string, dependent_column string, "
-            "conflicting_values array<string>, distinct_count bigint, part int, rule string",
+            "conflicting_value string, distinct_count bigint, rule string",
         )
     return reduce(DataFrame.unionByName, parts)
 
@@ -202,11 +181,10 @@ def check_dependencies(df: DataFrame, rules: Mapping) -> dict:
     violating = 0
     issues = []
     for determinant, dependent in _dependencies(df, rules):
-        keys = stage(_violating(_pairs(df, determinant, dependent), determinant))
-        found = keys.count()
+        found = _violating(df, determinant, dependent).count()
         violating += found
         if found:
-            issues.append(_listed(df, determinant, dependent, keys, VALUES_PER_ROW))
+            issues.append(_listed(df, determinant, dependent))
     return _result(
         "functional_dependency_validation",
         row_count,
@@ -218,13 +196,22 @@ def check_dependencies(df: DataFrame, rules: Mapping) -> dict:
 # --- references ------------------------------------------------------------------------
 
 
-def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose key is not null and does not occur in the parent table."""
+def orphans(
+    df: DataFrame, key: str, parent: DataFrame, parent_key: str, max_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows whose key is not null and does not occur in the parent table.
+
+    Few parents, at most ``max_rows``, are broadcast. Otherwise the distinct keys of both tables
+    are compared, and rows are shuffled only if a bitmap of the missing keys marks theirs.
+    """
     (name,) = known(df, [key], used_by="references", strict=True)
     (theirs,) = known(parent, [parent_key], used_by="references", strict=True)
     parents = parent.select(column(theirs).alias(name)).where(column(name).isNotNull())
     children = df.where(column(name).isNotNull())
-    return lookup_join(children, parents.distinct(), name, "left_anti", bound=parents)
+    if fits_broadcast(parents, max_rows):
+        return broadcast_join(children, parents.distinct(), name, "left_anti")
+    missing = children.select(column(name)).distinct().join(parents.distinct(), name, "left_anti")
+    return possible_rows(children, [name], missing, [name]).join(missing, name, "left_semi")
 
 
 def check_references(
@@ -255,30 +242,43 @@ class ValidationFailed(RuntimeError):
     """The validation gate is closed."""
 
 
-def _guarded(name: str, check, *args) -> dict:
-    """Run one validator; its failure is recorded and does not stop the others."""
-    start = time.monotonic()
+@dataclass
+class _Section:
+    """How one validator went."""
+
+    status: str = "SKIPPED"
+    result: dict | None = None
+    error: dict | None = None
+    duration_ms: int = 0
+    reason: str | None = None
+
+    def failed(self) -> bool:
+        return self.status == "SUCCESS" and self.result["status"] == "FAIL"
 
-    def outcome(status, result=None, error=None):
-        return {
-            "status": status,
-            "result": result,
-            "error": error,
-            "duration_ms": int((time.monotonic() - start) * 1000),
-        }
+    def shown(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "reason" or v is not None}
 
+
+def _isolated(name: str, check: Callable[[], dict]) -> _Section:
+    """Run one validator; if it breaks down, that is its outcome and the others still run."""
+    section, began = _Section(), time.monotonic_ns()
     try:
-        return outcome("SUCCESS", check(*args))
+        section.result, section.status = check(), "SUCCESS"
     except Exception as failure:  # noqa: BLE001 - isolation is the purpose
-        return outcome(
-            "SYSTEM_ERROR",
-            error={
-                "validator": name,
-                "type": type(failure).__name__,
-                "message": str(failure),
-                "trace": traceback.format_exc(limit=5),
-            },
-        )
+        section.status = "SYSTEM_ERROR"
+        steps = [f"{f.name}:{f.lineno}" for f in traceback.extract_tb(failure.__traceback__)]
+        section.error = {"validator": name, "type": type(failure).__name__, "message": str(failure), "trace": " > ".join(steps)}
+    section.duration_ms = (time.monotonic_ns() - began) // 1_000_000
+    return section
+
+
+#: The first that holds decides: (final status, whether it holds for the report's meta data).
+FINAL_STATUS = (
+    ("VALIDATION_SYSTEM_ERROR", lambda meta: meta["system_errors"]),
+    ("VALIDATION_FAILED", lambda meta: meta["errors_detected"]),
+    ("VALIDATION_PASSED", lambda meta: bool(meta["validators_run"])),
+    ("VALIDATION_SKIPPED", lambda meta: True),
+)
 
 
 def run_validation(
@@ -315,27 +315,14 @@ def run_validation(
         "validators_run": [name for name, wanted, _ in plan.values() if wanted],
         "validators_skipped": [name for name, wanted, _ in plan.values() if not wanted],
     }
-    report: dict = {
-        section: _guarded(name, check)
-        if wanted
-        else {"status": "SKIPPED", "result": None, "error": None, "duration_ms": 0,
-              "reason": f"{name} is not configured"}
-        for section, (name, wanted, check) in plan.items()
+    sections = {
+        key: _isolated(name, check) if wanted else _Section(reason=f"{name} is not configured")
+        for key, (name, wanted, check) in plan.items()
     }
-    sections = list(report.values())
-    meta["system_errors"] = any(s["status"] == "SYSTEM_ERROR" for s in sections)
-    meta["errors_detected"] = any(
-        s["status"] == "SUCCESS" and s["result"]["status"] == "FAIL" for s in sections
-    )
-    if meta["system_errors"]:
-        final = "VALIDATION_SYSTEM_ERROR"
-    elif meta["errors_detected"]:
-        final = "VALIDATION_FAILED"
-    elif meta["validators_run"]:
-        final = "VALIDATION_PASSED"
-    else:
-        final = "VALIDATION_SKIPPED"
-    return {**report, "meta": meta, "final_status": final}
+    meta["system_errors"] = any(s.status == "SYSTEM_ERROR" for s in sections.values())
+    meta["errors_detected"] = any(s.failed() for s in sections.values())
+    final = next(status for status, holds in FINAL_STATUS if holds(meta))
+    return {**{key: s.shown() for key, s in sections.items()}, "meta": meta, "final_status": final}
 
 
 def issues_of(report: Mapping, section: str) -> DataFrame | None:

@@ -167,19 +167,17 @@ def enrich_left_spread(spark, folder):
     )
 
 
+# The stand-in names its categories "<segment>: orders"; a country is the host of the caller's
+# mail, or else the last digit of a customer's number, if that is 5.
 SETTINGS = IncidentSettings(
     category_rules=[
-        {"pattern": "building sup", "OC": "B", "business": "Field", "domain": "Supply"},
-        {"pattern": "machinery", "OC": "M", "business": "Field", "domain": "Tools"},
-    ],
-    country_patterns=[
-        ("caller_email", r"(?i)desk[a-z]*-([a-z]+)-"),
-        ("caller_name", r"Customer#0*([0-9]*5)$"),
-        ("caller_email", r"(?i)^([a-z]+)-.*@field\.example"),
+        dict(pattern="building:", OC="BLD", business="Construction", domain="Homes"),
+        *[dict(pattern=p, OC="MEC", business="Engineering", domain="Machines") for p in ("automobile:", "machinery:")],
     ],
+    country_patterns=[("caller_email", r"@nation(\d+)\.test$"), ("caller_name", r"\d(5)$")],
 )
-# Statuses of the raw incidents made from orders; the last one is unknown to the map.
-RAW_STATUS = {"O": "New", "F": "Closed", "P": "Paused"}
+# Statuses of the raw incidents made from orders.
+RAW_STATUS = {"O": "New", "F": "Closed", "P": "Waiting for Supplier"}
 
 
 def raw_incidents(spark, folder):
@@ -196,15 +194,17 @@ def raw_incidents(spark, folder):
 
     nation = F.col("c_nationkey").cast("string")
     email = F.when(
-        F.col("c_acctbal") > 5000, F.concat(F.lit("DESKX-Land-"), nation)
-    ).otherwise(F.lit("north-buyer@field.example"))
+        F.col("c_acctbal") > 5000, F.concat(F.lit("orders@nation"), nation, F.lit(".test"))
+    ).otherwise(F.lit("orders@hq.test"))
+    # Versions of an incident of one day follow each other by the order's key.
+    modified = F.col("o_orderdate") + F.expr("INTERVAL 1 DAY") + F.make_dt_interval(secs=F.col("o_orderkey") / 1000)
     incident = F.struct(
         F.col("o_custkey").cast("string").alias("id"),
         named(
             F.when(F.col("c_nationkey") >= 5, F.concat(F.lit("Country "), nation)),
             nation.alias("id"),
         ).alias("object"),
-        named(F.concat(F.initcap("c_mktsegment"), F.lit(" Sup"))).alias("category"),
+        named(F.concat(F.initcap("c_mktsegment"), F.lit(": orders"))).alias("category"),
         named(F.col("o_orderpriority")).alias("subcategory"),
         F.struct(
             F.col("o_custkey").cast("string").alias("id"),
@@ -215,7 +215,7 @@ def raw_incidents(spark, folder):
         named(F.col("o_orderpriority")).alias("priority"),
         named(F.col("o_orderstatus")).alias("urgency"),
         iso(F.col("o_orderdate")).alias("creationDate"),
-        iso(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("modificationDate"),
+        iso(modified).alias("modificationDate"),
     )
     return rows.select(
         F.to_json(incident).alias("raw_json"),
@@ -246,28 +246,25 @@ def raw_services(spark, folder):
 
 SILVER_SQL = """
 v AS (
-  SELECT *, lower(c_mktsegment || ' sup') AS cat,
+  SELECT *, c_mktsegment = 'BUILDING' AS built, CAST(c_nationkey AS VARCHAR) AS nation,
          ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
   FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+  WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')),
 silver AS (
   SELECT CAST(o_custkey AS VARCHAR) AS ticket_id, o_orderdate AS created_date,
-         CASE c_mktsegment WHEN 'BUILDING' THEN 'B' ELSE 'M' END AS "OC", 'Field' AS business,
-         CASE c_mktsegment WHEN 'BUILDING' THEN 'Supply' ELSE 'Tools' END AS domain,
-         CASE WHEN c_nationkey >= 5 THEN 'Country ' || c_nationkey END AS country_program,
+         IF(built, 'BLD', 'MEC') AS "OC", IF(built, 'Construction', 'Engineering') AS business,
+         IF(built, 'Homes', 'Machines') AS domain,
+         IF(c_nationkey >= 5, 'Country ' || nation, NULL) AS country_program,
          o_orderpriority AS priority, o_orderstatus AS urgency,
-         c_mktsegment[1] || lower(c_mktsegment[2:]) || ' Sup' AS category,
+         c_mktsegment[1] || lower(c_mktsegment[2:]) || ': orders' AS category,
          o_orderpriority AS subcategory,
-         CASE o_orderstatus WHEN 'O' THEN 'New' WHEN 'F' THEN 'Closed' ELSE 'Paused' END AS status,
-         CASE o_orderstatus WHEN 'O' THEN 'Open' WHEN 'F' THEN 'Closed' END AS ticket_status,
-         CASE WHEN c_acctbal > 5000 THEN 'DESKX-Land-' || c_nationkey
-              ELSE 'north-buyer@field.example' END AS caller_email,
+         CASE o_orderstatus WHEN 'O' THEN 'New' WHEN 'F' THEN 'Closed' ELSE 'Waiting for Supplier' END AS status,
+         IF(o_orderstatus = 'F', 'Closed', 'Open') AS ticket_status,
+         IF(c_acctbal > 5000, 'orders@nation' || nation || '.test', 'orders@hq.test') AS caller_email,
          c_name AS caller_name,
-         CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS job_title,
-         CASE WHEN c_acctbal > 5000 THEN 'Land'
-              WHEN suffix(CAST(c_custkey AS VARCHAR), '5') THEN CAST(c_custkey AS VARCHAR)
-              ELSE 'north' END AS country_program_extract,
-         o_orderdate + INTERVAL 1 DAY AS modification_ts
+         IF(c_acctbal >= 0, c_mktsegment, NULL) AS job_title,
+         CASE WHEN c_acctbal > 5000 THEN nation WHEN suffix(c_name, '5') THEN '5' END AS country_program_extract,
+         o_orderdate + INTERVAL 1 DAY + to_milliseconds(o_orderkey) AS modification_ts
   FROM v WHERE rn = 1)
 """
 

@@ -26,8 +26,13 @@ from refinery.sinks.tables import append, publish_view, upsert_table
 from refinery.sources.datasets import Dataset
 from refinery.sources.files import csv_to_bronze
 
-# Everything but the rule that every status is known to the map.
-RULES = [r for r in incidents.ticket_rules() if r["column"] != "ticket_status"]
+INCIDENTS_OF_HALF = "CAST(get_json_object(raw_json, '$.id') AS BIGINT) % 2 = {half}"
+
+
+def _put_pages(rows, path):
+    """A page per line, added to the landing folder."""
+    pages = rows.select(F.concat(F.lit('{"results":['), "raw_json", F.lit("]}")).alias("value"))
+    pages.write.mode("append").text(path)
 
 
 def _landed(spark, folder):
@@ -36,11 +41,8 @@ def _landed(spark, folder):
     names = {n: new_table(spark, n) for n in ("incidents", "persons", "services")}
     sources = {"incidents": raw_incidents, "persons": raw_persons, "services": raw_services}
     for name, build in sources.items():
-        pages = build(spark, folder).select(
-            F.concat(F.lit('{"results":['), "raw_json", F.lit("]}")).alias("value")
-        )
         path = new_folder(spark, f"pages-{name}")
-        pages.write.text(path)
+        _put_pages(build(spark, folder), path)
         field = "modificationDate" if name == "incidents" else None
         spec = Dataset(name, "desk", path, "NEXT", names[name], field)
         incidents.land_dataset(spark, spec, state, page_per_line=True)
@@ -48,7 +50,7 @@ def _landed(spark, folder):
 
 
 @query("""
-SELECT COUNT(*) AS records, MAX(o_orderdate) + INTERVAL 1 DAY AS mark
+SELECT COUNT(*) AS records, MAX(o_orderdate + INTERVAL 1 DAY + to_milliseconds(o_orderkey)) AS mark
 FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 def flow_landing(spark, folder):
@@ -59,16 +61,55 @@ def flow_landing(spark, folder):
     return counts.select("records", mark.scalar().cast("timestamp_ntz").alias("mark"))
 
 
-# Landed records get one ingestion time, so equal modification times are told apart by the
-# other columns, as in silver_tickets; the comparison therefore names the key columns only.
+def _half(half):
+    return f"o_custkey % 2 = {half}"
+
+
 @query(f"""
-WITH {SILVER_SQL}
-SELECT ticket_id, "OC", business, domain, country_program, caller_email, caller_name, job_title,
-       country_program_extract, modification_ts
-FROM silver
+SELECT 1 AS run, COUNT(*) AS records, COUNT(*) AS in_table FROM orders JOIN customer ON o_custkey = c_custkey WHERE {_half(0)}
+UNION ALL
+SELECT 2, COUNT(*) FILTER ({_half(1)}), COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL
+SELECT 3, 0, COUNT(*) FROM orders JOIN customer ON o_custkey = c_custkey
 """)
+def flow_landing_twice(spark, folder):
+    """A folder that grows, landed by its ledger: each run takes the new files, the last finds none.
+
+    The dataset has no incremental field, so nothing but the ledger keeps old records out.
+    """
+    state, ledger, bronze = (new_table(spark, n) for n in ("state", "ledger", "bronze"))
+    path = new_folder(spark, "pages-growing")
+    spec = Dataset("incidents", "desk", path, "NEXT", bronze, None)
+    runs = []
+    for run, half in enumerate((0, 1, None), 1):
+        if half is not None:
+            _put_pages(raw_incidents(spark, folder).where(INCIDENTS_OF_HALF.format(half=half)), path)
+        written, _ = incidents.land_dataset(spark, spec, state, ledger=ledger, page_per_line=True)
+        runs.append((run, written, spark.table(bronze).count()))
+    return spark.createDataFrame(runs, "run int, records bigint, in_table bigint")
+
+
+@query("""
+SELECT get AS load, COUNT(*) AS records, COUNT(DISTINCT o_orderkey) AS distinct_records
+FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES ('first'), ('full')) AS loads(get) GROUP BY get
+""")
+def flow_full_reload(spark, folder):
+    """A full load replaces what earlier loads have written, whatever the ledger holds."""
+    state, ledger, bronze = (new_table(spark, n) for n in ("state", "ledger", "bronze"))
+    path = new_folder(spark, "pages-full")
+    _put_pages(raw_incidents(spark, folder), path)
+    spec = Dataset("incidents", "desk", path, "NEXT", bronze, "modificationDate")
+    found = []
+    for load in ("first", "full"):
+        incidents.land_dataset(spark, spec, state, ledger=ledger, full_load=load == "full", page_per_line=True)
+        held = spark.table(bronze).agg(F.count("*").alias("records"), F.count_distinct("raw_json").alias("distinct_records")).first()
+        found.append((load, held["records"], held["distinct_records"]))
+    return spark.createDataFrame(found, "load string, records bigint, distinct_records bigint")
+
+
+@query(f"WITH {SILVER_SQL} SELECT * FROM silver")
 def flow_silver(spark, folder):
-    """Pages to bronze to the gated silver table; what depends on ties is left out."""
+    """Pages to bronze to the gated silver table, with all shipped rules and all 17 columns."""
     names, state = _landed(spark, folder)
     tables = incidents.IncidentTables(
         **names,
@@ -77,21 +118,8 @@ def flow_silver(spark, folder):
         report=new_table(spark, "report"),
         quarantine=new_table(spark, "quarantine"),
     )
-    incidents.load_silver(spark, tables, SETTINGS, RULES)
-    return without_zone(
-        spark.table(tables.silver).select(
-            "ticket_id",
-            "OC",
-            "business",
-            "domain",
-            "country_program",
-            "caller_email",
-            "caller_name",
-            "job_title",
-            "country_program_extract",
-            "modification_ts",
-        )
-    )
+    incidents.load_silver(spark, tables, SETTINGS)
+    return without_zone(spark.table(tables.silver).select(*incidents.SILVER_COLUMNS))
 
 
 @query(f"""

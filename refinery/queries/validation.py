@@ -78,19 +78,13 @@ def validate_strings_all(spark, folder):
     return string_violations(people(spark, folder), RULES, ["c_custkey"])
 
 
-def _listed(violations):
-    """The value list as text, for comparison."""
-    return violations.withColumn("conflicting_values", F.array_join("conflicting_values", ","))
-
-
 def _dependency_sql(source, key, column, dependent):
     return f"""
 SELECT '{{' || {key} || '}}' AS determinant, '{column}' AS "column", '{dependent}' AS dependent_column,
-       string_agg(DISTINCT CAST({dependent} AS VARCHAR), ',' ORDER BY CAST({dependent} AS VARCHAR))
-         AS conflicting_values,
-       COUNT(DISTINCT {dependent}) AS distinct_count, 0 AS part,
+       CAST({dependent} AS VARCHAR) AS conflicting_value, n AS distinct_count,
        'FUNCTIONAL_DEPENDENCY_VIOLATION' AS rule
-FROM {source} GROUP BY {column} HAVING COUNT(DISTINCT {dependent}) > 1"""
+FROM (SELECT DISTINCT {column}, {dependent} FROM {source} WHERE {dependent} IS NOT NULL)
+JOIN (SELECT {column}, COUNT(DISTINCT {dependent}) AS n FROM {source} GROUP BY {column}) USING ({column}) WHERE n > 1"""
 
 
 FD_SQL = (
@@ -108,36 +102,45 @@ FD_SQL = (
 @query(FD_SQL)
 def fd_violations(spark, folder):
     """A single and a composite determinant, reported side by side."""
-    return _listed(
-        dependency_violations(
-            table(spark, folder, "part"), {"p_brand": "p_type", ("p_brand", "p_type"): "p_size"}
-        )
+    return dependency_violations(
+        table(spark, folder, "part"), {"p_brand": "p_type", ("p_brand", "p_type"): "p_size"}
     )
 
 
 @query(_dependency_sql("part", "p_partkey", "p_partkey", "p_type"))
 def fd_holds(spark, folder):
     """A dependency that holds gives no rows."""
-    return _listed(dependency_violations(table(spark, folder, "part"), {"p_partkey": "p_type"}))
+    return dependency_violations(table(spark, folder, "part"), {"p_partkey": "p_type"})
 
 
 @query("""
-SELECT l_partkey AS partkey, COUNT(DISTINCT l_suppkey) AS suppliers
-FROM lineitem GROUP BY l_partkey HAVING COUNT(DISTINCT l_suppkey) > 1
+SELECT l_partkey AS partkey, l_suppkey AS supplier, n AS suppliers
+FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem)
+JOIN (SELECT l_partkey, COUNT(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_partkey) USING (l_partkey) WHERE n > 1
 """)
 def fd_violations_in_parts(spark, folder):
-    """Long value lists are continued on further rows; together they are complete."""
-    found = dependency_violations(
-        table(spark, folder, "lineitem"), {"l_partkey": "l_suppkey"}, values_per_row=5
+    """Every value of every violating determinant, a row each."""
+    found = dependency_violations(table(spark, folder, "lineitem"), {"l_partkey": "l_suppkey"})
+    return found.select(
+        F.get_json_object("determinant", "$.l_partkey").cast("bigint").alias("partkey"),
+        F.col("conflicting_value").cast("bigint").alias("supplier"),
+        F.col("distinct_count").alias("suppliers"),
     )
-    return found.groupBy(
-        F.get_json_object("determinant", "$.l_partkey").cast("bigint").alias("partkey")
-    ).agg(F.sum(F.size("conflicting_values")).alias("suppliers"))
 
 
-@query("""
+ORPHANS_SQL = """
 SELECT doc_id, lang, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
-""")
+"""
+
+
+@query(ORPHANS_SQL)
+def referential_orphans_many_parents(spark, folder):
+    """The way for parents that are too many to broadcast: only possible orphans are shuffled."""
+    documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
+    return orphans(documents, "doc_id", table(spark, folder, "labels"), "doc_id", max_rows=0)
+
+
+@query(ORPHANS_SQL)
 def referential_orphans(spark, folder):
     documents = table(spark, folder, "documents").select("doc_id", "lang", "source")
     return orphans(documents, "doc_id", table(spark, folder, "labels"), "doc_id")

@@ -1,7 +1,7 @@
 """Both flows from landed files to gold, with re-runs, closed gates and streams."""
 
 import json
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from support import rows
@@ -18,19 +18,19 @@ from refinery.streaming.incremental import land_new_pages, upsert_new_rows
 
 SETTINGS = IncidentSettings(
     category_rules=[
-        {"pattern": "north sup", "OC": "N", "business": "Field", "domain": "Supply"},
-        {"pattern": "south sup", "OC": "S", "business": "Field", "domain": "Supply"},
+        dict(pattern="heating", OC="N", business="Homes", domain="Warmth"),
+        dict(pattern="water", OC="S", business="Homes", domain="Pipes"),
     ],
-    country_patterns=[("caller_email", r"(?i)desk-([a-z]+)-"), ("caller_name", r"(?i)desk-([a-z]+)-")],
+    country_patterns=[("caller_email", r"@([a-z]+)\.example"), ("caller_name", r"\(([A-Z][a-z])\)$")],
 )
 
 
-def incident(key, modified, status="New", category="North SUP desk", created="2024-01-01T00:00:00Z", **more):
+def incident(key, modified, status="New", category="Heating and boilers", created="2024-01-01T00:00:00Z", **more):
     return {
         "id": key,
         "object": {"id": "o1", "name": "Landia"},
         "category": {"name": category} if category else None,
-        "caller": {"id": "p1", "dynamicName": "desk-Oz-x", "email": "nobody@example.org"},
+        "caller": {"id": "p1", "dynamicName": "Nobody (Oz)", "email": "nobody@mail.test"},
         "processingStatus": {"name": status},
         "priority": {"name": "P1"},
         "creationDate": created,
@@ -75,7 +75,7 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, parts):
     landing.put(
         incident("1", "2024-01-02T00:00:00Z"),
         incident("1", "2024-01-03T00:00:00Z", "Closed"),
-        incident("2", None, "in  progress", "SOUTH SUP"),
+        incident("2", None, "in  progress", "WATER pipes"),
         incident("3", "2024-01-02T00:00:00Z", category="elsewhere"),
         incident("4", "2024-01-02T00:00:00Z", category=None),
     )
@@ -95,7 +95,7 @@ def test_incidents_from_pages_to_gold(spark, landing, new_table, parts):
     assert rows(held.select("rule_id", "ticket_id")) == [("incidents_ticket_status_not_null", "2")]
 
     # The source corrects the record; only new records are landed.
-    landing.put(incident("2", "2024-02-01T00:00:00Z", "In Progress", "SOUTH SUP"))
+    landing.put(incident("2", "2024-02-01T00:00:00Z", "In Progress", "WATER pipes"))
     assert landing.land() == (1, datetime(2024, 2, 1, tzinfo=UTC))
     assert landing.silver(partition_by=parts)["passed"]
     assert landing.rows("ticket_id", "OC", "ticket_status", "country_program_extract") == [
@@ -250,3 +250,34 @@ def test_streams_load_new_files_only(spark, new_table, tmp_path):
     run()
     assert rows(keyed_rows(spark, silver).select("id", "v")) == [("a", 5), ("b", 1), ("c", 2)]
     assert spark.read.parquet(str(bronze)).count() == 5
+
+
+def test_ledger_opens_new_files_only(landing, new_table):
+    import os
+
+    ledger = new_table("ledger")
+    landing.put(incident("1", None), incident("2", None))
+    first = landing.folder / "incidents" / "1.json"
+    os.utime(first, (1_700_000_000, 1_700_000_000))
+    assert landing.land(field=None, ledger=ledger) == (2, None)
+    size = first.stat().st_size
+    first.write_bytes(b"!" * size)  # unreadable, but neither size nor time has changed
+    os.utime(first, (1_700_000_000, 1_700_000_000))
+    assert landing.land(field=None, ledger=ledger) == (0, None)
+    landing.put(incident("3", None))
+    landing.put(incident("4", None))
+    assert landing.land(field=None, ledger=ledger, max_files=1)[0] == 1
+    assert landing.land(field=None, ledger=ledger, max_files=1)[0] == 1
+    assert landing.land(field=None, ledger=ledger)[0] == 0
+    assert landing.spark.table(ledger).count() == 3 and landing.spark.table(landing.tables.incidents).count() == 4
+    # A file older than the bound is not listed; without the bound it is found.
+    landing.put(incident("5", None))
+    os.utime(landing.folder / "incidents" / f"{landing.pages}.json", (1_600_000_000, 1_600_000_000))
+    assert landing.land(field=None, ledger=ledger, late_by=timedelta(days=1))[0] == 0
+    assert landing.land(field=None, ledger=ledger)[0] == 1
+    # A changed file is landed again, and a full load takes all files.
+    first.write_text(json.dumps({"results": [incident("1", None)], "next": None}))
+    assert landing.land(field=None, ledger=ledger)[0] == 1
+    assert landing.land(field=None, ledger=ledger, full_load=True)[0] == 4
+    assert landing.spark.table(landing.tables.incidents).count() == 4
+    assert landing.land(field=None, ledger=ledger)[0] == 0

@@ -51,6 +51,23 @@ def test_hot_keys_are_split(spark, skewed, keys):
     assert len(per_task) > 2
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_any_number_of_hot_keys_is_split(spark, kind):
+    """1,001 keys of 12 rows each, one of 400, and right keys of another type."""
+    left = spark.range(1_001 * 12 + 400).selectExpr("IF(id < 12012, id % 1001, 5L) AS k", "id AS row")
+    right = spark.range(1_500).selectExpr(f"CAST(id AS {kind}) AS k", "id * 2 AS w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        joined = spread_join(left, right, "k", "left", hot_rows=10, copies=4)
+        split = joined.withColumn("task", F.spark_partition_id()).groupBy("k").agg(F.count_distinct("task").alias("n")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(r.n > 1 for r in split) > 950 and max(r.n for r in split if r.k == 5) > 4
+    assert joined.where("w = k * 2").count() == left.count()
+
+
 def test_measured_size(spark):
     df = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("t"))
     assert fits_broadcast(df)

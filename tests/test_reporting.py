@@ -24,8 +24,10 @@ from refinery.operators.validate import (
     check_dependencies,
     check_references,
     close_gate,
+    _violating,
     dependency_violations,
     issues_of,
+    orphans,
     run_validation,
     string_violations,
     validate_strings,
@@ -149,11 +151,14 @@ def prices(spark):
 
 def test_dependencies_side_by_side(prices):
     found = dependency_violations(prices, {"SKU": "kind", ("sku", "kind"): "price"})
-    shown = found.select("determinant", "column", "dependent_column", "conflicting_values", "rule")
+    shown = found.select("determinant", "column", "dependent_column", "conflicting_value", "distinct_count")
     assert rows(shown) == [
-        ('{"sku":"a","kind":"x"}', "sku, kind", "price", ["1", "2"], "FUNCTIONAL_DEPENDENCY_VIOLATION"),
-        ('{"sku":"b"}', "sku", "kind", ["x", "y"], "FUNCTIONAL_DEPENDENCY_VIOLATION"),
-        ('{"sku":null}', "sku", "kind", ["x", "y"], "FUNCTIONAL_DEPENDENCY_VIOLATION"),
+        ('{"sku":"a","kind":"x"}', "sku, kind", "price", "1", 2),
+        ('{"sku":"a","kind":"x"}', "sku, kind", "price", "2", 2),
+        ('{"sku":"b"}', "sku", "kind", "x", 2),
+        ('{"sku":"b"}', "sku", "kind", "y", 2),
+        ('{"sku":null}', "sku", "kind", "x", 2),
+        ('{"sku":null}', "sku", "kind", "y", 2),
     ]
 
 
@@ -168,14 +173,32 @@ def test_dependency_status(prices):
         assert dependency_violations(prices, {"nowhere": "kind"}).count() == 0
 
 
-def test_long_value_lists_are_continued(spark):
+def test_every_value_is_listed(spark):
     df = spark.range(500).select(F.lit("k").alias("k"), F.col("id").alias("v"))
-    found = dependency_violations(df, {"k": "v"}, values_per_row=50).collect()
-    assert len(found) == 10 and {r["distinct_count"] for r in found} == {500}
-    assert sorted(int(v) for r in found for v in r["conflicting_values"]) == list(range(500))
+    found = dependency_violations(df, {"k": "v"}).collect()
+    assert {r["distinct_count"] for r in found} == {500}
+    assert sorted(int(r["conflicting_value"]) for r in found) == list(range(500))
     assert check_dependencies(df, {"k": "v"})["metrics"]["violations_count"] == 1
 
 
+def test_dependencies_are_decided_by_extremes(spark):
+    df = spark.range(1_000).selectExpr("id % 100 AS k", "IF(id = 7, 1L, id % 100) AS v")
+    plan = _violating(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert "min(" in plan and "max(" in plan and plan.count("Exchange") == 1 and "distinct" not in plan
+    assert rows(dependency_violations(df, {"k": "v"}).select("determinant", "conflicting_value")) == [('{"k":7}', "1"), ('{"k":7}', "7")]
+
+
+def test_only_possible_orphans_are_shuffled(spark):
+    children = spark.range(3_000).selectExpr("IF(id % 50 = 0, null, IF(id < 5, -id - 1, id % 40)) AS k", "repeat('x', 100) AS load")
+    parents = spark.range(40).selectExpr("id AS code")
+    few, many = orphans(children, "k", parents, "code"), orphans(children, "k", parents, "code", max_rows=0)
+    assert rows(few) == rows(many) and {r.k for r in many.collect()} == {-2, -3, -4, -5}
+    # Of the children only keys are shuffled, and the rows that a bitmap of missing keys leaves.
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    marked = plan.index("bit_or")
+    assert "load" not in "".join(x for x in plan[marked:].splitlines() if "Exchange hashpartitioning" in x)
+
+
 def test_references(spark, goods):
     parents = spark.createDataFrame([("S1",), ("S1",), (None,)], "code string")
     result = check_references(goods, {"sku": (parents, "CODE")}, ["id"])
