@@ -10,6 +10,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from refinery.sinks.staging import shared_folder
@@ -25,6 +26,7 @@ MODULES = (
     "validation",
     "reporting",
     "flows",
+    "outcomes",
 )
 SCHEMA = "refinery_queries"
 
@@ -63,6 +65,13 @@ def new_table(spark: SparkSession, label: str) -> str:
     return f"{new_schema(spark)}.{label}_{uuid.uuid4().hex}"
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """What a run has found out, as rows of literals."""
+    fields = StructType.fromDDL(ddl)
+    each = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields, strict=True)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*each)))
+
+
 def load_all() -> None:
     for module in MODULES:
         import_module(f"refinery.queries.{module}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from refinery.operators.clean import structural_clean
 from refinery.operators.profile import profile_metrics
 from refinery.plans import incidents, kpis, supply
-from refinery.queries import new_table, query, table
+from refinery.queries import literal_rows, new_table, query, table
 from refinery.queries.enrichment import (
     SETTINGS,
     SILVER_SQL,
@@ -86,7 +86,7 @@ def flow_landing_twice(spark, folder):
             _put_pages(raw_incidents(spark, folder).where(INCIDENTS_OF_HALF.format(half=half)), path)
         written, _ = incidents.land_dataset(spark, spec, state, ledger=ledger, page_per_line=True)
         runs.append((run, written, spark.table(bronze).count()))
-    return spark.createDataFrame(runs, "run int, records bigint, in_table bigint")
+    return literal_rows(spark, runs, "run int, records bigint, in_table bigint")
 
 
 @query("""
@@ -104,7 +104,7 @@ def flow_full_reload(spark, folder):
         incidents.land_dataset(spark, spec, state, ledger=ledger, full_load=load == "full", page_per_line=True)
         held = spark.table(bronze).agg(F.count("*").alias("records"), F.count_distinct("raw_json").alias("distinct_records")).first()
         found.append((load, held["records"], held["distinct_records"]))
-    return spark.createDataFrame(found, "load string, records bigint, distinct_records bigint")
+    return literal_rows(spark, found, "load string, records bigint, distinct_records bigint")
 
 
 @query(f"WITH {SILVER_SQL} SELECT * FROM silver")

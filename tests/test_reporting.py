@@ -19,6 +19,7 @@ from refinery.operators.aggregate import (
     top_k,
 )
 from refinery.operators.profile import cardinality, duplicates, null_rates, profile, profile_metrics
+from refinery.operators.profile_state import merge_states, profile_of, profile_state
 from refinery.operators.validate import (
     ValidationFailed,
     check_dependencies,
@@ -346,3 +347,17 @@ def test_kpis_with_zero_and_null(spark):
     shown = kpis.dashboard_datasets({n: build(tx) for n, build in kpis.KPI_TABLES.items()})
     assert set(shown) == set(kpis.DASHBOARD)
     assert shown["product_performance"].columns == ["product_type", "profit"]
+
+
+def test_profile_states_merge_in_any_grouping(spark):
+    df = spark.range(1_000).selectExpr("id", "IF(id % 7 = 0, null, id * 0.5D + 1e6) AS v", "CAST(id % 30 AS string) AS t", "CAST(null AS int) AS n")
+    whole = profile_state(df, ["v", "t", "n"], "all")
+    parts = [profile_state(df.where(f"id % 3 = {k}"), ["V", "t", "n"], str(k)) for k in range(3)] + [profile_state(df.where("false"), ["v", "t", "n"], "none")]
+    pair = merge_states(parts[0].unionByName(parts[1]))
+    merged = profile_of(pair.unionByName(parts[2]).unionByName(parts[3]))
+    one, two = ({r["column"]: r for r in f.collect()} for f in (profile_of(whole), merged))
+    for name in ("v", "t", "n"):
+        assert (one[name].rows, one[name].nulls, one[name].low, one[name].high) == (two[name].rows, two[name].nulls, two[name].low, two[name].high)
+        assert one[name].distinct_count == two[name].distinct_count
+    assert one["v"].stddev == pytest.approx(df.agg(F.stddev("v")).first()[0]) == pytest.approx(two["v"].stddev)
+    assert one["t"].distinct_count == 30 and one["n"].avg is None and two["n"].distinct_count == 0
