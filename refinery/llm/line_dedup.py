@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ HOT = 4_096
 _ALL = (1 << 56) - 1
 #: Bytes of text whose words are numbered at once, a single text apart.
 _BLOCK = 1 << 18
+#: Bytes from which on a word is hashed by itself.
+_LONG_WORD = 64
 _LINE_FIELDS = "doc long, line int, n int, sig long, k1 long, k2 long, prefix array<int>, hot array<int>"
 #: Base of the polynomial that stands for a word, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
@@ -66,7 +69,7 @@ def _words(texts: pa.StringArray, powers: _Powers) -> tuple[np.ndarray, np.ndarr
     and for every line: its text, and its number in it.
 
     The number is a polynomial over the bytes, A-Z in lower case, so differences of running
-    sums give it for all words at once.
+    sums give it for all words at once; that of a long word is its XXH64.
     """
     ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     data = texts.buffers()[2]
@@ -93,6 +96,9 @@ def _words(texts: pa.StringArray, powers: _Powers) -> tuple[np.ndarray, np.ndarr
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * powers.up[: len(raw)], out=sums[1:])
     word = _mixed((sums[end] - sums[begin]) * powers.down[begin], 0xC2B2)
+    # Modulo 2**64 some long words (from about 1,000 bytes on) have one polynomial for any base.
+    for i in np.flatnonzero(end - begin > _LONG_WORD).tolist():
+        word[i] = xxhash.xxh64_intdigest(lower[begin[i] : end[i]].tobytes())
     # Lines before a word: those that line feeds have ended, and one for every text before it.
     line = np.searchsorted(feeds, begin) + np.searchsorted(ends[1:], begin, "right")
     return word, line, text, number

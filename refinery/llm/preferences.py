@@ -63,11 +63,13 @@ def format_preferences(
 
     ``chosen`` and ``rejected`` hold a row per turn. Turns are ordered by ``turn`` (null first),
     ties by role and text; repeated rows are turns of their own. Null roles and texts are
-    empty. Turns with a null key are left out, and so are keys that only one side has. Pairs
-    that do not differ have empty completions. Empty tables give no rows, other columns are
+    empty. Turns with a null key are left out, and so are keys that only ``rejected`` has; one
+    that only ``chosen`` has gets an empty prompt and an empty rejected completion. Pairs that do
+    not differ have empty completions. Empty tables give no rows, other columns are
     ignored. A conversation is one row here, as it is in the result.
     """
-    pairs = _sides(chosen, key, turn, role, text, "c").join(_sides(rejected, key, turn, role, text, "r"), "key")
+    pairs = _sides(chosen, key, turn, role, text, "c").join(_sides(rejected, key, turn, role, text, "r"), "key", "left")
+    pairs = pairs.withColumn("r", F.coalesce("r", F.slice("c", F.lit(1), F.lit(0))))
     shorter = F.least(F.size("c"), F.size("r"))
     positions = F.when(shorter > 0, F.sequence(F.lit(0), shorter - 1)).otherwise(F.array().cast("array<int>"))
     same = F.aggregate(positions, F.lit(0), lambda n, i: F.when((n == i) & (F.get("c", i) == F.get("r", i)), n + 1).otherwise(n))
@@ -93,7 +95,8 @@ def swapped_answers(conversations: DataFrame, answers: str = "assistant") -> tup
     """Pairs from plain conversations: each one up to its last answer is chosen, the same with
     the last answer of its neighbour (ids 2k and 2k + 1) is rejected.
 
-    Conversations without an answer give none; without an answer of the neighbour the
+    Ids are whole numbers, and the columns are named as in ``conversations``. Conversations
+    without an answer give none; without an answer of the neighbour the
     rejected side ends before the answer. Ties of the last turn go to the greatest text.
     """
     turns = conversations.select(
@@ -108,5 +111,5 @@ def swapped_answers(conversations: DataFrame, answers: str = "assistant") -> tup
         "pair_id", "turn", F.lit(answers).alias("role"), F.col("answer").alias("text")
     )
     rejected = upto.where("turn < last_turn").drop("last_turn").union(swapped)
-    # A side may have no turn at all; its key must not be lost.
+    # The rejected side may have no turn at all; the pair is that of the chosen side.
     return chosen, rejected

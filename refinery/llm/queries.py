@@ -120,14 +120,14 @@ ORACLE_SQL = {
         ),
         c AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM c0),
         r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos FROM r0),
-        both_sides AS (SELECT conv_id FROM c INTERSECT SELECT conv_id FROM r),
+        chosen_keys AS (SELECT DISTINCT conv_id FROM c),
         met AS (
             SELECT conv_id, pos, coalesce(c.role = r.role AND c.text = r.text, false) AS same
             FROM c FULL JOIN r USING (conv_id, pos)
         ),
         cut AS (
             SELECT conv_id, coalesce(min(pos) FILTER (NOT same) - 1, max(pos)) AS n
-            FROM met WHERE conv_id IN (FROM both_sides) GROUP BY conv_id
+            FROM met WHERE conv_id IN (FROM chosen_keys) GROUP BY conv_id
         ),
         shown AS (
             SELECT conv_id, side, pos, role, '<|' || role || '|>' || chr(10) AS head,

@@ -130,22 +130,25 @@ class Counter:
 
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for every i from 0 to its length."""
-        total, start, out = 0, 0, [np.zeros(1, np.int32)]
+        total, out = 0, [np.zeros(1, np.int32)]
+        tail, before = "", 0  # what may join with what follows, from the last safe space on; tokens before it
         for section, i in self.vocab.sections(text):
             if i is not None:
                 # A cut inside the string of an added token leaves ordinary text.
-                inside = [self.count(text[: start + n]) for n in range(1, len(section))]
+                inside = [before + self.count(tail + section[:n]) for n in range(1, len(section))]
                 total += 1
                 out.append(np.array([*inside, total], np.int32))
+                tail, before = "", total
             else:
                 of = self.of_unit.get
-                rows = [of(u) or self._remembered_prefixes(u) for u in vocabulary.units(section)]
+                parts = vocabulary.units(section)
+                rows = [of(u) or self._remembered_prefixes(u) for u in parts]
                 sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
                 counts = np.frombuffer(b"".join(rows), "<i4")
                 ends = np.cumsum(counts[np.cumsum(sizes) - 1])
                 out.append(counts + np.repeat(np.concatenate([[0], ends[:-1]]) + total, sizes).astype(np.int32))
+                tail, before = parts[-1], total + (int(ends[-2]) if len(parts) > 1 else 0)
                 total += int(ends[-1])
-            start += len(section)
         return np.concatenate(out).astype("<i4")
 
 

@@ -295,6 +295,15 @@ def test_line_dedup_hot_lists(spark, monkeypatch):
     assert got == brute_lines(dict(rows))
 
 
+def test_line_dedup_long_words(spark):
+    """A Thue-Morse word and its mirror have one polynomial modulo 2**64, whatever the base."""
+    bits = [bin(i).count("1") % 2 for i in range(4_096)]
+    one, two = ("".join("ab"[b ^ k] for b in bits) for k in (0, 1))
+    rows = [(1, f"alpha {one} gamma\nalpha {two} gamma"), (2, f"alpha {one.upper()} gamma")]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1}
+
+
 def test_line_dedup_odd(odd, none):
     rows = line_dedup.dedup_lines(odd).collect()
     assert len(rows) == odd.count()
@@ -444,3 +453,12 @@ def test_digests_of_the_round_trip(spark, texts):
 
     got = {r.doc_id: r.decoded_sha256 for r in op4_bpe_round_trip(spark, FOLDER).collect()}
     assert got == {i: hashlib.sha256(t.encode()).hexdigest() for i, t in texts.items()}
+
+
+def test_preferences_keep_pairs_without_a_rejected_turn(spark):
+    rows = [(10, 0, "user", "hi"), (20, 0, "assistant", "only answer"), (30, 0, "user", "q"), (30, 1, "assistant", "a"), (31, 0, "assistant", "b")]
+    chosen, rejected = preferences.swapped_answers(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.pair_id: r for r in preferences.format_preferences(chosen, rejected).collect()}
+    assert sorted(got) == [20, 30, 31]
+    assert (got[20].prompt, got[20].rejected, got[20].n_prompt_turns) == ("", "", 0) and "only answer" in got[20].chosen
+    assert "a" in got[30].chosen and "b" in got[30].rejected and got[30].n_prompt_turns == 1
