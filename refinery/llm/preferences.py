@@ -57,18 +57,19 @@ def format_preferences(
     role: str = "role",
     text: str = "text",
     trained: str = "assistant",
+    keep_unanswered: bool = False,
 ) -> DataFrame:
     """One row per pair: the key, ``n_prompt_turns``, ``prompt``, ``chosen``, ``rejected`` and
     their ``chosen_spans``, ``rejected_spans`` (arrays of (start, end), in characters).
 
     ``chosen`` and ``rejected`` hold a row per turn. Turns are ordered by ``turn`` (null first),
     ties by role and text; repeated rows are turns of their own. Null roles and texts are
-    empty. Turns with a null key are left out, and so are keys that only ``rejected`` has; one
-    that only ``chosen`` has gets an empty prompt and an empty rejected completion. Pairs that do
-    not differ have empty completions. Empty tables give no rows, other columns are
+    empty. Turns with a null key are left out, and so are keys that only one side has; with
+    ``keep_unanswered`` a key that only ``chosen`` has gets an empty prompt and an empty rejected
+    completion, for rejected sides that consist of no turn. Pairs that do not differ have empty completions. Empty tables give no rows, other columns are
     ignored. A conversation is one row here, as it is in the result.
     """
-    pairs = _sides(chosen, key, turn, role, text, "c").join(_sides(rejected, key, turn, role, text, "r"), "key", "left")
+    pairs = _sides(chosen, key, turn, role, text, "c").join(_sides(rejected, key, turn, role, text, "r"), "key", "left" if keep_unanswered else "inner")
     pairs = pairs.withColumn("r", F.coalesce("r", F.slice("c", F.lit(1), F.lit(0))))
     shorter = F.least(F.size("c"), F.size("r"))
     positions = F.when(shorter > 0, F.sequence(F.lit(0), shorter - 1)).otherwise(F.array().cast("array<int>"))

@@ -32,7 +32,7 @@ def op2_simhash_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen, rejected = preferences.swapped_answers(read_table(spark, sf_dir, "conversations"))
     shown = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return preferences.format_preferences(chosen, rejected).select(
+    return preferences.format_preferences(chosen, rejected, keep_unanswered=True).select(
         F.col("pair_id").alias("conv_id"), "n_prompt_turns", "prompt", "chosen", "rejected",
         shown("chosen_spans").alias("chosen_spans"), shown("rejected_spans").alias("rejected_spans"),
     )

@@ -28,6 +28,19 @@ def test_prefixes_of_mixed_texts(library):
             assert got == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)], repr(text)
 
 
+def test_cuts_of_special_strings_count_the_last_word_only(library, monkeypatch):
+    with open(common.tokenizer_path("byte_bpe_50k.json"), "rb") as file:
+        counter = token_counts.Counter(vocabulary.load(file.read()))
+    text = "some words here <|endoftext|> no<|endoftext|><|endoftext|>" * 60
+    seen = []
+    count = token_counts.Counter.count
+    monkeypatch.setattr(token_counts.Counter, "count", lambda self, t: seen.append(len(t)) or count(self, t))
+    got = counter.prefix_counts(text)
+    assert max(seen) < 40 and len(got) == len(text) + 1
+    for i in [*range(120), len(text) - 7, len(text)]:
+        assert got[i] == len(library.encode(text[:i], add_special_tokens=False).ids)
+
+
 def test_op7_keeps_every_prefix(spark, library):
     texts = {r.doc_id: r.text or "" for r in common.read_table(spark, FOLDER, "documents").collect()}
     rows = {r.doc_id: r for r in queries.op7_token_counts(spark, FOLDER).collect()}

@@ -458,7 +458,7 @@ def test_digests_of_the_round_trip(spark, texts):
 def test_preferences_keep_pairs_without_a_rejected_turn(spark):
     rows = [(10, 0, "user", "hi"), (20, 0, "assistant", "only answer"), (30, 0, "user", "q"), (30, 1, "assistant", "a"), (31, 0, "assistant", "b")]
     chosen, rejected = preferences.swapped_answers(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
-    got = {r.pair_id: r for r in preferences.format_preferences(chosen, rejected).collect()}
+    got = {r.pair_id: r for r in preferences.format_preferences(chosen, rejected, keep_unanswered=True).collect()}
     assert sorted(got) == [20, 30, 31]
     assert (got[20].prompt, got[20].rejected, got[20].n_prompt_turns) == ("", "", 0) and "only answer" in got[20].chosen
     assert "a" in got[30].chosen and "b" in got[30].rejected and got[30].n_prompt_turns == 1
