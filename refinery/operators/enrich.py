@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from refinery.functions.columns import column
 from refinery.functions.expressions import first_extract, map_patterns, map_values
@@ -54,3 +55,15 @@ def lookup(
     drop = [newest_by] if isinstance(newest_by, str) else list(newest_by or [])
     current = current.drop(*drop).withColumnRenamed(dimension_key, fact_key)
     return lookup_join(facts, current, fact_key, "left", bound=dimension, **join_options)
+
+
+def keyed_lookup(facts: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, spread: int = 64) -> DataFrame:
+    """Left join to a dimension that holds every text key once, such as a lookup table.
+
+    Spark broadcasts the dimension if its files are small; else it reads a bucketed table as
+    it lies and shuffles the facts alone. Facts without a key match nothing and are dealt out
+    under ``spread`` keys that no dimension has.
+    """
+    nowhere = F.concat(F.lit("\0none "), F.pmod(F.xxhash64(*[column(c) for c in facts.columns]), F.lit(spread)).cast("string"))
+    keyed = facts.withColumn("__key", F.coalesce(column(fact_key), nowhere))
+    return keyed.join(dimension, F.col("__key") == column(dimension_key), "left").drop("__key", dimension_key)

@@ -21,6 +21,7 @@ from refinery.operators.enrich import (
     add_mapped,
     add_pattern_columns,
     in_scope,
+    keyed_lookup,
     lookup,
 )
 from refinery.operators.incremental import (
@@ -35,6 +36,7 @@ from refinery.operators.incremental import (
 from refinery.operators.raw_json import RAW, parse_raw
 from refinery.operators.rules import Run, rules_for_columns
 from refinery.plans.quality import require_passed, run_quality
+from refinery.sinks.lookups import upsert_lookup
 from refinery.sinks.staging import staging
 from refinery.sinks.tables import (
     append,
@@ -180,6 +182,9 @@ class IncidentTables:
     state: str
     report: str
     quarantine: str
+    #: Lookup tables that are kept from run to run; without them bronze is looked up whole.
+    person_lookup: str | None = None
+    service_lookup: str | None = None
 
 
 # --- transformations -------------------------------------------------------------------
@@ -235,19 +240,52 @@ def silver_tickets(
     Rows out of scope and older versions of a ticket go before the lookups are joined: the
     result is the same, and only surviving rows are shuffled or probed.
     """
+    tickets = _current_tickets(incidents_raw, settings)
+    tickets = lookup(tickets, person_lookup(persons_raw), "caller_id", "person_id", "person_seen")
+    tickets = lookup(
+        tickets, service_lookup(services_raw), "object_id", "service_id", "service_seen"
+    )
+    return tickets.withColumnRenamed("incident_id", "ticket_id").select(*SILVER_COLUMNS)
+
+
+def _current_tickets(incidents_raw: DataFrame, settings: IncidentSettings) -> DataFrame:
     tickets = select_incident_fields(parse_raw(incidents_raw, INCIDENT_SCHEMA))
     tickets = add_pattern_columns(tickets, "category", settings.category_rules, CATEGORY_OUTPUTS)
     tickets = in_scope(tickets, "OC")
     tickets = latest_per_key(tickets, ["incident_id"], ["modification_ts", "ingestion_time"])
     tickets = add_mapped(tickets, "status", "ticket_status", settings.status_map)
-    tickets = add_first_extract(tickets, "country_program_extract", settings.country_patterns)
-    tickets = lookup(tickets, person_lookup(persons_raw), "caller_id", "person_id", "person_seen")
-    tickets = lookup(
-        tickets, service_lookup(services_raw), "object_id", "service_id", "service_seen"
-    )
+    return add_first_extract(tickets, "country_program_extract", settings.country_patterns)
+
+
+def silver_tickets_by_lookups(
+    incidents_raw: DataFrame, persons: DataFrame, services: DataFrame, settings: IncidentSettings
+) -> DataFrame:
+    """``silver_tickets`` from lookup tables, which hold every person and service once."""
+    tickets = _current_tickets(incidents_raw, settings)
+    tickets = keyed_lookup(tickets, persons.drop("person_seen"), "caller_id", "person_id")
+    tickets = keyed_lookup(tickets, services.drop("service_seen"), "object_id", "service_id")
     return tickets.withColumnRenamed("incident_id", "ticket_id").select(*SILVER_COLUMNS)
 
 
+def refresh_lookups(spark: SparkSession, tables: IncidentTables, pipeline: str = "silver_incidents", **options) -> None:
+    """Bring the lookup tables up to date from the bronze rows since their own marks."""
+    ensure_table(spark, tables.state, STATE_DDL, "High-water marks")
+    wanted = (
+        (tables.persons, tables.person_lookup, person_lookup, "person_id", "person_seen"),
+        (tables.services, tables.service_lookup, service_lookup, "service_id", "service_seen"),
+    )
+    for source, target, build, key, seen in wanted:
+        bronze = _or_empty(spark, source)
+        mark = last_mark(spark.table(tables.state), pipeline, target)
+        prune = {"date_partition": find(bronze, INGESTION_DATE)}
+        upto = highest(newer_than(bronze, "ingestion_time", mark, **prune), "ingestion_time")
+        if upto is None and table_exists(spark, target):
+            continue
+        fresh = newer_than(bronze, "ingestion_time", mark, upto=upto, **prune)
+        upsert_lookup(build(fresh), target, key, seen, **options)
+        advance_mark(tables.state, pipeline, target, upto, bronze)
+
+
 # --- flows -----------------------------------------------------------------------------
 
 
@@ -368,12 +406,13 @@ def load_silver(
     if upto is None:
         return None
     fresh = newer_than(bronze, "ingestion_time", mark, upto=upto, **prune)
-    tickets = silver_tickets(
-        fresh,
-        _or_empty(spark, tables.persons),
-        _or_empty(spark, tables.services),
-        settings,
-    )
+    if tables.person_lookup and tables.service_lookup:
+        refresh_lookups(spark, tables, pipeline)
+        known = (spark.table(t) for t in (tables.person_lookup, tables.service_lookup))
+        tickets = silver_tickets_by_lookups(fresh, *known, settings)
+    else:
+        known = (_or_empty(spark, t) for t in (tables.persons, tables.services))
+        tickets = silver_tickets(fresh, *known, settings)
     run = Run(pipeline_name=pipeline, source_table=tables.silver)
     with staging(spark) as stage:
         batch = stage(tickets, "tickets")

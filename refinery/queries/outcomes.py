@@ -74,6 +74,18 @@ def flow_gate_closed(spark, folder):
     )
 
 
+@query(f"WITH {SILVER_SQL} SELECT * FROM silver")
+def flow_silver_by_lookups(spark, folder):
+    """Silver from persons and services that are kept in bucketed lookup tables over two runs."""
+    tables, land = _desk(spark, folder)
+    tables = replace(tables, person_lookup=new_table(spark, "person_lookup"), service_lookup=new_table(spark, "service_lookup"))
+    rows = raw_incidents(spark, folder)
+    for half in (0, 1):
+        land("incidents", rows.where(INCIDENTS_OF_HALF.format(half=half)))
+        incidents.load_silver(spark, tables, SETTINGS)
+    return without_zone(spark.table(tables.silver).select(*incidents.SILVER_COLUMNS))
+
+
 @query("SELECT n_nationkey, n_name FROM nation")
 def gold_catalog_view(spark, folder):
     """A catalog view over a column list of a table."""

@@ -1,6 +1,7 @@
 """Both flows from landed files to gold, with re-runs, closed gates and streams."""
 
 import json
+from dataclasses import replace
 from datetime import UTC, datetime, timedelta
 
 import pytest
@@ -281,3 +282,36 @@ def test_ledger_opens_new_files_only(landing, new_table):
     assert landing.land(field=None, ledger=ledger, full_load=True)[0] == 4
     assert landing.spark.table(landing.tables.incidents).count() == 4
     assert landing.land(field=None, ledger=ledger)[0] == 0
+
+
+def test_lookups_are_kept_and_not_shuffled(spark, landing, new_table):
+    tables = replace(landing.tables, person_lookup=new_table("person_lookup"), service_lookup=new_table("service_lookup"))
+
+    def load():
+        landing.land()
+        landing.land("persons", None, ledger=ledger)
+        load_silver(spark, tables, SETTINGS)
+        return landing.rows("ticket_id", "job_title")
+
+    ledger = new_table("ledger")
+    landing.put({"id": "p1", "jobTitle": "cook"}, {"id": None, "jobTitle": "nobody"}, name="persons")
+    landing.put(incident("1", "2024-01-02T00:00:00Z"), incident("2", "2024-01-02T00:00:00Z", caller=None))
+    assert load() == [("1", "cook"), ("2", None)]
+    landing.put({"id": "p1", "jobTitle": "baker"}, {"id": "p2", "jobTitle": "x"}, name="persons")
+    landing.put(incident("3", "2024-01-03T00:00:00Z"))
+    assert load() == [("1", "cook"), ("2", None), ("3", "baker")]
+    held = spark.table(tables.person_lookup)
+    assert rows(held.select("person_id", "job_title")) == [("p1", "baker"), ("p2", "x")]
+    before = set(held.inputFiles())
+    landing.put(incident("4", "2024-01-04T00:00:00Z"))
+    assert len(load()) == 4 and set(spark.table(tables.person_lookup).inputFiles()) == before
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        known = (spark.table(t) for t in (tables.person_lookup, tables.service_lookup))
+        tickets = incidents.silver_tickets_by_lookups(spark.table(tables.incidents), *known, SETTINGS)
+        plan = tickets._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 2
+    # One exchange for the latest versions and one per join, all of tickets.
+    assert plan.count("Exchange hashpartitioning") == 3
