@@ -21,10 +21,18 @@ STAGE_SCHEMA = "refinery_stage"
 _own_folders: dict[str, str] = {}
 
 
+def one_process(master: str) -> bool:
+    """Whether a master has no executors besides the driver."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only where it is unset (local runs) a new temporary folder."""
+    """``spark.checkpoint.dir``; where it is unset a new temporary folder, but only if the driver
+    does all the work itself: other machines would not see it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not one_process(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
         application = spark.sparkContext.applicationId
         if application not in _own_folders:
             _own_folders[application] = tempfile.mkdtemp(prefix="refinery-")

@@ -17,7 +17,7 @@ from refinery.operators.incremental import (
 from refinery.operators.rules import Run, failed_records, summarise
 from refinery.plans.quality import QualityGateClosed, require_passed, run_quality
 from refinery.sinks import quality
-from refinery.sinks.staging import clear_stage, shared_folder, stage, staging
+from refinery.sinks.staging import one_process, clear_stage, shared_folder, stage, staging
 from refinery.sinks.tables import (
     CONFLICTS,
     append,
@@ -308,3 +308,8 @@ def test_folder_where_the_session_names_none(spark):
 
     own = shared_folder(Unnamed)
     assert own and own == shared_folder(Unnamed) != shared_folder(spark)
+
+
+def test_temporary_folders_are_for_one_process_only():
+    assert one_process("local") and one_process("local[*]") and one_process("local[8]")
+    assert not any(map(one_process, ("local-cluster[3,2,1024]", "yarn", "spark://host:7077", "k8s://https://host")))
