@@ -4,14 +4,16 @@ A line is the set of its words. Two lines match if their Jaccard similarity reac
 threshold; of two matching lines the later one, by document id and line number, is removed,
 whether or not the earlier one stays itself.
 
-Lines with equal sets are one class, found by grouping. Between classes: tokens are ordered by
-rarity, so that matching lines share a token among their rarest ones (prefix filter); of the
-pairs found there, those whose sizes (length filter), places of the shared token (positional
-filter) or parity bitmaps rule a match out are dropped; the rest is verified on the words.
+Lines with equal sets are one class, found by grouping, and only the first line of a class is
+compared. Between classes: tokens are ordered by rarity, so that matching lines share a token
+among their rarest ones (prefix filter); of the pairs found there, those whose sizes (length
+filter), places of the shared token (positional filter) or parity bitmaps rule a match out are
+dropped; the rest is verified on the words.
 
 Only the existence of an earlier match matters, so long lists of lines with one token are not
-paired: each line is first verified against the earliest line of the list, and only lines
-without a match so far are compared with the rest of it.
+paired. They are cut into bands of sizes, and only bands that the length filter lets meet do:
+each line is first verified against the earliest line of a band, and only lines without a match
+so far are compared with the rest of it.
 """
 
 from __future__ import annotations
@@ -36,7 +38,9 @@ _ALL = (1 << 56) - 1
 _BLOCK = 1 << 18
 #: Bytes from which on a word is hashed by itself.
 _LONG_WORD = 64
-_LINE_FIELDS = "doc long, line int, n int, sig long, k1 long, k2 long, prefix array<int>, hot array<int>"
+#: Lines of more words have a bitmap of their own length: 64 bits tell nothing of long lines.
+_WIDE = 64
+_LINE_FIELDS = "doc long, line int, n int, sig long, sig2 long, wide array<long>, k1 long, k2 long, prefix array<int>, hot array<int>"
 #: Base of the polynomial that stands for a word, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -154,7 +158,7 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
-    """Every line with words: size, parity bitmap, 128-bit digest of its set of words, and the
+    """Every line with words: size, two parity bitmaps, 128-bit digest of its set of words, and the
     prefix of its rarest tokens, hot ones apart. A set that its task has met in an earlier line
     has none, nor has one too small to match another set."""
     shared = source.sparkSession.sparkContext.broadcast(classes)
@@ -188,8 +192,14 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
             docs = np.asarray(ids)[of_text[own]]
             number = number[own]
             plain = token.view(np.uint64)
-            sig = np.bitwise_xor.reduceat(np.uint64(1) << (plain & np.uint64(63)), starts).view(np.int64)
+            sig, sig2 = (np.bitwise_xor.reduceat(np.uint64(1) << (plain >> np.uint64(at) & np.uint64(63)), starts).view(np.int64) for at in (0, 6))
             k1, k2 = (np.add.reduceat(_mixed(plain, salt), starts).view(np.int64) for salt in (0x9E37, 0x85EB))
+            wide: list[np.ndarray | None] = [None] * len(n)
+            for i in np.flatnonzero(n > _WIDE).tolist():
+                bits = 64 << int(n[i] - 1 >> 6).bit_length()
+                own_bits = plain[starts[i] : starts[i] + n[i]] >> np.uint64(12) & np.uint64(bits - 1)
+                odd = np.bincount(own_bits.view(np.int64), minlength=bits).astype(np.uint8) & 1
+                wide[i] = np.packbits(odd, bitorder="little").view(np.int64)
             new = np.zeros(len(n), bool)
             large = np.flatnonzero(n >= smallest)
             for i, k, place in zip(large.tolist(), zip(k1[large].tolist(), k2[large].tolist()), zip(docs[large].tolist(), number[large].tolist())):
@@ -209,10 +219,10 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(token[mask].astype(np.uint32).view(np.int32)))
 
             columns = [
-                pa.array(docs, pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig),
+                pa.array(docs, pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.array(sig2), pa.array(wide, pa.list_(pa.int64())),
                 pa.array(k1), pa.array(k2), tokens(taken & ~hot), tokens(taken & hot),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "k1", "k2", "prefix", "hot"])
+            return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "sig2", "wide", "k1", "k2", "prefix", "hot"])
 
         for batch in batches:
             for at, to in _blocks(batch.column(1)):
@@ -225,23 +235,33 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
 
 
 def _may_match(nx, px, sx, ny, py, sy, threshold: float):
-    """Length, positional and bitmap filter; arrays of numbers, the last for numpy."""
+    """Length, positional and bitmap filter of arrays; ``sx`` and ``sy`` are both bitmaps."""
     need = np.ceil(threshold / (1 + threshold) * (nx + ny) - 1e-9)
     return (
         (np.minimum(nx, ny) >= threshold * np.maximum(nx, ny) - 1e-9)
         & (np.minimum(nx - px, ny - py) >= need)
-        & (np.bitwise_count((sx ^ sy).view(np.uint64)) <= nx + ny - 2 * need)
+        & (np.bitwise_count((sx[0] ^ sy[0]).view(np.uint64)) <= nx + ny - 2 * need)
+        & (np.bitwise_count((sx[1] ^ sy[1]).view(np.uint64)) <= nx + ny - 2 * need)
     )
 
 
-def _may_match_sql(x: str, y: str, threshold: float) -> Column:
+def _may_match_sql(x: str, y: str, threshold: float, wide: bool) -> Column:
+    """The same filters of joined rows; with ``wide`` also that of the bitmaps of long lines."""
     f = lambda s, c: F.col(f"{s}.{c}")
     need = F.ceil(threshold / (1 + threshold) * (f(x, "n") + f(y, "n")) - 1e-9)
-    return (
+    fit = (
         (F.least(f(x, "n"), f(y, "n")) >= threshold * F.greatest(f(x, "n"), f(y, "n")) - 1e-9)
         & (F.least(f(x, "n") - f(x, "pos"), f(y, "n") - f(y, "pos")) >= need)
         & (F.bit_count(f(x, "sig").bitwiseXOR(f(y, "sig"))) <= f(x, "n") + f(y, "n") - 2 * need)
+        & (F.bit_count(f(x, "sig2").bitwiseXOR(f(y, "sig2"))) <= f(x, "n") + f(y, "n") - 2 * need)
     )
+    if not wide:
+        return fit
+    # Widths are powers of two: the wider bitmap is folded to the width of the other.
+    width = F.least(F.size(f(x, "wide")), F.size(f(y, "wide")))
+    fold = lambda c: F.when(F.size(c) > width, F.zip_with(F.slice(c, 1, width), F.slice(c, width + 1, width), lambda p, q: p.bitwiseXOR(q))).otherwise(c)
+    unlike = F.zip_with(fold(f(x, "wide")), fold(f(y, "wide")), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    return fit & F.coalesce(F.aggregate(unlike, F.lit(0), lambda p, q: p + q) <= f(x, "n") + f(y, "n") - 2 * need, F.lit(True))
 
 
 def _earlier(y: str, x: str) -> Column:
@@ -249,7 +269,7 @@ def _earlier(y: str, x: str) -> Column:
 
 
 #: ``key`` holds the token and the place of it in the line, ``place`` the line and its size.
-_POSTING = ["key", "doc", "place", "sig"]
+_POSTING = ["key", "doc", "place", "sig", "sig2", "wide"]
 
 
 def _packed(high: str, low: str) -> Column:
@@ -260,7 +280,7 @@ def _unpacked(df: DataFrame) -> DataFrame:
     """Postings with a column for every value."""
     high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
     return df.select(
-        high("key").alias("token"), "doc", high("place").alias("line"), low("place").alias("n"), low("key").alias("pos"), "sig"
+        high("key").alias("token"), "doc", high("place").alias("line"), low("place").alias("n"), low("key").alias("pos"), "sig", "sig2", "wide"
     )
 
 
@@ -273,13 +293,13 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
         open_token = None  # of a list that is known to be long while it goes on
 
         def emit(rows: list[np.ndarray], doc2: np.ndarray | None = None, place2: np.ndarray | None = None) -> pa.RecordBatch:
-            columns = [pa.array(c) for c in rows]
+            columns = [pa.array(c) for c in rows[:-1]] + [pa.array(rows[-1], pa.list_(pa.int64()))]
             columns.append(pa.nulls(len(rows[0]), pa.int64()) if doc2 is None else pa.array(doc2))
             columns.append(pa.nulls(len(rows[0]), pa.int64()) if place2 is None else pa.array(place2))
             return pa.RecordBatch.from_arrays(columns, [*_POSTING, "doc2", "place2"])
 
         def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, doc, place, sig = rows
+            key, doc, place, sig, sig2, _ = rows
             token, pos, line, n = key >> 32, key & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             sizes = np.diff(np.append(starts, len(token)))
@@ -292,7 +312,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             back = 1
             while len(x):
                 y = x - back
-                fit = _may_match(n[x], pos[x], sig[x], n[y], pos[y], sig[y], threshold)
+                fit = _may_match(n[x], pos[x], (sig[x], sig2[x]), n[y], pos[y], (sig[y], sig2[y]), threshold)
                 fit &= (doc[x] != doc[y]) | (line[x] != line[y])
                 if fit.any():
                     a, b = x[fit], y[fit]
@@ -305,7 +325,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [np.asarray(c) for c in batch.columns]
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 new = [np.concatenate((a, b)) for a, b in zip(held, new)]
             token = new[0] >> 32
@@ -330,7 +350,20 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
         if held is not None and len(held[0]):
             yield from work(held)
 
-    return postings.mapInArrow(run, "key long, doc long, place long, sig long, doc2 long, place2 long")
+    return postings.mapInArrow(run, "key long, doc long, place long, sig long, sig2 long, wide array<long>, doc2 long, place2 long")
+
+
+def _band_width(threshold: float) -> float:
+    return max(2 * -math.log(threshold), 0.1)
+
+
+def _bands(n: Column, threshold: float, reach: bool = False) -> Column:
+    """The band of a size, or (``reach``) all bands of sizes that the length filter lets it meet."""
+    width = _band_width(threshold)
+    if not reach:
+        return F.floor(F.log(n) / width).cast("int")
+    low, high = ((F.log(n * F.lit(factor)) / width + slack) for factor, slack in ((threshold, -1e-6), (1 / threshold, 1e-6)))
+    return F.explode(F.sequence(F.floor(low).cast("int"), F.floor(high).cast("int")))
 
 
 def _texts_of(source: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -378,39 +411,51 @@ def repeated_lines(
     source = docs.select(column_named(docs, id_column).cast("long").alias("doc"), text_column(docs, text)).where("doc is not null")
     classes = frequent_tokens(source, lexicon_size, error)
     lines = stored(line_sets(source, classes, threshold), "lines")
+    member = F.struct("doc", "line", "n", "sig", "sig2", "wide", "prefix", "hot")
+    firsts = lines.groupBy("k1", "k2").agg(F.min(member).alias("first"), F.count("*").alias("copies"))
+    firsts = stored(firsts.select("k1", "k2", "copies", "first.*"), "line-classes")
     n_parts = partitions(docs.sparkSession)
     place = _packed("line", "n").alias("place")
-    cold = lines.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig").select(
-        _packed("token", "pos").alias("key"), "doc", "place", "sig"
+    cold = firsts.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig", "sig2", "wide").select(
+        _packed("token", "pos").alias("key"), "doc", "place", "sig", "sig2", "wide"
     )
     dealt = cold.repartition(n_parts, F.shiftright("key", 32)).sortWithinPartitions("key")
     found = stored(_short_lists(dealt, threshold), "line-pairs")
     hot = (
-        lines.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig")
+        firsts.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig", "sig2", "wide")
         .withColumn("pos", F.col("pos") + F.col("before"))
-        .select(_packed("token", "pos").alias("key"), "doc", "place", "sig")
+        .select(_packed("token", "pos").alias("key"), "doc", "place", "sig", "sig2", "wide")
     )
-    long = stored(_unpacked(found.where("doc2 is null").select(_POSTING).union(hot)), "line-lists")
-    member = ["doc", "line", "n", "pos", "sig"]
-    hubs = long.groupBy("token").agg(F.min(F.struct(*member)).alias("y")).select("token", "y.*")
-    condition = (F.col("x.token") == F.col("y.token")) & _earlier("y", "x") & _may_match_sql("x", "y", threshold)
+    long = _unpacked(found.where("doc2 is null").select(_POSTING).union(hot)).withColumn("band", _bands(F.col("n"), threshold))
+    long = stored(long, "line-lists")
+    listed = ["doc", "line", "n", "pos", "sig", "sig2", "wide"]
+    hubs = long.groupBy("token", "band").agg(F.min(F.struct(*listed)).alias("y"))
+    hubs = hubs.select("token", "y.*").withColumn("band", _bands(F.col("n"), threshold, reach=True))
     pair = [F.col("x.doc"), F.col("x.line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")]
-    to_hub = long.alias("x").join(hubs.alias("y"), condition).select(*pair)
+    widest = math.floor(math.log(_WIDE) / _band_width(threshold))  # arrays are compared outside generated code
+
+    def meeting(xs: DataFrame, ys: DataFrame) -> DataFrame:
+        found = []
+        for wide in (False, True):
+            x, y = (d.where(F.col("band") > widest if wide else F.col("band") <= widest) for d in (xs, ys))
+            same = (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band"))
+            found.append(x.alias("x").join(y.alias("y"), same & _earlier("y", "x") & _may_match_sql("x", "y", threshold, wide)).select(*pair))
+        return found[0].union(found[1])
+
+    to_hub = meeting(long, hubs)
     line_of = lambda c: F.shiftright(c, 32).cast("int")
     close = found.where("doc2 is not null").select("doc", line_of("place").alias("line"), "doc2", line_of("place2").alias("line2"))
     first = stored(close.union(to_hub).distinct(), "line-first")
     discard(found)
     matched = _verified(first, source, threshold)
-    open_lines = long.join(matched, ["doc", "line"], "left_anti")
-    rest = stored(open_lines.alias("x").join(long.alias("y"), condition).select(*pair).distinct(), "line-rest")
+    open_lines = long.join(matched, ["doc", "line"], "left_anti").withColumn("band", _bands(F.col("n"), threshold, reach=True))
+    rest = stored(meeting(open_lines, long).distinct(), "line-rest")
     discard(long)
     more = _verified(rest, source, threshold)
     gone = matched.union(more).distinct().withColumn("gone", F.lit(True))
     # A class is removed whole if its first line is, else all of it but that line.
-    first_of = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("copies"))
     judged = (
-        first_of.select("k1", "k2", "copies", F.col("first.doc").alias("doc"), F.col("first.line").alias("line"))
-        .join(gone, ["doc", "line"], "left")
+        firsts.join(gone, ["doc", "line"], "left")
         .where("gone or copies > 1")
         .select("k1", "k2", F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
     )

@@ -295,6 +295,21 @@ def test_line_dedup_hot_lists(spark, monkeypatch):
     assert got == brute_lines(dict(rows))
 
 
+def test_line_dedup_long_lines(spark):
+    """Long lists of long lines, whose bitmaps have two widths, around the threshold."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(600)]
+    rows = []
+    for i in range(220):
+        base = words[:145] if i % 2 else words[300:520]
+        line = [w if rng.random() > 0.055 else words[rng.integers(600)] for w in base]
+        rows.append((i, " ".join(line[: rng.integers(110, len(line) + 1)])))
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: set(r.removed) for r in line_dedup.repeated_lines(frame).collect()}
+    want = brute_lines(dict(rows))
+    assert 50 < len(want) < 215 and got == want
+
+
 def test_line_dedup_long_words(spark):
     """A Thue-Morse word and its mirror have one polynomial modulo 2**64, whatever the base."""
     bits = [bin(i).count("1") % 2 for i in range(4_096)]
