@@ -40,7 +40,7 @@ _BLOCK = 1 << 18
 _LONG_WORD = 64
 #: Lines of more words have a bitmap of their own length: 64 bits tell nothing of long lines.
 _WIDE = 64
-_LINE_FIELDS = "doc long, line int, n int, sig long, sig2 long, wide array<long>, k1 long, k2 long, prefix array<int>, hot array<int>"
+_LINE_FIELDS = "doc long, line int, n int, sig long, wide array<long>, k1 long, k2 long, prefix array<int>, hot array<int>"
 #: Base of the polynomial that stands for a word, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -158,7 +158,7 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
 
 
 def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], threshold: float) -> DataFrame:
-    """Every line with words: size, two parity bitmaps, 128-bit digest of its set of words, and the
+    """Every line with words: size, parity bitmap, 128-bit digest of its set of words, and the
     prefix of its rarest tokens, hot ones apart. A set that its task has met in an earlier line
     has none, nor has one too small to match another set."""
     shared = source.sparkSession.sparkContext.broadcast(classes)
@@ -192,7 +192,7 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
             docs = np.asarray(ids)[of_text[own]]
             number = number[own]
             plain = token.view(np.uint64)
-            sig, sig2 = (np.bitwise_xor.reduceat(np.uint64(1) << (plain >> np.uint64(at) & np.uint64(63)), starts).view(np.int64) for at in (0, 6))
+            sig = np.bitwise_xor.reduceat(np.uint64(1) << (plain & np.uint64(63)), starts).view(np.int64)
             k1, k2 = (np.add.reduceat(_mixed(plain, salt), starts).view(np.int64) for salt in (0x9E37, 0x85EB))
             wide: list[np.ndarray | None] = [None] * len(n)
             for i in np.flatnonzero(n > _WIDE).tolist():
@@ -219,10 +219,10 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
                 return pa.ListArray.from_arrays(pa.array(offsets), pa.array(token[mask].astype(np.uint32).view(np.int32)))
 
             columns = [
-                pa.array(docs, pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.array(sig2), pa.array(wide, pa.list_(pa.int64())),
+                pa.array(docs, pa.int64()), pa.array(number, pa.int32()), pa.array(n, pa.int32()), pa.array(sig), pa.array(wide, pa.list_(pa.int64())),
                 pa.array(k1), pa.array(k2), tokens(taken & ~hot), tokens(taken & hot),
             ]
-            return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "sig2", "wide", "k1", "k2", "prefix", "hot"])
+            return pa.RecordBatch.from_arrays(columns, ["doc", "line", "n", "sig", "wide", "k1", "k2", "prefix", "hot"])
 
         for batch in batches:
             for at, to in _blocks(batch.column(1)):
@@ -235,13 +235,12 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
 
 
 def _may_match(nx, px, sx, ny, py, sy, threshold: float):
-    """Length, positional and bitmap filter of arrays; ``sx`` and ``sy`` are both bitmaps."""
+    """Length, positional and bitmap filter; arrays of numbers, the last for numpy."""
     need = np.ceil(threshold / (1 + threshold) * (nx + ny) - 1e-9)
     return (
         (np.minimum(nx, ny) >= threshold * np.maximum(nx, ny) - 1e-9)
         & (np.minimum(nx - px, ny - py) >= need)
-        & (np.bitwise_count((sx[0] ^ sy[0]).view(np.uint64)) <= nx + ny - 2 * need)
-        & (np.bitwise_count((sx[1] ^ sy[1]).view(np.uint64)) <= nx + ny - 2 * need)
+        & (np.bitwise_count((sx ^ sy).view(np.uint64)) <= nx + ny - 2 * need)
     )
 
 
@@ -253,7 +252,6 @@ def _may_match_sql(x: str, y: str, threshold: float, wide: bool) -> Column:
         (F.least(f(x, "n"), f(y, "n")) >= threshold * F.greatest(f(x, "n"), f(y, "n")) - 1e-9)
         & (F.least(f(x, "n") - f(x, "pos"), f(y, "n") - f(y, "pos")) >= need)
         & (F.bit_count(f(x, "sig").bitwiseXOR(f(y, "sig"))) <= f(x, "n") + f(y, "n") - 2 * need)
-        & (F.bit_count(f(x, "sig2").bitwiseXOR(f(y, "sig2"))) <= f(x, "n") + f(y, "n") - 2 * need)
     )
     if not wide:
         return fit
@@ -269,7 +267,7 @@ def _earlier(y: str, x: str) -> Column:
 
 
 #: ``key`` holds the token and the place of it in the line, ``place`` the line and its size.
-_POSTING = ["key", "doc", "place", "sig", "sig2", "wide"]
+_POSTING = ["key", "doc", "place", "sig", "wide"]
 
 
 def _packed(high: str, low: str) -> Column:
@@ -280,7 +278,7 @@ def _unpacked(df: DataFrame) -> DataFrame:
     """Postings with a column for every value."""
     high, low = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
     return df.select(
-        high("key").alias("token"), "doc", high("place").alias("line"), low("place").alias("n"), low("key").alias("pos"), "sig", "sig2", "wide"
+        high("key").alias("token"), "doc", high("place").alias("line"), low("place").alias("n"), low("key").alias("pos"), "sig", "wide"
     )
 
 
@@ -299,7 +297,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, [*_POSTING, "doc2", "place2"])
 
         def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, doc, place, sig, sig2, _ = rows
+            key, doc, place, sig, _ = rows
             token, pos, line, n = key >> 32, key & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF
             starts = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
             sizes = np.diff(np.append(starts, len(token)))
@@ -312,7 +310,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             back = 1
             while len(x):
                 y = x - back
-                fit = _may_match(n[x], pos[x], (sig[x], sig2[x]), n[y], pos[y], (sig[y], sig2[y]), threshold)
+                fit = _may_match(n[x], pos[x], sig[x], n[y], pos[y], sig[y], threshold)
                 fit &= (doc[x] != doc[y]) | (line[x] != line[y])
                 if fit.any():
                     a, b = x[fit], y[fit]
@@ -350,7 +348,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
         if held is not None and len(held[0]):
             yield from work(held)
 
-    return postings.mapInArrow(run, "key long, doc long, place long, sig long, sig2 long, wide array<long>, doc2 long, place2 long")
+    return postings.mapInArrow(run, "key long, doc long, place long, sig long, wide array<long>, doc2 long, place2 long")
 
 
 def _band_width(threshold: float) -> float:
@@ -411,24 +409,25 @@ def repeated_lines(
     source = docs.select(column_named(docs, id_column).cast("long").alias("doc"), text_column(docs, text)).where("doc is not null")
     classes = frequent_tokens(source, lexicon_size, error)
     lines = stored(line_sets(source, classes, threshold), "lines")
-    member = F.struct("doc", "line", "n", "sig", "sig2", "wide", "prefix", "hot")
+    member = F.struct("doc", "line", "n", "sig", "wide", "prefix", "hot")
     firsts = lines.groupBy("k1", "k2").agg(F.min(member).alias("first"), F.count("*").alias("copies"))
     firsts = stored(firsts.select("k1", "k2", "copies", "first.*"), "line-classes")
+    members = stored(lines.select("k1", "k2", "doc", "line"), "line-members")
+    discard(lines)
     n_parts = partitions(docs.sparkSession)
     place = _packed("line", "n").alias("place")
-    cold = firsts.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig", "sig2", "wide").select(
-        _packed("token", "pos").alias("key"), "doc", "place", "sig", "sig2", "wide"
+    cold = firsts.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig", "wide").select(
+        _packed("token", "pos").alias("key"), "doc", "place", "sig", "wide"
     )
     dealt = cold.repartition(n_parts, F.shiftright("key", 32)).sortWithinPartitions("key")
     found = stored(_short_lists(dealt, threshold), "line-pairs")
     hot = (
-        firsts.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig", "sig2", "wide")
+        firsts.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig", "wide")
         .withColumn("pos", F.col("pos") + F.col("before"))
-        .select(_packed("token", "pos").alias("key"), "doc", "place", "sig", "sig2", "wide")
+        .select(_packed("token", "pos").alias("key"), "doc", "place", "sig", "wide")
     )
     long = _unpacked(found.where("doc2 is null").select(_POSTING).union(hot)).withColumn("band", _bands(F.col("n"), threshold))
-    long = stored(long, "line-lists")
-    listed = ["doc", "line", "n", "pos", "sig", "sig2", "wide"]
+    listed = ["doc", "line", "n", "pos", "sig", "wide"]
     hubs = long.groupBy("token", "band").agg(F.min(F.struct(*listed)).alias("y"))
     hubs = hubs.select("token", "y.*").withColumn("band", _bands(F.col("n"), threshold, reach=True))
     pair = [F.col("x.doc"), F.col("x.line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")]
@@ -446,11 +445,10 @@ def repeated_lines(
     line_of = lambda c: F.shiftright(c, 32).cast("int")
     close = found.where("doc2 is not null").select("doc", line_of("place").alias("line"), "doc2", line_of("place2").alias("line2"))
     first = stored(close.union(to_hub).distinct(), "line-first")
-    discard(found)
     matched = _verified(first, source, threshold)
     open_lines = long.join(matched, ["doc", "line"], "left_anti").withColumn("band", _bands(F.col("n"), threshold, reach=True))
     rest = stored(meeting(open_lines, long).distinct(), "line-rest")
-    discard(long)
+    discard(found)
     more = _verified(rest, source, threshold)
     gone = matched.union(more).distinct().withColumn("gone", F.lit(True))
     # A class is removed whole if its first line is, else all of it but that line.
@@ -459,7 +457,7 @@ def repeated_lines(
         .where("gone or copies > 1")
         .select("k1", "k2", F.col("doc").alias("first_doc"), F.col("line").alias("first_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
     )
-    removed = lines.join(judged, ["k1", "k2"]).where("gone or doc <> first_doc or line <> first_line")
+    removed = members.join(judged, ["k1", "k2"]).where("gone or doc <> first_doc or line <> first_line")
     return removed.groupBy(F.col("doc").alias(id_column)).agg(F.array_sort(F.collect_set("line")).alias("removed"))
 
 
