@@ -352,7 +352,9 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
 
 
 def _band_width(threshold: float) -> float:
-    return max(2 * -math.log(threshold), 0.1)
+    """Logarithm of the sizes' ratio in a band: three times what the length filter lets meet, so
+    that two of three sizes meet their own band only."""
+    return max(6 * -math.log(threshold), 0.1)
 
 
 def _bands(n: Column, threshold: float, reach: bool = False) -> Column:
@@ -436,7 +438,7 @@ def repeated_lines(
     def meeting(xs: DataFrame, ys: DataFrame) -> DataFrame:
         found = []
         for wide in (False, True):
-            x, y = (d.where(F.col("band") > widest if wide else F.col("band") <= widest) for d in (xs, ys))
+            x, y = (d.where(F.col("band") >= widest if wide else F.col("band") < widest) for d in (xs, ys))
             same = (F.col("x.token") == F.col("y.token")) & (F.col("x.band") == F.col("y.band"))
             found.append(x.alias("x").join(y.alias("y"), same & _earlier("y", "x") & _may_match_sql("x", "y", threshold, wide)).select(*pair))
         return found[0].union(found[1])
