@@ -11,6 +11,7 @@ from refinery.operators.profile_state import STATE_DDL, profile_of, profile_stat
 from refinery.operators.rules import summarise
 from refinery.operators.validate import ValidationFailed, close_gate, run_validation
 from refinery.plans import incidents
+from refinery.plans.kpi_state import add_to_kpis, kpis_of
 from refinery.plans.quality import QualityGateClosed
 from refinery.queries import literal_rows, new_table, query, table
 from refinery.queries.enrichment import SETTINGS, SILVER_SQL, raw_incidents, raw_persons, raw_services, without_zone
@@ -204,3 +205,52 @@ def profile_merged(spark, folder):
         "column", "rows", "nulls", (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact") + 1).alias("distinct_close"),
         "low", "high", F.round("avg", 4).alias("avg"), F.round("stddev", 4).alias("stddev"),
     )
+
+
+_KEPT = (
+    ("company_profit_kpi", "(r - c) / r", "NULL"), ("product_profit_kpi", "(r - c) / r", "NOT NULL"),
+    ("inventory_efficient_kpi", "i / r", "NOT NULL"), ("shipping_cost_impact_kpi", "s / r", "NULL"),
+    ("product_shipping_cost_kpi", "s / r", "NOT NULL"), ("on_time_delivery_kpi", "t", "NULL"),
+    ("product_on_time_delivery_kpi", "t", "NOT NULL"),
+)
+
+
+@query(
+    """
+WITH tx AS (
+  SELECT p_type AS product_type, l_extendedprice * (1 - l_discount) AS revenue, l_extendedprice * NULLIF(l_tax, 0) AS shipping,
+         p_retailprice * l_quantity * 0.6::DOUBLE AS making, p_size AS stock,
+         CASE WHEN l_tax > 0 AND date_diff('day', o_orderdate, l_shipdate) <= 30 THEN 1 ELSE 0 END AS in_time
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey),
+sums AS (
+  SELECT product_type, SUM(revenue) AS r, SUM(making + shipping) AS c, SUM(shipping) AS s, SUM(stock * making) AS i, AVG(in_time) AS t
+  FROM tx GROUP BY GROUPING SETS ((product_type), ()))
+"""
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS kpi, product_type, ROUND({value}, 6) AS value FROM sums WHERE product_type IS {test}"
+        for name, value, test in _KEPT
+    )
+)
+def kpi_after_two_batches(spark, folder):
+    """The seven KPIs from kept sums: one batch lands, another in part and then once more as a whole."""
+    line, part, orders = (table(spark, folder, n) for n in ("lineitem", "part", "orders"))
+    rows = line.join(part, F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = rows.select(
+        F.col("l_linenumber").alias("number"),
+        F.col("p_type").alias("product_type"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue_generated"),
+        (F.col("p_retailprice") * F.col("l_quantity") * 0.6).alias("manufacturing_costs"),
+        (F.col("l_extendedprice") * F.nullif("l_tax", F.lit(0.0))).alias("shipping_costs"),
+        F.col("p_size").alias("stock_levels"),
+        F.date_diff("l_shipdate", "o_orderdate").alias("shipping_times"),
+        F.when(F.col("l_tax") > 0, F.lit(30)).alias("lead_time"),
+    )
+    states = new_table(spark, "kpi_states")
+    for batch, chosen in (("a", "number <= 2"), ("b", "number = 4"), ("b", "number > 2")):
+        add_to_kpis(rows.where(chosen), states, batch)
+    found = None
+    for name, kpi in kpis_of(spark.table(states)).items():
+        product = F.col("product_type") if "product_type" in kpi.columns else F.lit(None).cast("string")
+        shown = kpi.select(F.lit(name).alias("kpi"), product.alias("product_type"), F.round(kpi.columns[-1], 6).alias("value"))
+        found = shown if found is None else found.unionByName(shown)
+    return found

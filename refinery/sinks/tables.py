@@ -359,6 +359,14 @@ def _overwrite_partitions(
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
 
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that rows of ``df`` fall into; the others stay as they are."""
+    spark = df.sparkSession
+    columns = [column(c) for c in spark.table(table).columns]
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        df.select(*columns).write.mode("overwrite").insertInto(table)
+
+
 def _partitions_of_keys(target: DataFrame, fresh: DataFrame, keys: list[str], parts: list[str]) -> list[Row]:
     """Partitions that hold a row of an updated key."""
     names = [f"__key_{i}" for i in range(len(keys))]
