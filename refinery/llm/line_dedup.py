@@ -11,9 +11,9 @@ filter), places of the shared token (positional filter) or parity bitmaps rule a
 dropped; the rest is verified on the words.
 
 Only the existence of an earlier match matters, so long lists of lines with one token are not
-paired. They are cut into bands of sizes, and only bands that the length filter lets meet do:
-each line is first verified against the earliest line of a band, and only lines without a match
-so far are compared with the rest of it.
+paired: each line is first verified against the earliest line of the list, and only lines
+without a match so far are compared with the rest of it, in bands of sizes of which only those
+meet that the length filter lets meet.
 """
 
 from __future__ import annotations
@@ -244,6 +244,14 @@ def _may_match(nx, px, sx, ny, py, sy, threshold: float):
     )
 
 
+def _unlike(a: np.ndarray, b: np.ndarray) -> int:
+    """Bits in which two bitmaps of long lines differ; the wider one is folded."""
+    while len(a) != len(b):
+        a, b = (a, b) if len(a) > len(b) else (b, a)
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count((a ^ b).view(np.uint64)).sum())
+
+
 def _may_match_sql(x: str, y: str, threshold: float, wide: bool) -> Column:
     """The same filters of joined rows; with ``wide`` also that of the bitmaps of long lines."""
     f = lambda s, c: F.col(f"{s}.{c}")
@@ -284,11 +292,13 @@ def _unpacked(df: DataFrame) -> DataFrame:
 
 def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
     """Pairs of lines from lists of up to SHORT lines, the later line first; longer lists row by
-    row, without partner. ``postings`` come ordered by key."""
+    row, without partner, and every line of them once more with the earliest line if they may
+    match. ``postings`` come ordered by token and line."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         open_token = None  # of a list that is known to be long while it goes on
+        hub: list = []  # the earliest line of that list
 
         def emit(rows: list[np.ndarray], doc2: np.ndarray | None = None, place2: np.ndarray | None = None) -> pa.RecordBatch:
             columns = [pa.array(c) for c in rows[:-1]] + [pa.array(rows[-1], pa.list_(pa.int64()))]
@@ -296,6 +306,21 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             columns.append(pa.nulls(len(rows[0]), pa.int64()) if place2 is None else pa.array(place2))
             return pa.RecordBatch.from_arrays(columns, [*_POSTING, "doc2", "place2"])
 
+        def listed(rows: list[np.ndarray], first: list) -> Iterator[pa.RecordBatch]:
+            """Rows of one long list, and those that may match its first line."""
+            yield emit(rows)
+            key, doc, place, sig, wide = rows
+            n, hub_n = place & 0xFFFFFFFF, int(first[2]) & 0xFFFFFFFF
+            fit = _may_match(n, key & 0xFFFFFFFF, sig, hub_n, int(first[0]) & 0xFFFFFFFF, first[3], threshold)
+            fit &= (doc != first[1]) | (place != first[2])
+            if hub_n > _WIDE:
+                need = np.ceil(threshold / (1 + threshold) * (n + hub_n) - 1e-9)
+                for i in np.flatnonzero(fit & (n > _WIDE)).tolist():
+                    fit[i] = _unlike(wide[i], first[4]) <= n[i] + hub_n - 2 * need[i]
+            if fit.any():
+                same = int(fit.sum())
+                yield emit([c[fit] for c in rows], np.full(same, first[1]), np.full(same, first[2]))
+
         def work(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, doc, place, sig, _ = rows
             token, pos, line, n = key >> 32, key & 0xFFFFFFFF, place >> 32, place & 0xFFFFFFFF
@@ -304,8 +329,8 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             size = np.repeat(sizes, sizes)
             rank = np.arange(len(token)) - np.repeat(starts, sizes)
             long = size > SHORT
-            if long.any():
-                yield emit([c[long] for c in rows])
+            for at, many in zip(starts[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
+                yield from listed([c[at : at + many] for c in rows], [c[at] for c in rows])
             x = np.flatnonzero(~long & (rank > 0))
             back = 1
             while len(x):
@@ -330,7 +355,7 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             if open_token is not None:
                 more = int(np.searchsorted(token, open_token, "right"))
                 if more:
-                    yield emit([c[:more] for c in new])
+                    yield from listed([c[:more] for c in new], hub)
                     new = [c[more:] for c in new]
                     token = token[more:]
             if not len(token):
@@ -339,7 +364,8 @@ def _short_lists(postings: DataFrame, threshold: float) -> DataFrame:
             last = int(np.searchsorted(token, token[-1]))  # the last list may go on
             open_token = token[-1] if len(token) - last > SHORT else None
             if open_token is not None:
-                yield emit([c[last:] for c in new])
+                hub = [c[last] for c in new]
+                yield from listed([c[last:] for c in new], hub)
                 held = None
             else:
                 held = [c[last:] for c in new]
@@ -421,16 +447,17 @@ def repeated_lines(
     cold = firsts.select(F.posexplode("prefix").alias("pos", "token"), "doc", place, "sig", "wide").select(
         _packed("token", "pos").alias("key"), "doc", "place", "sig", "wide"
     )
-    dealt = cold.repartition(n_parts, F.shiftright("key", 32)).sortWithinPartitions("key")
+    dealt = cold.repartition(n_parts, F.shiftright("key", 32)).sortWithinPartitions(F.shiftright("key", 32), "doc", "place")
     found = stored(_short_lists(dealt, threshold), "line-pairs")
     hot = (
         firsts.select(F.posexplode("hot").alias("pos", "token"), F.size("prefix").alias("before"), "doc", place, "sig", "wide")
         .withColumn("pos", F.col("pos") + F.col("before"))
         .select(_packed("token", "pos").alias("key"), "doc", "place", "sig", "wide")
     )
-    long = _unpacked(found.where("doc2 is null").select(_POSTING).union(hot)).withColumn("band", _bands(F.col("n"), threshold))
+    banded = lambda postings: _unpacked(postings).withColumn("band", _bands(F.col("n"), threshold))
+    long, hottest = banded(found.where("doc2 is null").select(_POSTING).union(hot)), banded(hot)
     listed = ["doc", "line", "n", "pos", "sig", "wide"]
-    hubs = long.groupBy("token", "band").agg(F.min(F.struct(*listed)).alias("y"))
+    hubs = hottest.groupBy("token", "band").agg(F.min(F.struct(*listed)).alias("y"))
     hubs = hubs.select("token", "y.*").withColumn("band", _bands(F.col("n"), threshold, reach=True))
     pair = [F.col("x.doc"), F.col("x.line"), F.col("y.doc").alias("doc2"), F.col("y.line").alias("line2")]
     widest = math.floor(math.log(_WIDE) / _band_width(threshold))  # arrays are compared outside generated code
@@ -443,7 +470,7 @@ def repeated_lines(
             found.append(x.alias("x").join(y.alias("y"), same & _earlier("y", "x") & _may_match_sql("x", "y", threshold, wide)).select(*pair))
         return found[0].union(found[1])
 
-    to_hub = meeting(long, hubs)
+    to_hub = meeting(hottest, hubs)
     line_of = lambda c: F.shiftright(c, 32).cast("int")
     close = found.where("doc2 is not null").select("doc", line_of("place").alias("line"), "doc2", line_of("place2").alias("line2"))
     first = stored(close.union(to_hub).distinct(), "line-first")
