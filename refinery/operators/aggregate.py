@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +18,80 @@ def rows() -> Column:
 def dataset_summary(
     df: DataFrame, distinct: Sequence[str], date: str, total: str = "total"
 ) -> DataFrame:
-    """One row: row count, exact distinct count per column, first and last date."""
-    return df.agg(
-        rows().alias(total),
-        *[F.count_distinct(column(c)).alias(f"{c}_cnt") for c in distinct],
-        F.min(column(date)).alias("earliest"),
-        F.max(column(date)).alias("latest"),
+    """One row: row count, exact distinct count per column, first and last date.
+
+    Rows are first combined by all the columns together, so that what is repeated per column
+    is a combination that occurs, not a row.
+    """
+    day, n = F.col("__date"), F.col("__n")
+    values = [F.col(f"__v{i}") for i in range(len(distinct))]
+    taken = df.select(
+        *[column(c).alias(f"__v{i}") for i, c in enumerate(distinct)], column(date).alias("__date")
+    )
+    cells = taken.groupBy(*values).agg(
+        rows().alias("__n"), F.min(day).alias("__from"), F.max(day).alias("__to")
     )
+    kinds = {c: taken.schema[c].dataType for c in taken.columns}
+
+    def share_of(i: int) -> Column:
+        """The combination as a row of column ``i``; the first one carries the other figures."""
+        held = [
+            (F.col(f"__v{k}") if k == i else F.lit(None).cast(kinds[f"__v{k}"])).alias(f"__v{k}")
+            for k in range(len(distinct))
+        ]
+        return F.struct(F.lit(i).alias("__i"), *held, (n if i == 0 else F.lit(0).cast("long")).alias("__n"))
+
+    listed = cells.select(
+        "__from", "__to", F.inline(F.array(*[share_of(i) for i in range(max(len(distinct), 1))]))
+    )
+    found = listed.groupBy("__i", *values).agg(
+        F.sum(n).alias("__n"), F.min("__from").alias("__from"), F.max("__to").alias("__to")
+    )
+    return found.agg(
+        F.coalesce(F.sum(n), F.lit(0).cast("long")).alias(total),
+        *[F.count(values[i]).alias(f"{c}_cnt") for i, c in enumerate(distinct)],
+        F.min("__from").alias("earliest"),
+        F.max("__to").alias("latest"),
+    )
+
+
+def count_panels(df: DataFrame, panels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Counts of many panels from one scan: ``panel``, the columns of all panels, ``count``.
+
+    ``panels`` names the columns that each panel counts by; none gives the number of rows. A
+    column that a panel does not count by is null there. Rows are first combined by all the
+    columns together, so that the grouping sets repeat combinations, not rows. An empty frame
+    gives no counts.
+    """
+    keys = {p: known(df, k, used_by="count_panels", strict=True) for p, k in panels.items()}
+    names = list(dict.fromkeys(c for own in keys.values() for c in own))
+    cells = df.groupBy(*[column(c) for c in names]).agg(rows().alias("__n"))
+    # The number that Spark gives a set has a bit for each column left out, the first the highest.
+    # Panels that count by the same columns are one set, listed under each name.
+    sets: dict[int, list[str]] = {}
+    for panel, own in keys.items():
+        left_out = sum(1 << (len(names) - 1 - i) for i, c in enumerate(names) if c not in own)
+        sets.setdefault(left_out, []).append(panel)
+    if names:
+        counted = cells.groupingSets(
+            [[column(c) for c in keys[same[0]]] for same in sets.values()], *[column(c) for c in names]
+        ).agg(
+            F.grouping_id().alias("__set"),
+            F.sum("__n").alias("count"),
+        )
+    else:
+        counted = cells.where("__n > 0").select(F.lit(0).alias("__set"), F.col("__n").alias("count"))
+    label = F.element_at(
+        F.create_map(*[x for number, same in sets.items() for x in (F.lit(number).cast("long"), F.array(*[F.lit(p) for p in same]))]),
+        F.col("__set").cast("long"),
+    )
+    return counted.select(F.explode(label).alias("panel"), *[column(c) for c in names], "count")
+
+
+def panel_counts(counts: DataFrame, panels: Mapping[str, Sequence[str]], panel: str) -> DataFrame:
+    """The counts of one panel of ``count_panels`` by its own columns."""
+    keys = known(counts, panels[panel], used_by="panel_counts", strict=True)
+    return counts.where(F.col("panel") == panel).select(*[column(c) for c in keys], "count")
 
 
 def count_by(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from refinery.functions.columns import column
 from refinery.operators.aggregate import (
     completeness,
     count_by,
+    count_panels,
     counted_ratio,
     crosstab,
     dataset_summary,
@@ -47,6 +48,25 @@ def overview(gold: DataFrame) -> DataFrame:
     )
 
 
+#: The count panels, and what their shares are taken of.
+COUNT_PANELS = {
+    "tickets": (),
+    "volume": ("OC",),
+    "status": ("OC", "ticket_status"),
+    "priority": ("priority", "OC"),
+    "subcategories": ("OC", "subcategory"),
+    "countries": ("OC", "country_program"),
+    "urgency_by_priority": ("OC", "urgency", "priority"),
+    "trend": ("OC", "month"),
+}
+
+
+def counts_at_once(gold: DataFrame, panels: Mapping[str, Sequence[str]] = COUNT_PANELS) -> DataFrame:
+    """All count panels, totals included, from one scan; ``month`` is that of the creation."""
+    by_month = gold.withColumn("month", F.date_trunc("month", "created_date"))
+    return count_panels(by_month, panels)
+
+
 def comparison(gold: DataFrame, centres: Sequence[str]) -> dict[str, DataFrame]:
     """Side by side: volume with share, status split, priority and urgency per centre."""
     return {

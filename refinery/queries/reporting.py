@@ -19,7 +19,7 @@ from refinery.operators.aggregate import (
     top_k as most_frequent,
 )
 from refinery.plans import kpis
-from refinery.plans.panels import filled_values
+from refinery.plans.panels import COUNT_PANELS, counts_at_once, filled_values
 from refinery.queries import query
 from refinery.queries.profiling import rounded
 from refinery.queries.standins import (
@@ -120,6 +120,25 @@ def monthly_trend(spark, folder):
     return trend_of(own, "created_date").withColumn("month", F.col("month").cast("timestamp_ntz"))
 
 
+# The stand-in has no urgency; its status takes that place.
+PANELS = COUNT_PANELS | {"urgency_by_priority": ("OC", "status", "priority")}
+_PANEL_KEYS = list(dict.fromkeys(c for keys in PANELS.values() for c in keys))
+
+
+def _panel_sql(panel, keys):
+    cells = ", ".join(f'{"" if c in keys else "NULL AS "}"{c}"' for c in _PANEL_KEYS)
+    return f"SELECT '{panel}' AS panel, {cells}, COUNT(*) AS count FROM dated GROUP BY ALL"
+
+
+@ticket_sql(
+    ", dated AS (SELECT *, CAST(date_trunc('month', created_date) AS TIMESTAMP) AS month FROM tickets) "
+    + " UNION ALL ".join(_panel_sql(p, k) for p, k in PANELS.items())
+)
+def panels_one_scan(spark, folder):
+    """Every count panel as grouping sets over the combinations that occur."""
+    return counts_at_once(tickets(spark, folder), PANELS).withColumn("month", F.col("month").cast("timestamp_ntz"))
+
+
 FIELDS = ["category", "subcategory", "priority", "ticket_status", "country_program", "job_title"]
 
 

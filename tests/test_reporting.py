@@ -10,11 +10,14 @@ from refinery.functions.columns import UnknownColumnWarning
 from refinery.operators.aggregate import (
     completeness,
     count_by,
+    count_panels,
     counted_ratio,
     crosstab,
+    dataset_summary,
     field_inventory,
     field_states,
     monthly_trend,
+    panel_counts,
     shares,
     top_k,
 )
@@ -276,6 +279,35 @@ def test_crosstab_has_zeros_and_no_null_column(gold):
     assert rows(fixed) == [("A", 1, 0), ("B", 1, 0)]
 
 
+def test_summary_counts_distinct_values_without_repeating_rows(spark, tmp_path):
+    data = [(1.0, "a", 3), (-0.0, "a", None), (0.0, None, 5), (None, "", 4), (float("nan"), "b", None), (float("nan"), "b", 9)]
+    df = spark.createDataFrame(data, "x double, `y.z` string, d int")
+    assert [tuple(r) for r in dataset_summary(df, ["x", "y.z"], "d").collect()] == [(6, 3, 3, 3, 9)]
+    assert [tuple(r) for r in dataset_summary(df.limit(0), ["x"], "d").collect()] == [(0, 0, None, None)]
+    assert [tuple(r) for r in dataset_summary(df, [], "d").collect()] == [(6, 3, 9)]
+    df.write.parquet(str(tmp_path / "t"))
+    stored = dataset_summary(spark.read.parquet(str(tmp_path / "t")), ["x", "y.z", "d"], "d")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.count("FileScan") == 1
+
+
+def test_count_panels_agree_with_single_counts_and_scan_once(spark, gold, tmp_path):
+    wanted = {"all": (), "by_oc": ("OC",), "again": ("oc",), "cells": ("ticket_status", "OC")}
+    counts = count_panels(gold, wanted)
+    assert counts.columns == ["panel", "OC", "ticket_status", "count"]
+    assert rows(panel_counts(counts, wanted, "by_oc")) == rows(count_by(gold, "OC"))
+    assert rows(panel_counts(counts, wanted, "again")) == rows(count_by(gold, "OC"))
+    assert rows(panel_counts(counts, wanted, "cells")) == rows(count_by(gold, ["ticket_status", "OC"]))
+    assert rows(panel_counts(counts, wanted, "all")) == [(gold.count(),)]
+    assert rows(count_panels(gold.limit(0), wanted)) == rows(count_panels(gold.limit(0), {"all": ()})) == []
+    assert rows(count_panels(gold, {"all": ()})) == [("all", gold.count())]
+    with pytest.raises(ValueError, match="nowhere"):
+        count_panels(gold, {"p": ("nowhere",)})
+    gold.withColumn("country_program", F.lit("x")).write.parquet(str(tmp_path / "gold"))
+    plan = panels.counts_at_once(spark.read.parquet(str(tmp_path / "gold")))
+    assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
 def test_shares(gold):
     assert {r["OC"]: round(r["share"], 6) for r in shares(gold, "OC").collect()} == {"A": 60.0, "B": 20.0, None: 20.0}
     within = shares(gold, "ticket_status", "OC")
