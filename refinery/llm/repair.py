@@ -14,57 +14,55 @@ _SLOTS = 1 << 17
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _occurrences(keys: np.ndarray, within: np.ndarray, pairs: int, least: int):
-    """Where frequent pairs stand, which of them stands there, and the pairs.
+def _frequent(keys: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where keys stand that occur ``least`` times or more, which of them, and those keys.
 
-    Pairs are counted in slots by a hash; a slot that counts much stands for one of its pairs,
-    which then is counted exactly.
+    Keys are counted in slots by a hash first, so that only those of full slots are sorted.
     """
     slot = ((keys * _MIX) >> np.uint64(47)).astype(np.int32)
-    slot[~within] = _SLOTS
-    counts = np.bincount(slot, minlength=_SLOTS + 1)
-    counts[_SLOTS] = 0
-    top = np.argpartition(counts, len(counts) - pairs)[-pairs:]
-    top = top[counts[top] >= least]
-    number = np.full(_SLOTS + 1, -1, np.int32)
-    number[top] = np.arange(len(top), dtype=np.int32)
-    found = number[slot]
-    at = np.flatnonzero(found >= 0)
-    which, held = found[at], keys[at]
-    pair = np.zeros(len(top), np.uint64)
-    pair[which] = held
-    exact = pair[which] == held
-    exact &= (np.bincount(which[exact], minlength=len(top)) >= least)[which]
-    return at[exact], which[exact], pair
-
-
-def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, rounds: int = 3, pairs: int = 1_024, least: int = 6):
+    at = np.flatnonzero((np.bincount(slot, minlength=_SLOTS) >= least)[slot])
+    held = keys[at]
+    ordered = np.sort(held)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1]))) if len(ordered) else np.empty(0, np.int64)
+    often = ordered[first[np.diff(first, append=len(ordered)) >= least]]
+    if not len(often):
+        return at[:0], at[:0], often
+    which = np.minimum(np.searchsorted(often, held), len(often) - 1)
+    exact = often[which] == held
+    return at[exact], which[exact], often
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, first_rule: int, least: int = 6):
     """``ids`` of several documents, which end before the positions ``ends``, as symbols.
 
-    Each round replaces up to ``pairs`` pairs that occur ``least`` times or more, from left to
-    right, never across documents. Symbols from ``first_rule`` on are nonterminals. Returns
-    the symbols, the ends of the documents among them, and the rules as rows (left, right).
+    Each round replaces all pairs that occur ``least`` times or more, from left to right, never
+    across documents, until no pair of the block occurs so often. Symbols from ``first_rule`` on
+    are nonterminals. Returns the symbols, the ends of the documents among them, and the rules
+    as rows (left, right).
+
+    A round leaves no occurrence of a pair that it replaces: those not taken overlap with one
+    that is. So the next round only looks at pairs with a nonterminal of the last one.
     """
     symbols, ends = ids.astype(np.uint32), np.asarray(ends, np.int64)
-    rules = np.empty((0, 2), np.uint32)
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        keys = (symbols[:-1].astype(np.uint64) << _SHIFT) | symbols[1:]
-        within = np.ones(len(keys), bool)
-        last = ends[(ends > 0) & (ends < len(symbols))] - 1
-        within[last] = False
-        at, rank, chosen = _occurrences(keys, within, pairs, least)
-        if not len(at):
+    rules, newest = np.empty((0, 2), np.uint32), 0
+    while len(symbols) > 1:
+        new = symbols >= newest
+        pairs = new[:-1] | new[1:]
+        pairs[ends[(ends > 0) & (ends < len(symbols))] - 1] = False
+        at = np.flatnonzero(pairs)
+        found, rank, chosen = _frequent((symbols[at].astype(np.uint64) << _SHIFT) | symbols[at + 1], least)
+        if not len(found):
             break
+        at = at[found]
         # In a run of overlapping pairs every second one is taken.
         opens = np.concatenate(([True], np.diff(at) != 1))
         run = np.maximum.accumulate(np.where(opens, np.arange(len(at)), 0))
         taken = (np.arange(len(at)) - run) % 2 == 0
         at, rank = at[taken], rank[taken]
-        used, rank = np.unique(rank, return_inverse=True)
+        used = np.bincount(rank, minlength=len(chosen)) > 0
+        newest = first_rule + len(rules)
         symbols = symbols.copy()
-        symbols[at] = first_rule + len(rules) + rank
+        symbols[at] = newest + (np.cumsum(used) - 1)[rank]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         ends = ends - np.searchsorted(at, ends - 1)

@@ -39,8 +39,20 @@ _SCHEMA = (
     "ends array<long>, symbols binary, rules binary, lengths binary"
 )
 _NAMES = ["part", "ordinal", "before", "first_rule", "doc_ids", "n_tokens", "ends", "symbols", "rules", "lengths"]
-#: Marks after a word that are tokens of their own.
-_MARKS = frozenset(".,!?")
+#: Marks that may follow a word; an apostrophe may belong to it.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+class _Pieces(dict):
+    """Ids of pieces, encoded when they are first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self[piece] = self.encode(piece)
+        return ids
 
 
 class PieceEncoder:
@@ -57,7 +69,8 @@ class PieceEncoder:
         self.library.no_padding()
         self.size = self.library.get_vocab_size()
         self.added = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
-        self.known: dict[str, bytes] = {}
+        self.known = _Pieces(self._piece)
+        self.apart: dict[str, bool] = {}
         normal = self.library.normalizer.normalize_str("A \t b C") if self.library.normalizer else ""
         self._merge = self._word_merges(json.loads(data))
         self.by_piece = normal == "a b c" and not self.library.encode("a ", add_special_tokens=False).ids[1:]
@@ -86,43 +99,39 @@ class PieceEncoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        if len(known) > REMEMBERED:
-            self.known = known = earliest(known)
-        bare = {}
-        for p in pieces:
-            word = p[:-1] if p[-1] in _MARKS and p[:-1].isalpha() else p
-            bare[p] = word.lower() if word.isalpha() and max(word) <= "\xff" else word
-        new = []
-        for w in {*bare.values(), *(p[-1] for p in pieces if p[-1] in _MARKS)}:
-            if w not in known:
-                if self._merge and w.isalpha() and max(w) <= "\xff" and w.islower():
-                    known[w] = array("I", self._merge(w.encode() + b"\xff")).tobytes()
-                else:
-                    new.append(w)
-        for at in range(0, len(new), 4_096):
-            part = new[at : at + 4_096]
-            for word, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(found.ids, "<u4").tobytes()
-        for p, word in bare.items():
-            if p not in known:
-                known[p] = known[word] if len(word) == len(p) else known[word] + known[p[-1]]
+    def _is_apart(self, marks: str) -> bool:
+        """Whether the library cuts between a word and the ``marks`` after it."""
+        if marks not in self.apart:
+            cut = self.library.pre_tokenizer.pre_tokenize_str("a" + marks) if self.library.pre_tokenizer else []
+            self.apart[marks] = bool(cut) and cut[0][1] == (0, 1)
+        return self.apart[marks]
+
+    def _piece(self, piece: str) -> bytes:
+        word = piece.rstrip(_MARKS)
+        if len(word) < len(piece) and word.isalpha() and self._is_apart(piece[len(word) :]):
+            return self.known[word] + self.known[piece[len(word) :]]
+        if self._merge and word == piece and word.isalpha() and max(word) <= "\xff":
+            small = word.lower()
+            if small != word:
+                return self.known[small]
+            if word.islower():
+                return array("I", self._merge(word.encode() + b"\xff")).tobytes()
+        return self._whole(piece)
+
+    def _by_piece(self, text: str) -> bool:
+        if not self.by_piece or any(a in text for a in self.added) or any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            return False
+        # The first byte of all characters before U+0240 is 0xC8 at most.
+        return text.isascii() or np.frombuffer(text.encode(), np.uint8).max() <= 0xC8
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        split = []
+        out = []
         for text in texts:
-            odd = not self.by_piece or any(a in text for a in self.added) or (text and max(text) > "ɏ")
-            split.append(None if odd or any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split())
-        known = self.known
-        missing = {p for pieces in split if pieces for p in pieces if p not in known}
-        if missing:
-            self._learn(missing)
-            if self.known is not known:  # it was emptied in part
-                known = self.known
-                self._learn({p for pieces in split if pieces for p in pieces if p not in known})
-        known = self.known
-        return [self._whole(t) if s is None else b"".join([known[p] for p in s]) for t, s in zip(texts, split)]
+            if len(self.known) > REMEMBERED:
+                kept, self.known = earliest(self.known), _Pieces(self._piece)
+                self.known.update(kept)
+            out.append(b"".join(map(self.known.__getitem__, text.split())) if self._by_piece(text) else self._whole(text))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -138,7 +147,6 @@ def write_token_files(
     tokenizer: str = "word_bpe_49k.json",
     end_id: int = 2,
     block: int = BLOCK,
-    rounds: int = 3,
 ) -> None:
     """Writes every row's ids, ``end_id`` after each, to ``path`` in ascending order of ids.
 
@@ -164,7 +172,7 @@ def write_token_files(
         def flush() -> pa.RecordBatch:
             stream = np.frombuffer(b"".join(held), "<u4")
             n = np.array([len(h) // 4 for h in held], np.int64)
-            symbols, ends, rules = repair.compress(stream, np.cumsum(n), first_rule, rounds)
+            symbols, ends, rules = repair.compress(stream, np.cumsum(n), first_rule)
             lengths = repair.expansion_lengths(rules, first_rule)
             row = [
                 pa.array([part], pa.int32()), pa.array([ordinal], pa.int32()), pa.array([before], pa.int64()),

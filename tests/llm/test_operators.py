@@ -225,7 +225,7 @@ def test_repair_round_trip(seed):
     rng = np.random.default_rng(seed)
     ids = rng.choice(50, 20_000, p=np.arange(1, 51)[::-1] / 1275).astype(np.uint32)
     ends = np.unique(np.append(rng.choice(20_000, 50), 20_000))
-    symbols, placed, rules = repair.compress(ids, ends, 100, rounds=3, pairs=64, least=4)
+    symbols, placed, rules = repair.compress(ids, ends, 100, least=4)
     assert len(symbols) < len(ids) and len(rules)
     assert np.array_equal(repair.decompress(symbols, rules, 100), ids)
     lengths = repair.expansion_lengths(rules, 100)
@@ -239,6 +239,40 @@ def test_repair_round_trip(seed):
         assert np.array_equal(repair.decompress(*[repair.compress(few, [len(few)], 100)[i] for i in (0, 2)], 100), few)
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_repair_leaves_no_frequent_pair(seed):
+    rng = np.random.default_rng(seed)
+    ids = rng.integers(0, 2 + seed % 7, 3_000).astype(np.uint32)
+    ends = np.unique(np.append(rng.choice(3_000, 20), 3_000))
+    symbols, placed, rules = repair.compress(ids, ends, 10, least=3)
+    assert np.array_equal(repair.decompress(symbols, rules, 10), ids)
+    left = Counter()
+    for a, b in zip([0, *placed], placed):
+        left.update(zip(symbols[a : b - 1].tolist(), symbols[a + 1 : b].tolist()))
+    assert max(left.values(), default=0) < 3
+
+
+def test_repair_replaces_a_repeated_passage_whole():
+    ids = np.tile(np.arange(64, dtype=np.uint32), 1_000)
+    symbols, _, rules = repair.compress(ids, [len(ids)], 100)
+    assert len(symbols) < 10 and len(rules) < 100
+    assert np.array_equal(repair.decompress(symbols, rules, 100), ids)
+
+
+def test_pieces_are_encoded_as_in_their_texts():
+    path = common.tokenizer_path("word_bpe_49k.json")
+    with open(path, "rb") as file:
+        encoder, library = token_files.PieceEncoder(file.read()), Tokenizer.from_file(path)
+    words = ["Word", "don't", "it's", "l'été", "ÉTÉ", "x1y22", "ªº", "µm", "straße", "İz", "ȿa", "дом", "日本", "a\u0301b", "a"]
+    marks = ["", ".", ",%%%", "###", "'", "'s", ".'", "-b", "<|", "_", "…", "&&&'", "`~", "1", "\u0301"]
+    texts = [w + m for w in words for m in marks] + ["A<|endoftext|>b", "a\x1cb", "\u00a0a\u3000b", ""]
+    texts.append(" ".join(texts))
+    for _ in range(2):
+        got = encoder.encode_all(texts)
+        for text, ids in zip(texts, got):
+            assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_token_files(spark, odd, none):
     library = Tokenizer.from_file(common.tokenizer_path("word_bpe_49k.json"))
     path = f"{common.shared_folder(spark)}/files-{uuid.uuid4().hex}"
