@@ -22,8 +22,12 @@ from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, text_c
 
 #: White space of the split pattern, to which the separators do not belong.
 _SPACES = re.compile(r"[^\S\x1c-\x1f]+")
-#: Characters of the longest unit whose prefix counts are remembered.
+#: Characters of the longest unit whose prefix counts are remembered, each in one byte.
 _LONG = 40
+#: Bytes of a word after which words that begin alike go on from there.
+_HEAD = 6
+#: Marks that may follow a word as a piece of their own; an apostrophe may belong to it.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Characters of texts whose prefix counts are handed on at once, about.
 _AT_ONCE = 1 << 21
 
@@ -36,6 +40,7 @@ class Counter:
         self.fits: dict[tuple[int, int], bool] = {}
         self.after_space: dict[str, int | None] = {}
         self.of_unit: dict[str, bytes] = {}
+        self.heads: dict[bytes, tuple[list[int], list[int]]] = {}
 
     def _compatible(self, a: int, b: int) -> bool:
         pieces = self.vocab.pieces
@@ -48,8 +53,11 @@ class Counter:
     def prefixes(self, word: bytes) -> list[int]:
         """Token counts of ``word[:i]`` for every i from 0 on; a word of the split pattern."""
         ids, fits, longest = self.vocab.ids.get, self.fits.get, self.vocab.longest
-        counts, last = [0], [-1]
-        for end in range(1, len(word) + 1):
+        head = word[:_HEAD] if len(word) > _HEAD else None
+        counts, last = self.heads.get(head) or ([0], [-1])
+        if len(last) > 1:
+            counts, last, head = counts[:], last[:], None
+        for end in range(len(last), len(word) + 1):
             for start in range(end - 1, max(0, end - longest) - 1, -1):  # pieces are mostly short
                 piece = ids(word[start:end])
                 if piece is None:
@@ -62,6 +70,10 @@ class Counter:
                 counts.append(counts[start] + 1)
                 last.append(piece)
                 break
+        if head is not None:
+            if len(self.heads) > REMEMBERED // 8:
+                self.heads.clear()
+            self.heads[head] = counts[: _HEAD + 1], last[: _HEAD + 1]
         return counts
 
     def unit(self, unit: str) -> int:
@@ -120,14 +132,35 @@ class Counter:
         return [counts[n] for n in accumulate(len(c.encode()) for c in word)]
 
     def _remembered_prefixes(self, unit: str) -> bytes:
-        """Counts of every prefix of a unit, as 32-bit integers."""
-        row = np.array(self._unit_prefixes(unit), "<i4").tobytes()
-        if len(unit) <= _LONG:
-            if len(self.of_unit) > REMEMBERED // 2:
-                self.of_unit = earliest(self.of_unit)
-            self.of_unit[unit] = row
+        """Counts of every prefix of a unit that is not long; a byte holds each."""
+        word = unit.rstrip(_MARKS)
+        if len(word) > 1 and word[0] == " " and word[1:].isalpha() and vocabulary.plain(word):
+            if len(word) == len(unit):  # one piece, cut or not
+                row = bytes(self._at_characters(unit))
+            else:  # the marks are a piece of their own, cut or not
+                own = self.of_unit.get(word) or self._remembered_prefixes(word)
+                row = own + bytes([own[-1] + n for n in self.prefixes(unit[len(word) :].encode())[1:]])
+        else:
+            row = bytes(self._unit_prefixes(unit))
+        if len(self.of_unit) > REMEMBERED // 2:
+            self.of_unit = earliest(self.of_unit)
+        self.of_unit[unit] = row
         return row
 
+    def _rows(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of the prefixes of each unit, one after another, and how many each has."""
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        of = self.of_unit.get
+        if sizes.max() <= _LONG:
+            rows = b"".join([of(u) or self._remembered_prefixes(u) for u in parts])
+            return np.frombuffer(rows, np.uint8), sizes
+        rows = [
+            np.array(self._unit_prefixes(u), np.int32) if len(u) > _LONG
+            else np.frombuffer(of(u) or self._remembered_prefixes(u), np.uint8)
+            for u in parts
+        ]
+        return np.concatenate(rows), sizes
+
     def prefix_counts(self, text: str) -> np.ndarray:
         """Tokens of ``text[:i]`` for every i from 0 to its length."""
         total, out = 0, [np.zeros(1, np.int32)]
@@ -140,13 +173,10 @@ class Counter:
                 out.append(np.array([*inside, total], np.int32))
                 tail, before = "", total
             else:
-                of = self.of_unit.get
                 parts = vocabulary.units(section)
-                rows = [of(u) or self._remembered_prefixes(u) for u in parts]
-                sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4
-                counts = np.frombuffer(b"".join(rows), "<i4")
-                ends = np.cumsum(counts[np.cumsum(sizes) - 1])
-                out.append(counts + np.repeat(np.concatenate([[0], ends[:-1]]) + total, sizes).astype(np.int32))
+                counts, sizes = self._rows(parts)
+                ends = np.cumsum(counts[np.cumsum(sizes) - 1], dtype=np.int64)
+                out.append(counts + np.repeat((np.concatenate([[0], ends[:-1]]) + total).astype(np.int32), sizes))
                 tail, before = parts[-1], total + (int(ends[-2]) if len(parts) > 1 else 0)
                 total += int(ends[-1])
         return np.concatenate(out).astype("<i4")

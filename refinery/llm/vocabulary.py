@@ -31,6 +31,11 @@ def byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in PRINTABLE} | {chr(256 + n): b for n, b in enumerate(others)}
 
 
+def plain(text: str) -> bool:
+    """Whether all Unicode versions agree on the classes of the characters of ``text``."""
+    return text.isascii() or max(text) < chr(_PLAIN)
+
+
 class Vocabulary:
     """Pieces, ids and merges of one byte-level BPE file."""
 
@@ -66,7 +71,7 @@ class Vocabulary:
 
     def split(self, text: str) -> list[bytes]:
         """Pieces of the split pattern."""
-        if text and max(text) >= chr(_PLAIN):
+        if not plain(text):
             return [bytes(self._of_char[c] for c in p) for p, _ in self._splitter.pre_tokenize_str(text)]
         return [p.encode() for p in self._find(text)]
 

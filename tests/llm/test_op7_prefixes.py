@@ -28,6 +28,19 @@ def test_prefixes_of_mixed_texts(library):
             assert got == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in range(len(text) + 1)], repr(text)
 
 
+def test_words_that_begin_alike_or_end_in_marks(library, monkeypatch):
+    with open(common.tokenizer_path("byte_bpe_50k.json"), "rb") as file:
+        counter = token_counts.Counter(vocabulary.load(file.read()))
+    monkeypatch.setattr(token_counts, "REMEMBERED", 40)  # what is remembered is dropped now and then
+    words = [a + b for a in ("inter", "internat", "international", "été", "straß", "Wort", "ab\u0250c") for b in ("", "s", "ization", "é", "isms")]
+    marks = ["", ".", "%%%", "'s", ".'", "-b", "''", ",1", "_" * 50, "\u2026", "<|"]
+    texts = [f"x {w}{m} {w}" for w in words for m in marks] + ["a" * 90 + " b " + "c" * 41 + ".", "x " + " ".join(w + m for w in words for m in marks)]
+    for text in texts:
+        got = counter.prefix_counts(text).tolist()
+        cuts = range(len(text) + 1) if len(text) < 200 else range(0, len(text) + 1, 97)
+        assert [got[i] for i in cuts] == [len(library.encode(text[:i], add_special_tokens=False).ids) for i in cuts], repr(text)
+
+
 def test_cuts_of_special_strings_count_the_last_word_only(library, monkeypatch):
     with open(common.tokenizer_path("byte_bpe_50k.json"), "rb") as file:
         counter = token_counts.Counter(vocabulary.load(file.read()))
