@@ -99,6 +99,24 @@ def test_itq_links_all_near_vectors(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+@pytest.mark.parametrize(("mean", "least"), [(0.0, 0.99), (0.9, 0.99)])
+def test_itq_recall_of_pairs_just_above_the_threshold(spark, mean, least):
+    """64 dimensions, so that all bits of the codes count; cosines between 0.98 and 0.985."""
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    axis = unit(rng.standard_normal(64))
+    base = unit(mean * axis + np.sqrt(1 - mean**2) * unit(rng.standard_normal((1_500, 64))))
+    aside = rng.standard_normal(base.shape)
+    aside = unit(aside - (aside * base).sum(1, keepdims=True) * base)
+    cosine = rng.uniform(0.9801, 0.985, (len(base), 1))
+    both = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * aside])
+    # Labels of their own keep the pairs apart from all others.
+    rows = [(i, [float(x) for x in v], i % 1_500, "") for i, v in enumerate(both)]
+    found = itq.embedding_groups(vectors(spark, rows)).agg(F.sum("n_links")).first()[0] / len(rows)
+    print("recall", mean, found)
+    assert least <= found <= 1
+
+
 def test_itq_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
