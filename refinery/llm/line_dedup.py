@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import REMEMBERED, column_named, discard, partitions, possibly_in, stored, text_column, unused_name
+from refinery.llm.common import REMEMBERED, column_named, discard, forget, partitions, possibly_in, stored, text_column, unused_name
 
 #: Lists of lines with one token up to this length are paired in the task that reads them.
 SHORT = 32
 #: Tokens counted this often are not gathered by token at all; their lists may be hot.
 HOT = 4_096
+#: Shares of the tokens whose long lists are met one after another, so that the shuffles of one
+#: share at a time lie on the disks.
+PASSES = 4
 _ALL = (1 << 56) - 1
 #: Bytes of text whose words are numbered at once, a single text apart.
 _BLOCK = 1 << 18
@@ -116,6 +120,7 @@ def frequent_tokens(source: DataFrame, size: int, error: float) -> tuple[np.ndar
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         powers, total, waiting, held = _Powers(), 0, [], 0
         known, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
@@ -166,6 +171,7 @@ def line_sets(source: DataFrame, classes: tuple[np.ndarray, np.ndarray], thresho
     hot_class = HOT.bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         often, level = shared.value
         powers = _Powers()
         met: dict[tuple[int, int], tuple[int, int]] = {}  # the earliest line of a set so far
@@ -475,9 +481,13 @@ def repeated_lines(
     close = found.where("doc2 is not null").select("doc", line_of("place").alias("line"), "doc2", line_of("place2").alias("line2"))
     first = stored(close.union(to_hub).distinct(), "line-first")
     matched = _verified(first, source, threshold)
-    open_lines = long.join(matched, ["doc", "line"], "left_anti").withColumn("band", _bands(F.col("n"), threshold, reach=True))
-    rest = stored(meeting(open_lines, long).distinct(), "line-rest")
-    discard(found)
+    open_lines = stored(long.drop("band").join(matched, ["doc", "line"], "left_anti"), "line-open")
+    reaching = open_lines.withColumn("band", _bands(F.col("n"), threshold, reach=True))
+    shares = [F.pmod("token", F.lit(PASSES)) == k for k in range(PASSES)]
+    met = [stored(meeting(reaching.where(share), long.where(share)).distinct(), "line-met") for share in shares]
+    discard(found, open_lines)
+    rest = stored(reduce(DataFrame.union, met).distinct(), "line-rest")
+    discard(*met)
     more = _verified(rest, source, threshold)
     gone = matched.union(more).distinct().withColumn("gone", F.lit(True))
     # A class is removed whole if its first line is, else all of it but that line.
