@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm import vocabulary
-from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, text_column, tokenizer_path
+from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, kept, text_column, tokenizer_path
 from refinery.llm.transducer import Lexicon, compile_lexicon
 
 
@@ -108,15 +108,8 @@ class Encoder:
         return b"".join(self._ordinary(s) if i is None else np.array([i], "<u4").tobytes() for s, i in sections)
 
 
-_encoders: dict[tuple[int, int], Encoder] = {}
-
-
 def _encoder(data: bytes, lexicon: bytes) -> Encoder:
-    key = (hash(data), hash(lexicon))
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = Encoder(vocabulary.load(data), lexicon)
-    return _encoders[key]
+    return kept(("bpe", hash(data), hash(lexicon)), lambda: Encoder(vocabulary.load(data), lexicon))
 
 
 def encode(

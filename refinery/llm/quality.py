@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from refinery.llm.common import ROWS, column_named, stored, text_column
+from refinery.llm.common import ROWS, column_named, forget, stored, text_column
 
 FEATURES = (
     "log_bytes", "log_words", "word_length", "word_spread", "longest_word", "distinct_words", "top_word", "upper",
@@ -72,6 +72,7 @@ def document_statistics(docs: DataFrame, id_column: str = "doc_id", text: str =
     source = docs.select(column_named(docs, id_column).alias(id_column), text_column(docs, text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
