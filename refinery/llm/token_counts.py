@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from refinery.llm import vocabulary
-from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, text_column, tokenizer_path
+from refinery.llm.common import REMEMBERED, ROWS, column_named, earliest, kept, text_column, tokenizer_path
 
 #: White space of the split pattern, to which the separators do not belong.
 _SPACES = re.compile(r"[^\S\x1c-\x1f]+")
@@ -45,8 +45,8 @@ class Counter:
     def _compatible(self, a: int, b: int) -> bool:
         pieces = self.vocab.pieces
         found = self.vocab.merge(pieces[a] + pieces[b]) == [a, b]
-        if len(self.fits) > 4 * REMEMBERED:
-            self.fits.clear()
+        if len(self.fits) > REMEMBERED // 2:
+            self.fits = earliest(self.fits)
         self.fits[a, b] = found
         return found
 
@@ -142,7 +142,7 @@ class Counter:
                 row = own + bytes([own[-1] + n for n in self.prefixes(unit[len(word) :].encode())[1:]])
         else:
             row = bytes(self._unit_prefixes(unit))
-        if len(self.of_unit) > REMEMBERED // 2:
+        if len(self.of_unit) > REMEMBERED // 3:
             self.of_unit = earliest(self.of_unit)
         self.of_unit[unit] = row
         return row
@@ -182,15 +182,8 @@ class Counter:
         return np.concatenate(out).astype("<i4")
 
 
-_counters: dict[int, Counter] = {}
-
-
 def _counter(data: bytes) -> Counter:
-    key = hash(data)
-    if key not in _counters:
-        _counters.clear()
-        _counters[key] = Counter(vocabulary.load(data))
-    return _counters[key]
+    return kept(("token_counts", hash(data)), lambda: Counter(vocabulary.load(data)))
 
 
 def token_counts(
@@ -245,8 +238,10 @@ def fitting_prefix(counted: DataFrame, budget: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index("prefix_tokens")
         for batch in batches:
-            kept = [int(np.flatnonzero(np.frombuffer(v.as_py(), "<i4") <= budget)[-1]) for v in batch.column(at)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kept, pa.int64())], [*names, "n_chars_kept"])
+            for first in range(0, batch.num_rows, ROWS):  # else a whole batch of counts is held twice
+                part = batch.slice(first, ROWS)
+                ends = [int(np.flatnonzero(np.frombuffer(v.as_buffer(), "<i4") <= budget)[-1]) for v in part.column(at)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ends, pa.int64())], [*names, "n_chars_kept"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in counted.schema)
     return counted.mapInArrow(run, f"{schema}, n_chars_kept long")
