@@ -180,9 +180,12 @@ SETTINGS = IncidentSettings(
 RAW_STATUS = {"O": "New", "F": "Closed", "P": "Waiting for Supplier"}
 
 
-def raw_incidents(spark, folder):
-    """orders join customer as raw incident JSON; one incident per customer, many versions."""
-    rows = table(spark, folder, "orders").join(
+def raw_incidents(spark, folder, where="true"):
+    """orders join customer as raw incident JSON; one incident per customer, many versions.
+
+    Only orders that meet ``where`` are made into JSON.
+    """
+    rows = table(spark, folder, "orders").where(where).join(
         table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
 

@@ -26,9 +26,6 @@ from refinery.sinks.tables import append, publish_view, upsert_table
 from refinery.sources.datasets import Dataset
 from refinery.sources.files import csv_to_bronze
 
-INCIDENTS_OF_HALF = "CAST(get_json_object(raw_json, '$.id') AS BIGINT) % 2 = {half}"
-
-
 def _put_pages(rows, path):
     """A page per line, added to the landing folder."""
     pages = rows.select(F.concat(F.lit('{"results":['), "raw_json", F.lit("]}")).alias("value"))
@@ -83,7 +80,7 @@ def flow_landing_twice(spark, folder):
     runs = []
     for run, half in enumerate((0, 1, None), 1):
         if half is not None:
-            _put_pages(raw_incidents(spark, folder).where(INCIDENTS_OF_HALF.format(half=half)), path)
+            _put_pages(raw_incidents(spark, folder, _half(half)), path)
         written, _ = incidents.land_dataset(spark, spec, state, ledger=ledger, page_per_line=True)
         runs.append((run, written, spark.table(bronze).count()))
     return literal_rows(spark, runs, "run int, records bigint, in_table bigint")

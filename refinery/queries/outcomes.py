@@ -15,7 +15,7 @@ from refinery.plans.kpi_state import add_to_kpis, kpis_of
 from refinery.plans.quality import QualityGateClosed
 from refinery.queries import literal_rows, new_table, query, table
 from refinery.queries.enrichment import SETTINGS, SILVER_SQL, raw_incidents, raw_persons, raw_services, without_zone
-from refinery.queries.flows import INCIDENTS_OF_HALF, _put_pages
+from refinery.queries.flows import _half, _put_pages
 from refinery.queries.rules import RUN, rule
 from refinery.queries.validation import PEOPLE_SQL, RULES, people
 from refinery.sinks.staging import new_folder
@@ -44,9 +44,8 @@ def _desk(spark, folder):
 def flow_silver_second_run(spark, folder):
     """Silver after two runs: the second starts from the stored mark and takes the new half only."""
     tables, land = _desk(spark, folder)
-    rows = raw_incidents(spark, folder)
     for half in (0, 1):
-        land("incidents", rows.where(INCIDENTS_OF_HALF.format(half=half)))
+        land("incidents", raw_incidents(spark, folder, _half(half)))
         incidents.load_silver(spark, tables, SETTINGS)
     if incidents.load_silver(spark, tables, SETTINGS) is not None:
         raise AssertionError("nothing was new")
@@ -80,9 +79,8 @@ def flow_silver_by_lookups(spark, folder):
     """Silver from persons and services that are kept in bucketed lookup tables over two runs."""
     tables, land = _desk(spark, folder)
     tables = replace(tables, person_lookup=new_table(spark, "person_lookup"), service_lookup=new_table(spark, "service_lookup"))
-    rows = raw_incidents(spark, folder)
     for half in (0, 1):
-        land("incidents", rows.where(INCIDENTS_OF_HALF.format(half=half)))
+        land("incidents", raw_incidents(spark, folder, _half(half)))
         incidents.load_silver(spark, tables, SETTINGS)
     return without_zone(spark.table(tables.silver).select(*incidents.SILVER_COLUMNS))
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,38 @@ def csv_to_raw(spark: SparkSession, path: str | list[str], schema=None, **option
     return to_raw(scan_csv(spark, path, schema, **options))
 
 
+#: Numbers that a copied text and a variant may write in two ways: fractions, exponents, many digits.
+_OTHER_NUMBERS = r"(?:\"\s*:|[\[,])\s*-?\d+(?:[.eE]|\d{17})"
+
+
+def _record_texts(parsed: DataFrame, paths: Sequence[str]) -> tuple[DataFrame, Column]:
+    """The texts of the records that a page (``__text`` and its variant ``__page``) holds at the first
+    path with a list, null without one; as a column of the frame that is returned with it.
+
+    A variant is slow to write as text. So where all records are objects, which is seen in the
+    variant, their texts are copied from the page, with its order of fields.
+    """
+    plain = {i: found[1] for i, p in enumerate(paths) if (found := re.fullmatch(r"\$(?:\.(\w+))?", p))}
+    # Both are used twice, so they are columns of their own.
+    parts = {}
+    for i, name in plain.items():
+        copied = F.from_json("__text", f"`{name}` array<string>")[name] if name else F.from_json("__text", "array<string>")
+        parts |= {f"__copied_{i}": copied, f"__objects_{i}": F.try_variant_get("__page", paths[i], "array<struct<>>")}
+    texts = []
+    for i, path in enumerate(paths):
+        text = F.transform(F.try_variant_get("__page", path, "array<variant>"), lambda record: F.to_json(record))
+        if i in plain:
+            copied, objects = F.col(f"__copied_{i}"), F.col(f"__objects_{i}")
+            same = F.forall(objects, lambda record: record.isNotNull()) & (F.size(copied) == F.size(objects))
+            text = F.when(same & ~F.col("__text").rlike(_OTHER_NUMBERS), copied).otherwise(text)
+        texts.append(text)
+    return parsed.withColumns(parts), F.coalesce(*texts)
+
+
+def _text_at(path: str) -> Callable[[Column], Column]:
+    return lambda record: F.try_variant_get(record, path, "string")
+
+
 def page_records(
     pages: DataFrame,
     record_paths: Sequence[str],
@@ -71,23 +104,18 @@ def page_records(
 ) -> DataFrame:
     """The records wrapped in page envelopes, one JSON text per row.
 
-    A page is parsed once into a variant, so every field of a record survives, known or
+    A page is parsed into a variant, so every field of a record survives, known or
     not. A page without records, or one that is not JSON, yields no rows. ``fields`` (column
     name -> JSON path) takes single fields along as text, without parsing a record again.
     """
-    page = F.try_parse_json(column(text))
-    lists = [F.try_variant_get(F.col("__page"), p, "array<variant>") for p in record_paths]
-    return (
-        pages.select(page.alias("__page"))
-        .select(F.explode(F.coalesce(*lists)).alias("__record"))
-        .select(
-            F.to_json("__record").alias(RAW),
-            *[
-                F.try_variant_get("__record", path, "string").alias(name)
-                for name, path in (fields or {}).items()
-            ],
-        )
-    )
+    parsed = pages.select(column(text).alias("__text"), F.try_parse_json(column(text)).alias("__page"))
+    found, texts = _record_texts(parsed, record_paths)
+    # Of a column Spark would infer a filter below, which evaluates all of this once more.
+    if not fields:
+        return found.select(F.explode(texts).alias(RAW))
+    records = F.coalesce(*[F.try_variant_get("__page", p, "array<variant>") for p in record_paths])
+    taken = [F.transform(records, _text_at(path)) for path in fields.values()]
+    return found.select(F.inline(F.arrays_zip(texts, *taken)).alias(RAW, *fields))
 
 
 def scan_pages(

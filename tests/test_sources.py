@@ -5,6 +5,7 @@ import pytest
 from support import rows
 from pyspark.sql import functions as F
 
+from refinery.queries.enrichment import raw_incidents
 from refinery.operators.raw_json import infer_schema, parse_raw, to_raw
 from refinery.sources.datasets import PAGE_SHAPES, Dataset
 from refinery.sources.files import (
@@ -98,6 +99,48 @@ def test_page_files(spark, tmp_path):
     assert scan_pages(spark, str(lines), ["$.results"], page_per_line=True).count() == 5
 
 
+ODD_PAGES = [
+    '{"results":[{"b":1.50,"a":"x\\u00e9\\n"},null,"s",3,[{"q":1}],{"c":{"z":1,"y":[1, 2]}}]}',
+    '{"results":[{"n":12345678901234.1234567890123456789},{"n":-1e3},{"n":100.0}]}',
+    '{"results":[{"n":[1,2.50]},{"n":99999999999999999999999999999999999999999}]}',
+    '{"results":[{"n":[ -7 , 123456789012345678901234567890]},{"s":"a, 2.50"}]}',
+    '{"results":["{\\"a\\":1}"]}',
+    '{"results":[{"\\u0061":1,"\\"":{}}, {}]}',
+    '{"results":[{"a":1}]} trailing',
+    '{"Results":[{"a":0}],"results":[{"a":1}]}',
+    '{"results":{}}', '{"results":null}', '{"results":[]}', '{"results":[{"a":1}', '{"results":[{"a":1,"a":2}]}',
+    '{"results":[{"a":1}],"results":[{"a":2}]}', "{'results':[{'a':1}]}", '{"results":[{"a":NaN}]}',
+    '[{"results":[{"q":1}]}]', '["results"]', "17", "", None,
+]
+
+
+@pytest.mark.parametrize("paths", [["$.results"], ["$.results", "$"], ["$"], ["$['results']"], ["$.results[0].c.y"]])
+@pytest.mark.parametrize("fields", [None, {"a": "$.a", "deep": "$.c.z"}])
+def test_records_of_odd_pages_are_those_of_the_variant(spark, paths, fields):
+    pages = spark.createDataFrame([(p,) for p in ODD_PAGES], "value string")
+    lists = [F.try_variant_get(F.try_parse_json("value"), p, "array<variant>") for p in paths]
+    taken = [F.try_variant_get("r", p, "string") for p in (fields or {}).values()]
+    wanted = pages.select(F.explode(F.coalesce(*lists)).alias("r")).select(F.to_json("r"), *taken)
+    got = page_records(pages, paths, fields=fields)
+    assert got.columns == ["raw_json", *(fields or {})]
+    normal = lambda df: sorted(repr((json.dumps(json.loads(r[0], parse_float=str), sort_keys=True), *r[1:])) for r in df.collect())
+    assert normal(got) == normal(wanted)
+
+
+def test_records_are_copied_from_the_page_not_written_anew(spark):
+    record = '{"b":1,"a":{"d":"1998-04-15T00:00:00.000+0000","c":null}}'
+    pages = spark.createDataFrame([(f'{{"results":[{record}]}}',)], "value string")
+    assert page_records(pages, ["$.results"]).first()["raw_json"] == record
+
+
+def test_raw_incidents_filter_before_json(spark):
+    folder = "/root/testdata/sf0.001"
+    for half in (0, 1):
+        chosen = raw_incidents(spark, folder, f"o_custkey % 2 = {half}")
+        after = raw_incidents(spark, folder).where(f"CAST(get_json_object(raw_json, '$.id') AS BIGINT) % 2 = {half}")
+        assert sorted(chosen.collect()) == sorted(after.collect()) != []
+
+
 def dataset(**changes):
     return Dataset(
         **{
